@@ -1,0 +1,26 @@
+"""Size questions asked before choosing a plan."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's own size estimate of the optimised plan.
+
+    File scans report the bytes on disk; an unknown source reports a huge
+    number, so 'unknown' is never taken for 'small'.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bytes_of_one_scan_task(df: DataFrame) -> int:
+    """How much a single scan task reads, from the session's own setting."""
+    text = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").strip().lower().removesuffix("b")
+    units = {"k": 2**10, "m": 2**20, "g": 2**30}
+    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """True if all of ``df`` is no more than one scan task would read anyway."""
+    return estimated_bytes(df) <= bytes_of_one_scan_task(df)
