@@ -45,6 +45,11 @@ def seconds(n: float) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(n).cast("decimal(18,6)"))
 
 
+def floor_div(c: Column, n: int) -> Column:
+    """Floor division of whole numbers, also below zero."""
+    return F.call_function("div", c - F.pmod(c, F.lit(n)), F.lit(n))
+
+
 def money(value: Column) -> Column:
     """Exact form of a two-digit amount; sums of it do not depend on row order."""
     return value.cast("decimal(18,2)")

@@ -72,11 +72,10 @@ def order_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def web_log_lines(df: DataFrame, pages: DataFrame) -> DataFrame:
     """(event_id, value): one access-log line per event, its url looked up in ``pages``."""
-    n_pages = pages.agg(F.count("page_id").alias("n_pages"))
-    urls = (pages.select("page_id", "url"))
-    hits = with_item(df).select("event_id", "ts", "user_id", "event_type", "item_id")
-    # A one-row table: the size of this side is one by construction.
-    hits = hits.join(F.broadcast(n_pages)).withColumn("page_id", F.col("item_id") % F.col("n_pages"))
+    n_pages = pages.agg(F.count("page_id")).scalar()
+    urls = pages.select("page_id", "url")
+    hits = (with_item(df).select("event_id", "ts", "user_id", "event_type", "item_id")
+            .withColumn("page_id", F.col("item_id") % n_pages))
     line = F.concat_ws(
         " ", F.concat(F.lit("10.0.0."), F.col("user_id") % 250), F.col("user_id"), F.lit("-"),
         F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"), F.col("event_type"), F.col("url"))
