@@ -1,0 +1,2 @@
+from rillwork.plans import analyses, basics  # noqa: F401
+from rillwork.plans.registry import REGISTRY  # noqa: F401
