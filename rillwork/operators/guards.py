@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rillwork.functions.scalar import day_of, epoch_micros, seconds
 from rillwork.operators.ordered import Running, neighbours, running
 
+# Executors may not have the package installed, so its functions travel with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed thresholds of the analyses.
 CLICKS_PER_DAY = 100
 LOGIN_SECONDS = 2
@@ -61,3 +68,92 @@ def payment_status(df: DataFrame, key: str, kind: str, ts: str, limit: float = P
         .when(F.col("paid") > F.col("created") + seconds(limit), PAID_LATE)
         .otherwise(PAID))
     return both.withColumn("status", status)
+
+
+def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, hold: float = RISING_SECONDS,
+                  rows_per_segment: int | None = None) -> DataFrame:
+    """(keys, ``alarm_at``): times at which ``value`` had not fallen for ``hold`` seconds.
+
+    The first row that does not fall sets the alarm, a fall cancels it, and
+    after it went off the next row that does not fall sets it again.
+
+    A fall, and a pause longer than ``hold``, end a stretch: what follows does
+    not depend on what was before. Stretches are found with balanced running
+    values and thinned to their distinct times; only the re-arming inside a
+    stretch is sequential, and it runs over sorted batches with one number of
+    memory.
+    """
+    order = [ts, seq]
+    rows = df.select(*keys, ts, seq, value)
+    rows = neighbours(rows, keys, order, F.struct(ts, value), 1, "__before", True, rows_per_segment)
+    before = F.get("__before", F.lit(0))
+    rows = rows.withColumn("__fell", F.col(value) < F.coalesce(before[value], F.lit(0)))
+    pause = epoch_micros(F.col(ts)) - epoch_micros(before[ts]) > int(hold * 1_000_000)
+    rows = rows.withColumn("__start", F.when(F.col("__fell") | pause | before.isNull(), 1)).drop("__before")
+    rows = neighbours(rows, keys, order, F.struct(ts, "__fell"), 1, "__after", rows_per_segment=rows_per_segment)
+    after = F.get("__after", F.lit(0))
+    rows = rows.withColumn("__cancel", F.when(after["__fell"], epoch_micros(after[ts]))).drop("__after")
+    rows = running(rows, keys, order, {"__stretch": Running("count", F.col("__start"))}, rows_per_segment)
+
+    times = (rows.filter(~F.col("__fell"))
+             .groupBy(*keys, "__stretch", epoch_micros(F.col(ts)).alias("__at"))
+             .agg(F.max("__cancel").alias("__cancel")))
+    sorted_times = (times.repartition(*keys, "__stretch").sortWithinPartitions(*keys, "__stretch", "__at"))
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("__alarm", T.LongType())])
+    alarms = sorted_times.mapInPandas(_chain(list(keys), int(hold * 1_000_000)), schema)
+    zone_free = df.schema[ts].dataType
+    return alarms.select(*keys, F.timestamp_micros("__alarm").cast(zone_free).alias("alarm_at"))
+
+
+def _chain(keys: list[str], hold: int):
+    """Alarm times per stretch over sorted batches; a stretch may run over several of them."""
+    name_columns = [*keys, "__stretch"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_name, due, cancel = None, None, None  # the stretch the batches so far end in
+
+        def rows(names: pd.DataFrame, alarms: np.ndarray) -> pd.DataFrame:
+            return names.reset_index(drop=True).assign(__alarm=np.asarray(alarms, dtype="int64"))
+
+        for batch in (b.reset_index(drop=True) for b in batches if len(b)):
+            names, at = batch[name_columns], batch["__at"].to_numpy()
+            changed = ((names != names.shift()) & ~(names.isna() & names.shift().isna())).any(axis=1).to_numpy()
+            changed[0] = True
+            first = np.flatnonzero(changed)
+            last = np.append(first[1:], len(batch)) - 1
+            # Times on one line, stretch after stretch, too far apart to reach each other.
+            span = at[last] - at[first] + hold + 1
+            line = at - np.repeat(at[first], last - first + 1) + np.repeat(np.cumsum(span) - span, last - first + 1)
+            sets_next = np.searchsorted(line, line + hold, side="right")
+
+            setter = first.copy()  # per stretch, the row the pending alarm was set by; -1: before this batch
+            pending = at[first] + hold
+            if open_name is not None:
+                if names.iloc[:1].equals(open_name):
+                    pending[0], setter[0] = due, -1
+                elif cancel is None or due < cancel:
+                    yield rows(open_name[keys], np.array([due]))
+            where, alarms = [], []
+            live = np.arange(len(first))
+            while len(live):  # one step of every stretch that still goes on
+                next_row = np.where(setter[live] >= 0, sets_next[setter[live]],
+                                    np.searchsorted(at[:last[0] + 1], pending[live], side="right"))
+                goes_on = next_row <= last[live]
+                live, next_row = live[goes_on], next_row[goes_on]
+                where.append(first[live])
+                alarms.append(pending[live])
+                setter[live], pending[live] = next_row, at[next_row] + hold
+            cancels = batch["__cancel"].to_numpy(dtype="float64", na_value=np.nan)[last]
+            closed = np.arange(len(first) - 1)
+            sure = closed[~(pending[closed] >= cancels[closed])]
+            where.append(first[sure])
+            alarms.append(pending[sure])
+            at_rows = np.concatenate(where)
+            if len(at_rows):
+                yield rows(batch[keys].iloc[at_rows], np.concatenate(alarms))
+            open_name, due = names.iloc[-1:].reset_index(drop=True), int(pending[-1])
+            cancel = None if np.isnan(cancels[-1]) else int(batch["__cancel"].iloc[-1])
+        if open_name is not None and (cancel is None or due < cancel):
+            yield rows(open_name[keys], np.array([due]))
+
+    return run

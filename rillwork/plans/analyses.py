@@ -504,6 +504,29 @@ def order_timeout_status(spark, folder):
     return guards.payment_status(order_events(spark, folder), "order_id", "kind", "ts", 90 * DAY)
 
 
+RISING_SQL = f"""
+WITH RECURSIVE r AS (
+  SELECT seq, ts, id, vc, vc < coalesce(lag(vc) OVER w, 0.0) AS fell, row_number() OVER w AS rn
+  FROM ({SENSOR_SQL}) WINDOW w AS (PARTITION BY id ORDER BY ts, seq)),
+walk AS (
+  SELECT id, rn, CASE WHEN fell THEN NULL ELSE ts + INTERVAL 12 HOUR END AS due, CAST(NULL AS TIMESTAMP) AS alarm_at
+  FROM r WHERE rn = 1
+  UNION ALL
+  SELECT r.id, r.rn,
+         CASE WHEN fell THEN NULL WHEN due IS NULL OR due < r.ts THEN r.ts + INTERVAL 12 HOUR ELSE due END,
+         CASE WHEN due < r.ts THEN due END
+  FROM walk JOIN r ON r.id = walk.id AND r.rn = walk.rn + 1)
+SELECT id, alarm_at FROM walk WHERE alarm_at IS NOT NULL
+UNION ALL
+SELECT walk.id, due FROM walk JOIN (SELECT id, max(rn) AS rn FROM r GROUP BY id) l ON l.id = walk.id AND l.rn = walk.rn
+WHERE due IS NOT NULL"""
+
+
+@query("rising_alarm", RISING_SQL)
+def rising_alarm(spark, folder):
+    return guards.rising_alarms(sensor(spark, folder), ["id"], "ts", "seq", "vc", 12 * HOUR)
+
+
 # --- patterns --------------------------------------------------------------------------------
 
 @query("pattern_begin_where", "SELECT event_id FROM events WHERE event_type = 'view' AND value > 50")

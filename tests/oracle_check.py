@@ -54,8 +54,8 @@ def compare(spark, con, folder, key, build, sql):
     want = rows_of(columns, res.fetchall())
     if got == want:
         return None if got else "both empty"
-    only_got = [r for r in got if r not in set(want)][:3]
-    only_want = [r for r in want if r not in set(got)][:3]
+    only_got = sorted(set(got) - set(want))[:3]
+    only_want = sorted(set(want) - set(got))[:3]
     return f"{len(got)} rows vs {len(want)}; only spark {only_got}; only sql {only_want}"
 
 
