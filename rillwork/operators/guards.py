@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rillwork.functions.scalar import day_of, epoch_micros, seconds
-from rillwork.operators.ordered import Running, neighbours, running
+from rillwork.operators.ordered import Near, Running, running, scan
 
 # Executors may not have the package installed, so its functions travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -84,15 +84,15 @@ def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value:
     memory.
     """
     order = [ts, seq]
-    rows = df.select(*keys, ts, seq, value)
-    rows = neighbours(rows, keys, order, F.struct(ts, value), 1, "__before", True, rows_per_segment)
-    before = F.get("__before", F.lit(0))
-    rows = rows.withColumn("__fell", F.col(value) < F.coalesce(before[value], F.lit(0)))
+    rows = scan(df.select(*keys, ts, seq, value), keys, order, {
+        "__before": Near(F.struct(ts, value), 1, backward=True), "__after": Near(F.struct(ts, value), 1)},
+        rows_per_segment)
+    before, after = F.get("__before", F.lit(0)), F.get("__after", F.lit(0))
+    fell = F.col(value) < F.coalesce(before[value], F.lit(0))
     pause = epoch_micros(F.col(ts)) - epoch_micros(before[ts]) > int(hold * 1_000_000)
-    rows = rows.withColumn("__start", F.when(F.col("__fell") | pause | before.isNull(), 1)).drop("__before")
-    rows = neighbours(rows, keys, order, F.struct(ts, "__fell"), 1, "__after", rows_per_segment=rows_per_segment)
-    after = F.get("__after", F.lit(0))
-    rows = rows.withColumn("__cancel", F.when(after["__fell"], epoch_micros(after[ts]))).drop("__after")
+    rows = rows.select(
+        *keys, ts, seq, fell.alias("__fell"), F.when(fell | pause | before.isNull(), 1).alias("__start"),
+        F.when(after[value] < F.col(value), epoch_micros(after[ts])).alias("__cancel"))
     rows = running(rows, keys, order, {"__stretch": Running("count", F.col("__start"))}, rows_per_segment)
 
     times = (rows.filter(~F.col("__fell"))

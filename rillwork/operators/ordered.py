@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from rillwork.plans.sizing import fits_one_task
+from rillwork.sizing import fits_one_task
 
 SEGMENT = "__segment"
 _CUTS = "__cuts"
@@ -91,7 +91,7 @@ def _same(keys: Sequence[str], prefix: str) -> Column:
 
 
 def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None):
-    """(rows, keys) with ``__segment`` added if some key is too large for one task."""
+    """(rows, keys, whether rows carry ``__segment``): cut only if some key is too large for one task."""
     if rows_per_segment is None:
         if fits_one_task(df):
             return df, list(keys), False
@@ -116,7 +116,7 @@ def _direction(order: Sequence[str], backward: bool) -> list[Column]:
     return [F.col(o).desc() if backward else F.col(o).asc() for o in order]
 
 
-# --- running values --------------------------------------------------------------------------
+# --- values along the order -------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class Running:
@@ -156,65 +156,97 @@ def _combine(fold: str, carry: Column, here: Column) -> Column:
     return F.coalesce(carry, here) if fold == "first" else F.coalesce(here, carry)
 
 
-def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running],
-            rows_per_segment: int | None = None) -> DataFrame:
-    """Add running values, one per entry of ``columns``, to every row."""
+@dataclass(frozen=True)
+class Near:
+    """``value`` of the next ``n`` rows (of the previous ones, nearest first, if ``backward``) as an array.
+
+    ``value`` must not be null (wrap it in a struct if it may be); the array is shorter near the end of a key.
+    """
+
+    value: Column
+    n: int
+    backward: bool = False
+
+
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running | Near],
+         rows_per_segment: int | None = None) -> DataFrame:
+    """Add running values and neighbours to every row, all in one pass over the ordered keys.
+
+    ``rows_per_segment`` forces the question of cutting to be asked even for a small input.
+    """
     rows, part, cut = _prepare(df, keys, order, rows_per_segment)
     inside = [*part, SEGMENT] if cut else part
+    carries = {name: "__carry_" + name for name in columns}
     if cut:
-        part_rows = rows.filter(F.col(SEGMENT).isNotNull())
-        totals = part_rows.groupBy(*inside).agg(
-            *[_segment_total(spec, order).alias("__t_" + name) for name, spec in columns.items()])
-        carry = totals.select(*inside, *[
-            (F.sum if spec.fold == "count" else lambda c, f=spec.fold: _fold(f, c))(F.col("__t_" + name)).over(
-                Window.partitionBy(*part).orderBy(F.col(SEGMENT).desc() if spec.backward else F.col(SEGMENT).asc())
-                .rowsBetween(Window.unboundedPreceding, -1)).alias("__t_" + name)
-            for name, spec in columns.items()])
-        rows = _attach(rows, carry, part)
+        source = rows.filter(F.col(SEGMENT).isNotNull())
+        folds = {n: c for n, c in columns.items() if isinstance(c, Running)}
+        if folds:
+            rows = _attach(rows, _fold_carry(source, part, order, folds, carries), part)
+        for name, spec in columns.items():
+            if isinstance(spec, Near):
+                rows = _attach(rows, _near_carry(source, part, order, spec, carries[name]), part)
     for name, spec in columns.items():
-        frame = (Window.partitionBy(*inside).orderBy(*_direction(order, spec.backward))
-                 .rowsBetween(Window.unboundedPreceding, -1 if spec.exclusive else 0))
-        here = _fold(spec.fold, spec.value).over(frame)
+        ordered = Window.partitionBy(*inside).orderBy(*_direction(order, spec.backward))
+        if isinstance(spec, Running):
+            frame = ordered.rowsBetween(Window.unboundedPreceding, -1 if spec.exclusive else 0)
+            here = _fold(spec.fold, spec.value).over(frame)
+        else:
+            # Seen in the chosen direction, previous rows lie ahead too.
+            here = F.collect_list(spec.value).over(ordered.rowsBetween(1, spec.n))
+            if spec.backward:
+                # The frame before the row needs no second sort; it comes farthest first.
+                forward = Window.partitionBy(*inside).orderBy(*_direction(order, False))
+                here = F.reverse(F.collect_list(spec.value).over(forward.rowsBetween(-spec.n, -1)))
         rows = rows.withColumn(name, here)
         if cut:
             kind = rows.schema[name].dataType
-            rows = rows.withColumn(name, _combine(spec.fold, F.col("__t_" + name), F.col(name)).cast(kind))
-    return rows.drop(SEGMENT, _ALL, *["__t_" + name for name in columns])
+            carry = F.col(carries[name])
+            whole = (_combine(spec.fold, carry, F.col(name)) if isinstance(spec, Running)
+                     else F.slice(F.concat(name, F.coalesce(carry, F.array().cast(kind))), 1, spec.n))
+            rows = rows.withColumn(name, whole.cast(kind))
+    return rows.drop(SEGMENT, _ALL, *carries.values())
+
+
+def _by_segment(part: Sequence[str], backward: bool):
+    segment = F.col(SEGMENT)
+    return Window.partitionBy(*part).orderBy(segment.desc() if backward else segment.asc())
+
+
+def _fold_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], specs: dict[str, Running],
+                names: dict[str, str]) -> DataFrame:
+    """Per segment, the fold over all segments before it (after it, if backward): from one total per segment."""
+    totals = source.groupBy(*part, SEGMENT).agg(
+        *[_segment_total(spec, order).alias(names[n]) for n, spec in specs.items()])
+    before = {n: (F.sum(names[n]) if spec.fold == "count" else _fold(spec.fold, F.col(names[n]))).over(
+        _by_segment(part, spec.backward).rowsBetween(Window.unboundedPreceding, -1)) for n, spec in specs.items()}
+    return totals.select(*part, SEGMENT, *[c.alias(names[n]) for n, c in before.items()])
+
+
+def _near_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], spec: Near, name: str) -> DataFrame:
+    """Per segment, the first rows of the segments after it (before it, if backward): n per segment are enough."""
+    place = F.row_number().over(
+        Window.partitionBy(*part, SEGMENT).orderBy(*_direction(order, spec.backward)))
+    heads = (
+        source.select(*part, SEGMENT, *[c for c in order if c not in part], spec.value.alias("__v"))
+        .withColumn("__p", place).filter(F.col("__p") <= spec.n)
+        .groupBy(*part, SEGMENT).agg(F.sort_array(F.collect_list(F.struct("__p", "__v"))).alias("__h")))
+    later = F.flatten(F.collect_list("__h").over(_by_segment(part, spec.backward).rowsBetween(1, spec.n)))
+    return heads.select(*part, SEGMENT, F.slice(later, 1, spec.n)["__v"].alias(name))
+
+
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running],
+            rows_per_segment: int | None = None) -> DataFrame:
+    """Add running values, one per entry of ``columns``, to every row."""
+    return scan(df, keys, order, columns, rows_per_segment)
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
                 rows_per_segment: int | None = None) -> DataFrame:
     """Add the 1-based position of each row inside its key."""
-    return running(df, keys, order, {name: Running("count", F.lit(1))}, rows_per_segment)
+    return scan(df, keys, order, {name: Running("count", F.lit(1))}, rows_per_segment)
 
 
-# --- neighbours ------------------------------------------------------------------------------
-
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, n: int, name: str,
                backward: bool = False, rows_per_segment: int | None = None) -> DataFrame:
-    """Add an array of ``value`` of the next ``n`` rows (the previous ones, nearest first, if ``backward``).
-
-    ``value`` must not be null (wrap it in a struct if it may be); the array is shorter near the end of a key.
-    """
-    rows, part, cut = _prepare(df, keys, order, rows_per_segment)
-    inside = [*part, SEGMENT] if cut else part
-    step = _direction(order, backward)
-    # Looking forward in the chosen direction, so both directions read 1..n rows ahead.
-    ahead = Window.partitionBy(*inside).orderBy(*step).rowsBetween(1, n)
-    if cut:
-        by_segment = Window.partitionBy(*part).orderBy(F.col(SEGMENT).desc() if backward else F.col(SEGMENT).asc())
-        place = F.row_number().over(Window.partitionBy(*inside).orderBy(*step))
-        heads = (
-            rows.filter(F.col(SEGMENT).isNotNull())
-            .select(*inside, *[c for c in order if c not in inside], value.alias("__v"))
-            .withColumn("__p", place).filter(F.col("__p") <= n)
-            .groupBy(*inside).agg(F.sort_array(F.collect_list(F.struct("__p", "__v"))).alias("__h"))
-        )
-        carry = heads.select(
-            *inside, F.slice(F.flatten(F.collect_list("__h").over(by_segment.rowsBetween(1, n))), 1, n)["__v"].alias("__h"))
-        rows = _attach(rows, carry, part)
-    rows = rows.withColumn(name, F.collect_list(value).over(ahead))
-    if cut:
-        rest = F.coalesce(F.col("__h"), F.array().cast(rows.schema[name].dataType))
-        rows = rows.withColumn(name, F.slice(F.concat(name, rest), 1, n)).drop("__h")
-    return rows.drop(SEGMENT, _ALL)
+    """Add an array of ``value`` of the next (previous) ``n`` rows; see ``Near``."""
+    return scan(df, keys, order, {name: Near(value, n, backward)}, rows_per_segment)

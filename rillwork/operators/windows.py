@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rillwork.functions.scalar import floor_div
-from rillwork.operators.ordered import Running, neighbours, number_rows, running
+from rillwork.operators.ordered import Near, Running, number_rows, running, scan
 
 
 def tumbling(df: DataFrame, keys: Sequence[str], ts: str, size: str, **aggs: Column) -> DataFrame:
@@ -51,6 +51,21 @@ def distinct_counts(df: DataFrame, ts: str, size: str, value: Column, name: str
     return tumbling(df, [], ts, size, **{name: F.count_distinct(value)})
 
 
+def distinct_slots(df: DataFrame, ts: str, size: str, slide: str, slot: Column, name: str = "uv") -> DataFrame:
+    """Distinct slot numbers per sliding window, kept as bitmaps.
+
+    Each pane of ``slide`` length has a bitmap per bucket of slots; windows are
+    unions of their panes' bitmaps. A window takes at most one bit per possible
+    slot, however many rows it has, and every row is handled once.
+    """
+    bits = df.select(ts, slot.alias("__slot"))
+    panes = tumbling(bits.withColumn("__bucket", F.bitmap_bucket_number("__slot")), ["__bucket"], ts, slide,
+                     __bits=F.bitmap_construct_agg(F.bitmap_bit_position("__slot")))
+    buckets = sliding(panes.select("__bucket", "window_start", "__bits"), ["__bucket"], "window_start", size, slide,
+                      **{name: F.bitmap_count(F.bitmap_or_agg("__bits"))})
+    return buckets.groupBy("window_start", "window_end").agg(F.sum(name).alias(name))
+
+
 def approx_distinct_counts(df: DataFrame, ts: str, size: str, value: Column, rsd: float = 0.02,
                            name: str = "uv") -> DataFrame:
     """Distinct values per window from a sketch of fixed size."""
@@ -88,8 +103,8 @@ def count_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[str], n:
 def count_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int, value: Column,
                   name: str = "values", rows_per_segment: int | None = None) -> DataFrame:
     """Fires on every ``slide``-th row of a key with ``value`` of the last ``size`` rows or fewer, newest first."""
-    numbered = number_rows(df, keys, order, "fired_at_row", rows_per_segment)
-    seen = neighbours(numbered, keys, order, value, size - 1, "__before", True, rows_per_segment)
+    seen = scan(df, keys, order, {"fired_at_row": Running("count", F.lit(1)),
+                                  "__before": Near(value, size - 1, backward=True)}, rows_per_segment)
     return (seen.filter(F.col("fired_at_row") % slide == 0)
             .withColumn(name, F.concat(F.array(value), "__before")).drop("__before"))
 

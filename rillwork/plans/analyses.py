@@ -339,6 +339,16 @@ def uv_bitmap(spark, folder):
                                    sc.poly_hash(F.col("user_id").cast("string")))
 
 
+@query("uv_bitmap_sliding", f"""
+SELECT time_bucket(INTERVAL '5 minutes', ts) - to_minutes(5 * i) AS window_start,
+       time_bucket(INTERVAL '5 minutes', ts) - to_minutes(5 * i) + INTERVAL '1 hour' AS window_end,
+       count(DISTINCT {SLOT_SQL}) AS uv
+FROM events, range(12) r(i) WHERE event_type = 'view' GROUP BY 1, 2""")
+def uv_bitmap_sliding(spark, folder):
+    return windows.distinct_slots(events(spark, folder).filter(is_type("view")), "ts", "1 hour", "5 minutes",
+                                  sc.poly_hash(F.col("user_id").cast("string")))
+
+
 @query("window_per_element_fire", f"""
 SELECT window_start, ts, event_id,
        sum(CASE WHEN nth = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY window_start ORDER BY ts, event_id
