@@ -201,9 +201,11 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict
         if cut:
             kind = rows.schema[name].dataType
             carry = F.col(carries[name])
-            whole = (_combine(spec.fold, carry, F.col(name)) if isinstance(spec, Running)
-                     else F.slice(F.concat(name, F.coalesce(carry, F.array().cast(kind))), 1, spec.n))
-            rows = rows.withColumn(name, whole.cast(kind))
+            if isinstance(spec, Running):
+                whole = _combine(spec.fold, carry, F.col(name)).cast(kind)
+            else:
+                whole = F.slice(F.concat(name, F.coalesce(carry, F.array().cast(kind))), 1, spec.n)
+            rows = rows.withColumn(name, whole)
     return rows.drop(SEGMENT, _ALL, *carries.values())
 
 

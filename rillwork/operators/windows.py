@@ -24,9 +24,21 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
     return _flat(df.groupBy(*keys, F.window(ts, size, slide).alias("__w")), keys, aggs)
 
 
-def session(df: DataFrame, keys: Sequence[str], ts: str, gap: str, **aggs: Column) -> DataFrame:
-    """Aggregates per key and session; a row exactly ``gap`` after the last one still belongs to it."""
-    return _flat(df.groupBy(*keys, F.session_window(ts, gap).alias("__w")), keys, aggs)
+def session(df: DataFrame, keys: Sequence[str], ts: str, seq: str, gap: str,
+            rows_per_segment: int | None = None, **aggs: Column) -> DataFrame:
+    """Aggregates per key and session; a row exactly ``gap`` after the last one still belongs to it.
+
+    The built-in session window sends every row of a key to one task. Here the
+    start of a row's session is a running value, which stays balanced, and the
+    sessions are then ordinary groups, combined before the shuffle.
+    """
+    pause = F.expr(f"interval {gap}")
+    before = scan(df, keys, [ts, seq], {"__before": Running("max", F.col(ts), exclusive=True)}, rows_per_segment)
+    opens = F.when(F.col("__before").isNull() | (F.col(ts) > F.col("__before") + pause), F.col(ts))
+    rows = scan(before.withColumn("__opens", opens), keys, [ts, seq], {"window_start": Running("max", F.col("__opens"))},
+                rows_per_segment)
+    return (rows.groupBy(*keys, "window_start")
+            .agg((F.max(ts) + pause).alias("window_end"), *[c.alias(n) for n, c in aggs.items()]))
 
 
 def _flat(grouped, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:

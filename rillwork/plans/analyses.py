@@ -223,7 +223,8 @@ FROM (SELECT *, sum(CASE WHEN ts <= prev + INTERVAL '3 hours' THEN 0 ELSE 1 END)
       FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events))
 GROUP BY user_id, sid""")
 def session_window(spark, folder):
-    return windows.session(events(spark, folder), ["user_id"], "ts", "3 hours", n=F.count(F.lit(1)))
+    rows = events(spark, folder).select("user_id", "ts", "event_id")
+    return windows.session(rows, ["user_id"], "ts", "event_id", "3 hours", n=F.count(F.lit(1)))
 
 
 @query("processing_time_window", """

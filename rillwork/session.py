@@ -8,11 +8,11 @@ from pyspark.sql import SparkSession
 
 # Runtime settings every query needs, whoever made the session.
 #  * windows and days are counted on epoch values, so the zone must be UTC;
-#  * sessions are merged inside each map task before the shuffle, so a hot key
-#    ships a few sessions instead of all its rows.
+#  * a stream merges sessions inside each map task before the shuffle, so a hot
+#    key ships a few sessions instead of all its rows.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # Stateful processors keep timers and typed state, which needs this provider.

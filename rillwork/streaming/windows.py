@@ -19,7 +19,10 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, delay: str, size: str,
 
 
 def session(df: DataFrame, keys: Sequence[str], ts: str, delay: str, gap: str, **aggs: Column) -> DataFrame:
-    return windows.session(df.withWatermark(ts, delay), keys, ts, gap, **aggs)
+    """Sessions close when the watermark has passed their last row by ``gap``."""
+    grouped = df.withWatermark(ts, delay).groupBy(*keys, F.session_window(ts, gap).alias("__w"))
+    return grouped.agg(*[c.alias(n) for n, c in aggs.items()]).select(
+        *keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *aggs)
 
 
 def distinct_counts(df: DataFrame, ts: str, delay: str, size: str, value: str, name: str = "uv") -> DataFrame:
