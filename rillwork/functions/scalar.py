@@ -50,6 +50,15 @@ def floor_div(c: Column, n: int) -> Column:
     return F.call_function("div", c - F.pmod(c, F.lit(n)), F.lit(n))
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def seconds_of(text: str) -> int:
+    """Whole seconds of a length such as ``5 minutes``."""
+    number, unit = text.split()
+    return int(number) * _UNIT_SECONDS[unit.removesuffix("s")]
+
+
 def money(value: Column) -> Column:
     """Exact form of a two-digit amount; sums of it do not depend on row order."""
     return value.cast("decimal(18,2)")

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from rillwork.functions.scalar import floor_div
+from rillwork.functions.scalar import epoch_micros, floor_div, seconds_of
 from rillwork.operators.ordered import Near, Running, number_rows, running, scan
 
 
@@ -46,6 +46,19 @@ def _flat(grouped, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
         *keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *aggs)
 
 
+def _panes(ts: str, size: str, slide: str) -> tuple[Column, int, int]:
+    """Number of the row's pane since the epoch, panes per window, and microseconds per pane."""
+    length = seconds_of(slide) * 1_000_000
+    panes, rest = divmod(seconds_of(size) * 1_000_000, length)
+    if rest:
+        raise ValueError(f"{size} is not a multiple of {slide}")
+    return floor_div(epoch_micros(F.col(ts)), length), panes, length
+
+
+def _pane_time(pane: Column, length: int, kind: T.DataType) -> Column:
+    return F.timestamp_micros(pane * length).cast(kind)
+
+
 def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str, name: str = "n") -> DataFrame:
     """Row counts per key and overlapping window, built from panes.
 
@@ -53,9 +66,15 @@ def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide
     counts are spread over the windows they belong to. Every row is handled
     once instead of size/slide times. ``size`` must be a multiple of ``slide``.
     """
-    panes = tumbling(df, keys, ts, slide, **{name: F.count(F.lit(1))})
-    return sliding(panes.select(*keys, "window_start", name), keys, "window_start", size, slide,
-                   **{name: F.sum(name)})
+    pane, per_window, length = _panes(ts, size, slide)
+    counts = df.groupBy(*keys, pane.alias("__pane")).agg(F.count(F.lit(1)).alias(name))
+    # Whole numbers as window keys keep the second aggregation in generated code.
+    windows_ago = F.explode(F.array(*[F.lit(i) for i in range(per_window)]))
+    totals = (counts.select(*keys, name, "__pane", windows_ago.alias("__i"))
+              .groupBy(*keys, (F.col("__pane") - F.col("__i")).alias("__first")).agg(F.sum(name).alias(name)))
+    kind, first = df.schema[ts].dataType, F.col("__first")
+    return totals.select(*keys, _pane_time(first, length, kind).alias("window_start"),
+                         _pane_time(first + per_window, length, kind).alias("window_end"), name)
 
 
 def distinct_counts(df: DataFrame, ts: str, size: str, value: Column, name: str = "uv") -> DataFrame:
@@ -63,19 +82,31 @@ def distinct_counts(df: DataFrame, ts: str, size: str, value: Column, name: str
     return tumbling(df, [], ts, size, **{name: F.count_distinct(value)})
 
 
-def distinct_slots(df: DataFrame, ts: str, size: str, slide: str, slot: Column, name: str = "uv") -> DataFrame:
-    """Distinct slot numbers per sliding window, kept as bitmaps.
+def sliding_distinct_counts(df: DataFrame, ts: str, size: str, slide: str, value: Column, name: str = "uv",
+                            rows_per_segment: int | None = None) -> DataFrame:
+    """Exact distinct values per overlapping window, without copying rows into windows.
 
-    Each pane of ``slide`` length has a bitmap per bucket of slots; windows are
-    unions of their panes' bitmaps. A window takes at most one bit per possible
-    slot, however many rows it has, and every row is handled once.
+    A value seen in a pane belongs to the windows that start up to ``size``
+    earlier. Those its previous sight already belongs to are left out, so each
+    (value, window) counts once, as a range of windows with two ends; the
+    counts are the running balance of range ends along time.
     """
-    bits = df.select(ts, slot.alias("__slot"))
-    panes = tumbling(bits.withColumn("__bucket", F.bitmap_bucket_number("__slot")), ["__bucket"], ts, slide,
-                     __bits=F.bitmap_construct_agg(F.bitmap_bit_position("__slot")))
-    buckets = sliding(panes.select("__bucket", "window_start", "__bits"), ["__bucket"], "window_start", size, slide,
-                      **{name: F.bitmap_count(F.bitmap_or_agg("__bits"))})
-    return buckets.groupBy("window_start", "window_end").agg(F.sum(name).alias(name))
+    pane, per_window, length = _panes(ts, size, slide)
+    seen = df.select(pane.alias("__pane"), value.alias("__v")).dropDuplicates()
+    seen = scan(seen, ["__v"], ["__pane"], {"__last": Running("max", F.col("__pane"), exclusive=True)}, rows_per_segment)
+    first = F.greatest(F.col("__pane") - (per_window - 1), F.col("__last") + 1)
+    ends = seen.select(F.explode(F.array(
+        F.struct(first.alias("at"), F.lit(1).alias("change")),
+        F.struct((F.col("__pane") + 1).alias("at"), F.lit(-1).alias("change")))).alias("e")).select("e.*")
+    # One row per pane from here on.
+    balance = ends.groupBy("at").agg(F.sum("change").alias("change"))
+    levels = scan(balance, [], ["at"], {name: Running("sum", F.col("change")), "__next": Near(F.col("at"), 1)},
+                  rows_per_segment)
+    starts = (levels.filter(F.col(name) > 0)
+              .select(name, F.explode(F.sequence(F.col("at"), F.get("__next", F.lit(0)) - 1)).alias("__first")))
+    kind = df.schema[ts].dataType
+    return starts.select(_pane_time(F.col("__first"), length, kind).alias("window_start"),
+                         _pane_time(F.col("__first") + per_window, length, kind).alias("window_end"), name)
 
 
 def approx_distinct_counts(df: DataFrame, ts: str, size: str, value: Column, rsd: float = 0.02,

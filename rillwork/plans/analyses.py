@@ -346,8 +346,8 @@ SELECT time_bucket(INTERVAL '5 minutes', ts) - to_minutes(5 * i) AS window_start
        count(DISTINCT {SLOT_SQL}) AS uv
 FROM events, range(12) r(i) WHERE event_type = 'view' GROUP BY 1, 2""")
 def uv_bitmap_sliding(spark, folder):
-    return windows.distinct_slots(events(spark, folder).filter(is_type("view")), "ts", "1 hour", "5 minutes",
-                                  sc.poly_hash(F.col("user_id").cast("string")))
+    return windows.sliding_distinct_counts(events(spark, folder).filter(is_type("view")), "ts", "1 hour", "5 minutes",
+                                           sc.poly_hash(F.col("user_id").cast("string")))
 
 
 @query("window_per_element_fire", f"""
