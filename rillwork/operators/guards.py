@@ -11,7 +11,10 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rillwork.functions.scalar import day_of, epoch_micros, seconds
-from rillwork.operators.ordered import Near, Running, running, scan
+from rillwork.operators.chains import long_chains
+from rillwork.operators.ordered import (ROWS_PER_SEGMENT, SEGMENT, Near, Running, find_cuts, running, same_keys, scan,
+                                        with_segments)
+from rillwork.sizing import fits_one_task
 
 # Executors may not have the package installed, so its functions travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -79,9 +82,9 @@ def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value:
 
     A fall, and a pause longer than ``hold``, end a stretch: what follows does
     not depend on what was before. Stretches are found with balanced running
-    values and thinned to their distinct times; only the re-arming inside a
-    stretch is sequential, and it runs over sorted batches with one number of
-    memory.
+    values and thinned to their distinct times. The re-arming inside a stretch
+    runs over sorted batches with one number of memory; stretches too long for
+    one task are cut and put together as ``chains`` describes.
     """
     order = [ts, seq]
     rows = scan(df.select(*keys, ts, seq, value), keys, order, {
@@ -98,9 +101,27 @@ def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value:
     times = (rows.filter(~F.col("__fell"))
              .groupBy(*keys, "__stretch", epoch_micros(F.col(ts)).alias("__at"))
              .agg(F.max("__cancel").alias("__cancel")))
-    sorted_times = (times.repartition(*keys, "__stretch").sortWithinPartitions(*keys, "__stretch", "__at"))
+    group = [*keys, "__stretch"]
+    cuts = []
+    if rows_per_segment is not None or not fits_one_task(times):
+        cuts = find_cuts(times, group, ["__at"], rows_per_segment or ROWS_PER_SEGMENT)
+    micros = int(hold * 1_000_000)
+    short = times
+    if cuts:
+        placed = with_segments(times, group, ["__at"], cuts)
+        short = placed.filter(F.col(SEGMENT).isNull()).drop(SEGMENT)
+    sorted_times = short.repartition(*group).sortWithinPartitions(*group, "__at")
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("__alarm", T.LongType())])
-    alarms = sorted_times.mapInPandas(_chain(list(keys), int(hold * 1_000_000)), schema)
+    alarms = sorted_times.mapInPandas(_chain(list(keys), micros), schema)
+    if cuts:
+        long = placed.filter(F.col(SEGMENT).isNotNull())
+        # One row per cut stretch, so no more rows than cuts.
+        cancels = long.groupBy(*[F.col(k).alias("__g_" + k) for k in group]).agg(F.max("__cancel").alias("__stop"))
+        chain = long_chains(times, group, micros, cuts, rows_per_segment)
+        chain = chain.join(F.broadcast(cancels), same_keys(group, "__g_"))
+        due = F.col("__at") + micros
+        goes_off = F.col("__next").isNotNull() | F.col("__stop").isNull() | (due < F.col("__stop"))
+        alarms = alarms.unionByName(chain.filter(goes_off).select(*keys, due.alias("__alarm")))
     zone_free = df.schema[ts].dataType
     return alarms.select(*keys, F.timestamp_micros("__alarm").cast(zone_free).alias("alarm_at"))
 

@@ -58,8 +58,8 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         step *= 2  # fewer, longer segments: always allowed, cuts carry no meaning
 
 
-def _with_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   cuts: list[tuple[tuple, tuple]]) -> DataFrame:
+def with_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  cuts: list[tuple[tuple, tuple]]) -> DataFrame:
     """Add ``__segment``: how many cuts of the row's key lie at or before the row; null if the key has none."""
     by_key: dict[tuple, list] = defaultdict(list)
     for key, at in cuts:
@@ -77,12 +77,12 @@ def _with_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return F.when(F.get(_CUTS, found + step - 1) <= F.struct(*order), found + step).otherwise(found)
 
     place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), jump)
-    joined = df.join(F.broadcast(table), _same(keys, "__cut_"), "left")
+    joined = df.join(F.broadcast(table), same_keys(keys, "__cut_"), "left")
     return (joined.withColumn(SEGMENT, F.when(F.col(_CUTS).isNotNull(), place))
             .drop(_CUTS, *[f"__cut_{k}" for k in keys]))
 
 
-def _same(keys: Sequence[str], prefix: str) -> Column:
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
     """Key equality in which null equals null, as it does in a group."""
     cond = F.lit(True)
     for k in keys:
@@ -101,14 +101,14 @@ def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_
     cuts = find_cuts(df, keys, order, rows_per_segment)
     if not cuts:
         return df, list(keys), False
-    return _with_segments(df, keys, order, cuts), list(keys), True
+    return with_segments(df, keys, order, cuts), list(keys), True
 
 
 def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-join the per-segment carry, at most one row per cut and cut key, to its rows."""
     carry = carry.select(*[F.col(k).alias("__c_" + k) for k in [*keys, SEGMENT]],
                          *[c for c in carry.columns if c not in {*keys, SEGMENT}])
-    return (rows.join(F.broadcast(carry), _same([*keys, SEGMENT], "__c_"), "left")
+    return (rows.join(F.broadcast(carry), same_keys([*keys, SEGMENT], "__c_"), "left")
             .drop(*["__c_" + k for k in [*keys, SEGMENT]]))
 
 

@@ -85,7 +85,7 @@ def test_neighbours_equal_loop(df, rows, per_segment, keyed, backward):
 def test_hot_keys_are_cut_and_cold_keys_are_not(df):
     cuts = ordered.find_cuts(df, ["k"], ["ts", "id"], 30)
     assert {k for k, in {c[0] for c in cuts}} >= {"hot", None}
-    segments = ordered._with_segments(df, ["k"], ["ts", "id"], cuts)
+    segments = ordered.with_segments(df, ["k"], ["ts", "id"], cuts)
     sizes = segments.groupBy("k", ordered.SEGMENT).count().agg(F.max("count")).first()[0]
     assert sizes <= 60
 

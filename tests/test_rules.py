@@ -1,5 +1,6 @@
 """Operators on small hand-written rows with results worked out by hand."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rillwork import schemas
 from rillwork.functions import scalar as sc
-from rillwork.operators import aggregate, basic, guards, joins, lateness, patterns, windows
+from rillwork.operators import aggregate, basic, chains, guards, joins, lateness, patterns, windows
 from rillwork.sinks import encode, files as out_files
 from rillwork.sources import files, kafka
 
@@ -277,15 +278,16 @@ def alarms_by_loop(rows, hold):
     return out + ([due] if due is not None else [])
 
 
-@pytest.mark.parametrize("per_segment,batch", [(None, 10000), (25, 10000), (None, 7), (25, 3)])
-def test_rising_alarms_equal_loop(spark, per_segment, batch):
-    import random
+@pytest.mark.parametrize("per_segment,batch", [(None, 10000), (25, 10000), (None, 7), (25, 3), (6, 10000)])
+def test_rising_alarms_equal_loop(spark, monkeypatch, per_segment, batch):
+    long = []
+    monkeypatch.setattr(guards, "long_chains", lambda *a: long.append(a) or chains.long_chains(*a))
     rnd = random.Random(11)
     rows, no = [], 0
     for key, fall in (("steady", 0.01), ("normal", 0.3), ("calm", 0.0), (None, 0.1)):
         t, v = 0, 5
         for _ in range(120):
-            t += rnd.choice([0, 1, 1, 2, 3, 9])
+            t += rnd.choice([0, 1, 1, 2, 3, 9 if key == "normal" else 4])
             v = max(v + (-2 if rnd.random() < fall else rnd.choice([0, 1])), 0)
             rows.append((no, key, at(t), v, t))
             no += 1
@@ -300,3 +302,4 @@ def test_rising_alarms_equal_loop(spark, per_segment, batch):
     for key in ("steady", "normal", "calm", None):
         want += [(key or "none", at(a)) for a in alarms_by_loop([(r[4], r[3]) for r in rows if r[1] == key], 5)]
     assert got == sorted(want)
+    assert bool(long) == (per_segment is not None)
