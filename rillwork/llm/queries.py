@@ -28,11 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op10_minmax_near_dedup", r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
     FROM documents),
 sets AS (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-        ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s FROM words),
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
 items AS (SELECT doc_id, unnest(s) AS e FROM sets),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.e = b.e AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (
