@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillwork.session import shared_folder
@@ -16,16 +16,20 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of few rows, as one row may hold a very long text."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """``df`` sorted by ``order`` with ``part`` and ``pos``, its place in the sorted whole.
+    """``df`` with ``pos``, its place from 0 without gaps in the order of the columns ``order``, nulls last.
 
-    A range partitioning, so no task gets all rows; kept, as the ranges come from
-    a sample and must not change between uses.
+    Sorted by ranges, so no task gets all rows; the driver gets one count per
+    range. Kept, as the ranges come from a sample and must not change between uses.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return kept(placed.withColumn("part", F.spark_partition_id()).withColumn("pos", F.monotonically_increasing_id()))
+    by = [F.col(c).asc_nulls_last() for c in order]
+    placed = kept(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("id", F.monotonically_increasing_id()))
+    part = F.shiftright("id", 33).cast("int")
+    counts = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before, starts = 0, []
+    for p in sorted(counts):
+        starts.append((p, before))
+        before += counts[p]
+    starts = df.sparkSession.createDataFrame(starts, "part int, start long")
+    return placed.withColumn("part", part).join(F.broadcast(starts), "part").withColumn(
+        "pos", F.col("start") + F.col("id") - F.shiftleft(F.col("part").cast("long"), 33)).drop("part", "start", "id")

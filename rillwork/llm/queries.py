@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import near_dedup
+from rillwork.llm import fingerprints, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,35 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN labels USING (doc_id)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query("op9_minhash_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op5_pareto_mixing", r"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size,
+        (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS u
+    FROM documents),
+ranked AS (SELECT *, CASE WHEN size > 0 THEN (u / (1 - u)) / sqrt(CAST(size AS DOUBLE)) END AS rank FROM sized),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+    FROM ranked GROUP BY source),
+ordered AS (
+    SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS spare, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS weights
+    FROM sources
+    WINDOW before AS (ORDER BY CAST(source_size AS DOUBLE) / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+open AS (SELECT spare, weights FROM ordered WHERE CAST(spare AS DOUBLE) * w / CAST(weights AS DOUBLE) <= 3 * source_size ORDER BY weights DESC LIMIT 1),
+goals AS (
+    SELECT source, source_size, coalesce(least(CAST((SELECT spare FROM open) AS DOUBLE) * w / CAST((SELECT weights FROM open) AS DOUBLE), CAST(3 * source_size AS DOUBLE)),
+        CAST(3 * source_size AS DOUBLE)) AS target FROM sources),
+budgets AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM goals)
+SELECT doc_id, size, source_size, target,
+    CAST(copies * size + greatest(0, least(size, CAST(floor(target - copies * source_size + 0.5) AS BIGINT)
+        - coalesce(sum(size) OVER (PARTITION BY r.source ORDER BY rank NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
+FROM ranked r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
