@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import fingerprints, mixing, near_dedup
+from rillwork.llm import embedding_dedup, fingerprints, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,20 @@ SELECT doc_id, size, source_size, target,
 FROM ranked r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query("op8_pca_tiled_links", r"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+both_ways AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.95),
+reached(vec_id, label) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT b, label FROM reached JOIN both_ways ON vec_id = a),
+labels AS (SELECT vec_id, min(label) AS component_id FROM reached GROUP BY 1),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM both_ways GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM labels LEFT JOIN counts USING (vec_id)""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.linked_vectors(table(spark, sf_dir, "embeddings"), 0.95)
