@@ -93,7 +93,7 @@ def similar(docs: DataFrame, percent: int = 80) -> DataFrame:
     signed = kept(named.mapInArrow(sign, "doc_id long, size long, class binary, sig binary, keys array<long>"))
     classes = kept(signed.groupBy("class").agg(F.min("doc_id").alias("id")))
     items = kept(signed.join(classes, "class").where("doc_id = id").dropDuplicates(["class"]).select("id", "size", "sig", "keys"))
-    found = links.in_buckets(items, percent, LEAST_ALIKE, lambda pairs: near_dedup.confirmed(named, pairs, WORDS, percent))
+    found = links.in_buckets(items, percent, LEAST_ALIKE, near_dedup.shortened(named, WORDS), lambda pairs: near_dedup.confirmed(named, pairs, WORDS, percent))
     label = links.components(found)
     return signed.select("doc_id", "class").join(classes, "class").join(label, "id", "left").select(
         "doc_id", F.coalesce("component", "id").alias("component_id"))

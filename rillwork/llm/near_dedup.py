@@ -69,8 +69,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of ``pairs`` (a, b) of doc_ids those with 100 * intersection >= percent * union of their shingle sets."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    """Of the kept ``pairs`` (a, b) of doc_ids those with 100 * intersection >= percent * union of their shingle sets."""
+    ids = kept(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    texts = links.only(docs, "doc_id", ids).select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     both = (pairs.join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
             .join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a").select("a", "b", "text_a", "text_b"))
 
@@ -90,13 +91,25 @@ def confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
     return both.mapInArrow(check, "a long, b long").distinct()
 
 
+def shortened(docs: DataFrame, words: int):
+    """For ``links.in_buckets``: the shortened shingle sets of the documents with given ids."""
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(len(shingles), links.shorten(shingles)) for _, shingles in shingle_sets(batch.column(1), words)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in sets], pa.int64()),
+                                              pa.array([b for _, b in sets], pa.binary())], ["id", "size", "short"])
+
+    return lambda ids: links.only(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")), "id", ids).mapInArrow(
+        short, "id long, size long, short binary")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     signed = kept(signatures(docs, words))
     linked = signed.where("doc_id IS NOT NULL AND class IS NOT NULL")
     classes = kept(linked.groupBy("class").agg(F.min("doc_id").alias("id")))
     items = kept(linked.join(classes, "class").where("doc_id = id").dropDuplicates(["class"]).select("id", "size", "sig", "keys"))
-    found = links.in_buckets(items, percent, LEAST_ALIKE, lambda pairs: confirmed(docs, pairs, words, percent))
+    found = links.in_buckets(items, percent, LEAST_ALIKE, shortened(docs, words), lambda pairs: confirmed(docs, pairs, words, percent))
     # a doc_id that stands in several classes joins them
     same = linked.join(classes, "class").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     several = linked.groupBy("doc_id").agg(F.min("class").alias("c"), F.max("class").alias("d")).where("c < d").select(F.col("doc_id").alias("b"))
