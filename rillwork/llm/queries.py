@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import embedding_dedup, fingerprints, mixing, near_dedup
+from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,8 @@ counts AS (SELECT a AS vec_id, count(*) AS n FROM both_ways GROUP BY 1)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM labels LEFT JOIN counts USING (vec_id)""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.linked_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query("op3_compression_langid")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
