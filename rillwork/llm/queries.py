@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup
+from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_compression_langid")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+@query("op1_seekable_warc", r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, min(page_id) AS first FROM p GROUP BY html),
+bits AS (SELECT html, CAST(CAST(unhex(sha1(html)) AS BIT) AS VARCHAR) AS b FROM firsts),
+digests AS (
+    SELECT html, array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda k:
+            CAST(substr(b, CAST(5 * i + k + 1 AS BIGINT), 1) AS INTEGER) * [16, 8, 4, 2, 1][k + 1]))::BIGINT, 1)), '') AS payload_digest
+    FROM bits)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN firsts USING (html) JOIN digests USING (html)""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(table(spark, sf_dir, "pages"), warc.new_folder(spark), revisit_from=0)
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
