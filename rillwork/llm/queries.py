@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, warc
+from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +120,8 @@ FROM p JOIN firsts USING (html) JOIN digests USING (html)""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(table(spark, sf_dir, "pages"), warc.new_folder(spark), revisit_from=0)
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_cutting_stock_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
