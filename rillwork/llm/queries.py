@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, warc
+from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_cutting_stock_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+
+
+@query("op7_trie_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
