@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, token_counts, warc
+from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, pii, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_trie_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_bootstrapped_pii")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents"))
