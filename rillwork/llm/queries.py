@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, pii, token_counts, warc
+from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, pii, secret_scan, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_bootstrapped_pii")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(table(spark, sf_dir, "documents"))
+
+
+@query("op4_randomness_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.found(table(spark, sf_dir, "documents"))
