@@ -2,9 +2,9 @@
 
 Base spans: assignments to words like ``token``, access keys, long hexadecimal runs. Beside them, every run of
 at least ``SHORTEST`` characters of an encoding is a candidate. Its encoding (hexadecimal, base32, lower-case
-letters and digits, letters and digits, base64) is inferred from its characters, and three tests ask whether its symbols
-are independent and uniform over that alphabet: chi-squared, runs about the median, and lag-1 serial
-correlation, combined by Fisher's method. A candidate that they reject is no secret.
+letters and digits, letters and digits, base64) is inferred from its characters, and tests ask whether its symbols
+are independent and uniform over that alphabet: chi-squared of symbols and of character classes, runs about the median, and
+lag-1 serial correlation, combined by Fisher's method and by the least of them. A candidate that they reject is no secret.
 
 What is left must be unlike ordinary text: with the symbol frequencies of all texts, chi-squared of a string of n ordinary
 symbols is about normal with a mean and spread that grow with n, so the chance that ordinary text looks
@@ -35,7 +35,7 @@ from rillwork.llm.keep import kept
 KINDS = ("assign", "access", "hex")
 ADDED = "random"
 SHORTEST = 20
-RANDOM = 0.001  # combined p-value below which a candidate is not random
+RANDOM = 0.01  # combined p-value below which a candidate is not random
 FALSE = 0.01  # expected share of ordinary strings among those reported
 BINS = 50  # bins of p-values per power of ten
 LEAST_P = -200.0  # powers of ten below which p-values are not told apart
@@ -78,8 +78,23 @@ def chi_squared(values: np.ndarray, size: int) -> float:
     return float(((counts - expected) ** 2).sum() / expected)
 
 
-def battery(values: np.ndarray, size: int) -> tuple[float, float]:
-    """(chi-squared, combined p-value) of symbol values from 0 to ``size`` - 1 against independent uniform ones."""
+def class_p(run: str, name: str) -> float:
+    """Chi-squared p-value of the counts of upper-case, lower-case, digits and others, against their shares of the alphabet."""
+    kinds = {"u": str.isupper, "l": str.islower, "d": str.isdigit, "o": lambda c: not c.isalnum()}
+    shares = {k: sum(map(test, ENCODINGS[name])) / len(ENCODINGS[name]) for k, test in kinds.items()}
+    shares = {k: v for k, v in shares.items() if v}
+    chi = sum((sum(map(kinds[k], run)) - len(run) * v) ** 2 / (len(run) * v) for k, v in shares.items())
+    degrees = len(shares) - 1
+    if degrees == 0:
+        return 1.0
+    if degrees == 2:
+        return math.exp(-chi / 2)
+    return math.erfc(math.sqrt(chi / 2)) + (math.sqrt(2 * chi / math.pi) * math.exp(-chi / 2) if degrees == 3 else 0.0)
+
+
+def battery(run: str, name: str) -> tuple[float, float]:
+    """(chi-squared, combined p-value) of a run in an encoding against independent uniform symbols."""
+    values, size = np.array([_PLACES[name][c] for c in run]), len(ENCODINGS[name])
     n = len(values)
     chi = chi_squared(values, size)
     # exact mean and variance under uniform symbols, as few are expected of each
@@ -97,9 +112,10 @@ def battery(values: np.ndarray, size: int) -> tuple[float, float]:
         x = values - values.mean()
         r = float((x[1:] * x[:-1]).sum() / (x * x).sum())
         p_serial = 2 * upper_tail(abs(r + 1 / n) * math.sqrt(n))
-    fisher = -2 * sum(math.log(max(p, 1e-300)) for p in (p_chi, p_runs, p_serial))
-    half = fisher / 2  # chi-squared with six degrees of freedom
-    return chi, math.exp(-half) * (1 + half + half * half / 2)
+    tests = (p_chi, class_p(run, name), p_runs, p_serial)
+    half = -sum(math.log(max(p, 1e-300)) for p in tests)  # half of Fisher's statistic, of eight degrees of freedom
+    fisher = math.exp(-half) * (1 + half + half**2 / 2 + half**3 / 6)
+    return chi, min(fisher, len(tests) * min(tests))
 
 
 def log_p_ordinary(chi: float, n: int, size: int, excess: float) -> float:
@@ -146,10 +162,9 @@ def candidates(text: str, taken: list[tuple[int, int]], excess: dict[str, float]
         name = encoding_of(run)
         if name is None or any(a < end and start < b for a, b in taken):
             continue
-        size = len(ENCODINGS[name])
-        chi, p = battery(np.array([_PLACES[name][c] for c in run]), size)
+        chi, p = battery(run, name)
         if p >= RANDOM:
-            found.append({"start": start, "end": end, "bin": math.ceil(log_p_ordinary(chi, len(run), size, excess[name]) * BINS)})
+            found.append({"start": start, "end": end, "bin": math.ceil(log_p_ordinary(chi, len(run), len(ENCODINGS[name]), excess[name]) * BINS)})
     return found
 
 
