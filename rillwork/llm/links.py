@@ -82,12 +82,14 @@ def in_buckets(items: DataFrame, percent: int, least_alike: float, shortened: Ca
     return links.union(kept(verified(pairs)))
 
 
-def only(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``rows`` whose ``column`` stands in the kept table ``ids`` (id); broadcast only if it was counted to be small."""
+def only(rows: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """``rows`` whose ``column`` stands in the kept table ``ids`` (id), or with ``left_anti`` does not.
+
+    The ids are broadcast only if they were counted to be few."""
     wanted = ids.withColumnRenamed("id", column)
     if ids.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    return rows.join(wanted, column, "left_semi")
+    return rows.join(wanted, column, how)
 
 
 def shorten(hashes: np.ndarray) -> bytes:

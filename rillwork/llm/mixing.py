@@ -89,19 +89,19 @@ def copies_of(docs: DataFrame) -> DataFrame:
     Rows that share a doc_id share what is taken of that id, and rows with a null
     doc_id too.
     """
-    taken = mixed(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken_"), F.sum("size").alias("sizes_"))
-    one = docs.join(taken.withColumnRenamed("doc_id", "id_"), F.col("doc_id").eqNullSafe(F.col("id_")))
-    size = size_of(F.col("text"))
-    whole, rest = F.expr("taken_ div sizes_"), F.col("taken_") % F.col("sizes_")
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    taken = mixed(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("sizes"))
+    one = docs.select([F.col(c).alias(n) for c, n in names.items()]).withColumn("key", F.col(names["doc_id"]))
+    one = one.join(taken, F.col("key").eqNullSafe(F.col("doc_id"))).where("taken > 0")
+    old = F.col(names["text"]).cast("string")
     # of rows with one id, each gives the same share of its words
-    part = F.when(F.col("sizes_") == 0, 0).otherwise(F.ceil(rest * size / F.col("sizes_"))).cast("int")
-    repeats = F.when(F.col("sizes_") == 0, 0).otherwise(whole).cast("int")
-    words = F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
-    cut = F.array_join(F.slice(words, F.lit(1), F.col("part_")), "")
-    one = one.withColumn("part_", part).withColumn("cut_", F.explode(F.concat(
-        F.array_repeat(F.lit(False), repeats), F.when(part > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))))
-    text = F.when(F.col("cut_"), cut).otherwise(F.col("text"))
-    new = {c: F.col(c) for c in docs.columns} | {"text": text}
+    part = F.ceil(F.col("taken") % F.col("sizes") * size_of(old) / F.col("sizes")).cast("int")
+    one = one.withColumn("part", part).withColumn("cut", F.explode(F.concat(
+        F.array_repeat(F.lit(False), F.expr("int(taken div sizes)")),
+        F.when(F.col("part") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))))
+    words = F.regexp_extract_all(old, F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
+    text = F.when(F.col("cut"), F.array_join(F.slice(words, F.lit(1), F.col("part")), "")).otherwise(old)
+    new = {c: F.col(n) for c, n in names.items()} | {"text": text}
     if "n_chars" in new:
-        new["n_chars"] = F.when(F.col("cut_"), F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return one.select(*[new[c].alias(c) for c in docs.columns])
+        new["n_chars"] = F.when(F.col("cut"), F.length(text)).otherwise(new["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return one.select([new[c].alias(c) for c in docs.columns])

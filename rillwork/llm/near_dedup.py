@@ -119,3 +119,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     component = F.coalesce("component", "doc_id")
     return result.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the document with the smallest doc_id stays.
+
+    Rows that share a doc_id are one document; one of them stays. Rows with a null doc_id all stay.
+    """
+    found = kept(near_duplicates(docs, words, percent).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(
+        F.bool_and("kept").alias("kept"), F.count("*").alias("n")))
+    rest = links.only(docs, "doc_id", found.where("NOT kept").select("id"), "left_anti")
+    repeated = found.where("kept AND n > 1").select("id")
+    if repeated.isEmpty():
+        return rest
+    return links.only(rest, "doc_id", repeated, "left_anti").union(links.only(rest, "doc_id", repeated).dropDuplicates(["doc_id"]))
