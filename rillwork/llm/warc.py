@@ -39,6 +39,7 @@ from rillwork.session import shared_folder
 
 FRAME = 256 * 1024  # bytes of records in a frame, before compression
 LEVEL = 3
+TASK = 64 << 20  # bytes of records that a task reads
 BROADCAST_ROWS = 500_000  # so many revisits are sent to every executor at most
 INDEX = "page_id long, bundle string, frame int, offset long, length long"
 
@@ -217,8 +218,9 @@ def read(index: DataFrame) -> DataFrame:
         if reader:
             reader.close()
 
-    # the records of a frame come together, so each frame is read once
-    placed = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
+    # the records of a frame come together, so each frame is read once; tasks by the bytes they unpack, not by those of the index
+    unpacked = index.agg(F.sum("length")).first()[0] or 0
+    placed = index.repartition(1 + unpacked // TASK, "bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
     return placed.mapInArrow(unpack, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, "
                                      "refers_to long, payload binary")
 
