@@ -29,38 +29,38 @@ def distinct_total(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, name: str,
-                rows_per_segment: int | None = None) -> DataFrame:
+                cell: float | None = None) -> DataFrame:
     """Sum of a two-digit amount up to each row, exact whatever the row order of the input."""
-    out = running(df, keys, order, {name: Running("sum", money(F.col(column)))}, rows_per_segment)
+    out = running(df, keys, order, {name: Running("sum", money(F.col(column)))}, cell)
     return out.withColumn(name, F.col(name).cast("double"))
 
 
 def running_extreme(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, fold: str, name: str,
-                    keep_first: Sequence[str] = (), rows_per_segment: int | None = None) -> DataFrame:
+                    keep_first: Sequence[str] = (), cell: float | None = None) -> DataFrame:
     """Minimum or maximum of one column up to each row; ``keep_first`` columns show the key's first row."""
     specs = {name: Running(fold, F.col(column))}
     specs.update({f"first_{c}": Running("first", F.struct(c)) for c in keep_first})
-    out = running(df, keys, order, specs, rows_per_segment)
+    out = running(df, keys, order, specs, cell)
     for c in keep_first:
         out = out.withColumn(f"first_{c}", F.col(f"first_{c}.{c}"))
     return out
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n",
-                  where: Column | None = None, rows_per_segment: int | None = None) -> DataFrame:
+                  where: Column | None = None, cell: float | None = None) -> DataFrame:
     """Rows (matching ``where``) of the key up to each row."""
     value = F.lit(1) if where is None else F.when(where, 1)
-    return running(df, keys, order, {name: Running("count", value)}, rows_per_segment)
+    return running(df, keys, order, {name: Running("count", value)}, cell)
 
 
 def running_distinct(df: DataFrame, order: Sequence[str], column: str, name: str = "uv",
-                     rows_per_segment: int | None = None) -> DataFrame:
+                     cell: float | None = None) -> DataFrame:
     """For every row of the whole input, the distinct values of ``column`` seen up to it."""
     firsts = (df.groupBy(column).agg(F.min(F.struct(*order)).alias("__f"))
               .select(*[F.col(f"__f.{o}").alias(o) for o in order], F.lit(0).alias("__row")))
     both = df.select(*order, F.lit(1).alias("__row")).unionByName(firsts)
     counted = running(both, [], [*order, "__row"], {name: Running("count", F.when(F.col("__row") == 0, 1))},
-                      rows_per_segment)
+                      cell)
     return counted.filter(F.col("__row") == 1).drop("__row")
 
 
@@ -71,9 +71,9 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Se
 
 
 def changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n",
-              rows_per_segment: int | None = None) -> DataFrame:
+              cell: float | None = None) -> DataFrame:
     """Count per key as a change log: each row takes back the old count (add = false) and adds the new one."""
-    counted = running_count(df, keys, order, "__n", rows_per_segment=rows_per_segment)
+    counted = running_count(df, keys, order, "__n", cell=cell)
     new = F.col("__n")
     add = F.struct(F.lit(True).alias("add"), new.alias(name))
     take_back = F.struct(F.lit(False).alias("add"), (new - 1).alias(name))

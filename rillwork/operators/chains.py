@@ -14,7 +14,6 @@ group too large for one task is cut into segments and walked in parallel:
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -22,27 +21,25 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rillwork.operators.ordered import SEGMENT, Running, running, same_keys, with_segments
-from rillwork.session import shared_folder
+from rillwork.operators.ordered import CELL_SECONDS, SEGMENT, Running, running, same_keys, with_cells
+from rillwork.session import keep
 
 # Executors may not have the package installed, so its functions travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def long_chains(times: DataFrame, keys: Sequence[str], hold: int, cuts: list[tuple[tuple, tuple]],
-                rows_per_segment: int | None = None) -> DataFrame:
-    """(keys, ``__at``, ``__next``) of the chain members of all groups that ``cuts`` divide.
+def long_chains(times: DataFrame, keys: Sequence[str], hold: int, cell: float | None = None) -> DataFrame:
+    """(keys, ``__at``, ``__next``) of the chain members of every group.
 
-    ``times`` has the columns keys and ``__at`` (whole number), without duplicates.
+    ``times`` has the columns keys and ``__at`` (microseconds), without
+    duplicates; ``cell`` is in seconds.
     """
     keys = list(keys)
-    spark = times.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    nodes = with_segments(times.select(*keys, "__at"), keys, ["__at"], cuts).filter(F.col(SEGMENT).isNotNull())
-    steps = _join(nodes, _next_times(nodes.drop(SEGMENT), keys, hold, rows_per_segment), [*keys, "__at"], "inner")
+    width = int((cell or CELL_SECONDS) * 1_000_000)
+    nodes = with_cells(times.select(*keys, "__at"), "__at", width)
+    steps = _join(nodes, _next_times(nodes.drop(SEGMENT), keys, hold, width), [*keys, "__at"], "inner")
     # Read by several plans below, so it is written once.
-    steps = steps.checkpoint()
+    steps = keep(steps)
 
     ends = steps.groupBy(*keys, SEGMENT).agg(F.max("__at").alias("__last"))
     leaving = _join(steps, ends, [*keys, SEGMENT], "inner").filter(F.col("__next") > F.col("__last"))
@@ -54,8 +51,8 @@ def long_chains(times: DataFrame, keys: Sequence[str], hold: int, cuts: list[tup
     kinds = [times.schema[k] for k in keys]
     way_schema = T.StructType([*kinds, T.StructField("__at", T.LongType()), T.StructField("__exit", T.LongType())])
     ways = marked.groupBy(*keys, SEGMENT).applyInPandas(_ways_out(keys), way_schema)
-    most = max(Counter(key for key, _ in cuts).values()) + 1
-    reached = _follow(starts, ways.filter(F.col("__exit").isNotNull()).checkpoint(), keys, most)
+    most = steps.groupBy(*keys).agg(F.count_distinct(SEGMENT).alias("n")).agg(F.max("n")).first()[0] or 1
+    reached = _follow(starts, keep(ways.filter(F.col("__exit").isNotNull())), keys, most)
 
     entered = _join(steps, reached.withColumn("__entry", F.lit(True)), [*keys, "__at"], "left")
     chain_schema = T.StructType([*kinds, T.StructField("__at", T.LongType()), T.StructField("__next", T.LongType())])
@@ -68,12 +65,12 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> D
     return left.join(renamed, same_keys(keys, "__r_"), how).drop(*["__r_" + k for k in keys])
 
 
-def _next_times(times: DataFrame, keys: Sequence[str], hold: int, rows_per_segment: int | None) -> DataFrame:
+def _next_times(times: DataFrame, keys: Sequence[str], hold: int, cell: int) -> DataFrame:
     """For every time the first one more than ``hold`` later: the nearest time after a probe row at its due time."""
     rows = times.select(*keys, F.col("__at").alias("__t"), F.lit(0).alias("__probe"))
     probes = times.select(*keys, (F.col("__at") + hold).alias("__t"), F.lit(1).alias("__probe"))
     nearest = Running("last", F.when(F.col("__probe") == 0, F.col("__t")), backward=True, exclusive=True)
-    found = running(rows.unionByName(probes), keys, ["__t", "__probe"], {"__next": nearest}, rows_per_segment)
+    found = running(rows.unionByName(probes), keys, ["__t", "__probe"], {"__next": nearest}, cell)
     return found.filter(F.col("__probe") == 1).select(*keys, (F.col("__t") - hold).alias("__at"), "__next")
 
 
@@ -82,10 +79,10 @@ def _follow(starts: DataFrame, ways: DataFrame, keys: Sequence[str], most: int)
     reached, spanned = starts, 1
     while spanned < most:
         further = _join(reached, ways, [*keys, "__at"], "inner")
-        reached = reached.unionByName(further.select(*keys, F.col("__exit").alias("__at"))).checkpoint()
+        reached = keep(reached.unionByName(further.select(*keys, F.col("__exit").alias("__at"))))
         onward = ways.select(*keys, F.col("__at").alias("__from"), F.col("__exit").alias("__at"))
-        ways = _join(onward, ways, [*keys, "__at"], "inner").select(
-            *keys, F.col("__from").alias("__at"), "__exit").checkpoint()
+        ways = keep(_join(onward, ways, [*keys, "__at"], "inner").select(
+            *keys, F.col("__from").alias("__at"), "__exit"))
         spanned *= 2
     return reached
 

@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rillwork.functions.scalar import day_of, epoch_micros, seconds
 from rillwork.operators.chains import long_chains
-from rillwork.operators.ordered import (ROWS_PER_SEGMENT, SEGMENT, Near, Running, find_cuts, running, same_keys, scan,
-                                        with_segments)
-from rillwork.sizing import fits_one_task
+from rillwork.operators.ordered import Near, Running, running, same_keys, scan
+from rillwork.session import keep
 
 # Executors may not have the package installed, so its functions travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,6 +23,8 @@ CLICKS_PER_DAY = 100
 LOGIN_SECONDS = 2
 PAY_SECONDS = 15 * 60
 RISING_SECONDS = 5
+# Distinct times of a stretch above which it is walked in cells, by several tasks.
+LONGEST_STRETCH = 1_000_000
 
 PAID, PAID_LATE, TIMEOUT, NO_CREATE = "paid", "late", "timeout", "missing_create"
 
@@ -50,11 +51,16 @@ def limit_alarms(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[st
 
 
 def repeated_failures(fails: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
-                      within: float = LOGIN_SECONDS, rows_per_segment: int | None = None) -> DataFrame:
-    """Failures close to the key's first failure ever; ``first_ts`` tells when that was."""
-    out = running(fails, keys, order, {"first_ts": Running("first", F.col(ts), exclusive=True)}, rows_per_segment)
+                      within: float = LOGIN_SECONDS) -> DataFrame:
+    """Failures close to the key's first failure ever; ``first_ts`` tells when that was, null times aside.
+
+    The first failure is one minimum per key, combined before the shuffle and joined back, so no key is put in order.
+    """
+    first = fails.groupBy(*[F.col(k).alias("__f_" + k) for k in keys]).agg(F.min(F.struct(*order)).alias("__first"))
+    known = fails.join(first, same_keys(keys, "__f_"))
+    later = known.filter(F.struct(*order) > F.col("__first")).withColumn("first_ts", F.col(f"__first.{ts}"))
     gap = F.abs(epoch_micros(F.col(ts)) - epoch_micros(F.col("first_ts")))
-    return out.filter(gap <= int(within * 1_000_000))
+    return later.filter(gap <= int(within * 1_000_000)).drop("__first", *["__f_" + k for k in keys])
 
 
 def payment_status(df: DataFrame, key: str, kind: str, ts: str, limit: float = PAY_SECONDS) -> DataFrame:
@@ -62,19 +68,21 @@ def payment_status(df: DataFrame, key: str, kind: str, ts: str, limit: float = P
 
     Both sides of the check come from one grouping, combined before the shuffle.
     """
-    created = F.min(F.when(F.col(kind) == "create", F.col(ts)))
-    paid = F.min(F.when(F.col(kind) == "pay", F.col(ts)))
-    both = df.groupBy(key).agg(created.alias("created"), paid.alias("paid"))
+    created, paid = F.col(kind) == "create", F.col(kind) == "pay"
+    both = df.groupBy(key).agg(
+        F.min(F.when(created, F.col(ts))).alias("created"), F.min(F.when(paid, F.col(ts))).alias("paid"),
+        F.max(created).alias("__created"), F.max(paid).alias("__paid"))
+    # a row counts as there even if its time is null
     status = (
-        F.when(F.col("created").isNull(), NO_CREATE)
-        .when(F.col("paid").isNull(), TIMEOUT)
+        F.when(~F.coalesce("__created", F.lit(False)), NO_CREATE)
+        .when(~F.coalesce("__paid", F.lit(False)), TIMEOUT)
         .when(F.col("paid") > F.col("created") + seconds(limit), PAID_LATE)
         .otherwise(PAID))
-    return both.withColumn("status", status)
+    return both.withColumn("status", status).drop("__created", "__paid")
 
 
 def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str, hold: float = RISING_SECONDS,
-                  rows_per_segment: int | None = None) -> DataFrame:
+                  cell: float | None = None, longest: int = LONGEST_STRETCH) -> DataFrame:
     """(keys, ``alarm_at``): times at which ``value`` had not fallen for ``hold`` seconds.
 
     The first row that does not fall sets the alarm, a fall cancels it, and
@@ -83,42 +91,34 @@ def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value:
     A fall, and a pause longer than ``hold``, end a stretch: what follows does
     not depend on what was before. Stretches are found with balanced running
     values and thinned to their distinct times. The re-arming inside a stretch
-    runs over sorted batches with one number of memory; stretches too long for
-    one task are cut and put together as ``chains`` describes.
+    runs over sorted batches with one number of memory; stretches of more than
+    ``longest`` times are walked in cells and put together as ``chains`` describes.
     """
     order = [ts, seq]
     rows = scan(df.select(*keys, ts, seq, value), keys, order, {
         "__before": Near(F.struct(ts, value), 1, backward=True), "__after": Near(F.struct(ts, value), 1)},
-        rows_per_segment)
+        cell)
     before, after = F.get("__before", F.lit(0)), F.get("__after", F.lit(0))
     fell = F.col(value) < F.coalesce(before[value], F.lit(0))
     pause = epoch_micros(F.col(ts)) - epoch_micros(before[ts]) > int(hold * 1_000_000)
     rows = rows.select(
         *keys, ts, seq, fell.alias("__fell"), F.when(fell | pause | before.isNull(), 1).alias("__start"),
         F.when(after[value] < F.col(value), epoch_micros(after[ts])).alias("__cancel"))
-    rows = running(rows, keys, order, {"__stretch": Running("count", F.col("__start"))}, rows_per_segment)
+    rows = running(rows, keys, order, {"__stretch": Running("count", F.col("__start"))}, cell)
 
-    times = (rows.filter(~F.col("__fell"))
-             .groupBy(*keys, "__stretch", epoch_micros(F.col(ts)).alias("__at"))
-             .agg(F.max("__cancel").alias("__cancel")))
     group = [*keys, "__stretch"]
-    cuts = []
-    if rows_per_segment is not None or not fits_one_task(times):
-        cuts = find_cuts(times, group, ["__at"], rows_per_segment or ROWS_PER_SEGMENT)
+    times = keep(rows.filter(~F.col("__fell")).groupBy(*group, epoch_micros(F.col(ts)).alias("__at"))
+                 .agg(F.max("__cancel").alias("__cancel")))
     micros = int(hold * 1_000_000)
-    short = times
-    if cuts:
-        placed = with_segments(times, group, ["__at"], cuts)
-        short = placed.filter(F.col(SEGMENT).isNull()).drop(SEGMENT)
+    long = keep(times.groupBy(*[F.col(k).alias("__g_" + k) for k in group]).agg(
+        F.count(F.lit(1)).alias("__n"), F.max("__cancel").alias("__stop")).filter(F.col("__n") > longest).drop("__n"))
+    short = times.join(long.drop("__stop"), same_keys(group, "__g_"), "left_anti")
     sorted_times = short.repartition(*group).sortWithinPartitions(*group, "__at")
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("__alarm", T.LongType())])
     alarms = sorted_times.mapInPandas(_chain(list(keys), micros), schema)
-    if cuts:
-        long = placed.filter(F.col(SEGMENT).isNotNull())
-        # One row per cut stretch, so no more rows than cuts.
-        cancels = long.groupBy(*[F.col(k).alias("__g_" + k) for k in group]).agg(F.max("__cancel").alias("__stop"))
-        chain = long_chains(times, group, micros, cuts, rows_per_segment)
-        chain = chain.join(F.broadcast(cancels), same_keys(group, "__g_"))
+    if not long.isEmpty():
+        chain = long_chains(times.join(long.drop("__stop"), same_keys(group, "__g_"), "left_semi"), group, micros, cell)
+        chain = chain.join(long, same_keys(group, "__g_"))
         due = F.col("__at") + micros
         goes_off = F.col("__next").isNotNull() | F.col("__stop").isNull() | (due < F.col("__stop"))
         alarms = alarms.unionByName(chain.filter(goes_off).select(*keys, due.alias("__alarm")))

@@ -42,16 +42,21 @@ def stream_interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: s
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str) -> DataFrame:
-    """Keys present on both sides with a value of each; nulls and empty keys never match.
+    """Keys present on both sides, with the value of each (which may be null); null and empty keys never match.
 
     Each key occurs at most once per side, so both sides go through a single
     grouping: one shuffle, combined on the map side, no join.
     """
-    tagged = (left.select(F.col(key), F.col(left_value), F.lit(None).cast(right.schema[right_value].dataType)
-                          .alias(right_value))
-              .unionByName(right.select(F.col(key), F.lit(None).cast(left.schema[left_value].dataType)
-                                        .alias(left_value), F.col(right_value))))
+    kinds = {left_value: left.schema[left_value].dataType, right_value: right.schema[right_value].dataType}
+
+    def side(rows: DataFrame, value: str, is_left: bool) -> DataFrame:
+        other = right_value if is_left else left_value
+        return rows.select(F.col(key), F.col(value), F.lit(None).cast(kinds[other]).alias(other),
+                           F.lit(is_left).alias("__left")).select(key, left_value, right_value, "__left")
+
+    tagged = side(left, left_value, True).unionByName(side(right, right_value, False))
     known = F.col(key).isNotNull() & (F.col(key).cast("string") != "")
     return (tagged.filter(known).groupBy(key)
-            .agg(F.min(left_value).alias(left_value), F.min(right_value).alias(right_value))
-            .filter(F.col(left_value).isNotNull() & F.col(right_value).isNotNull()))
+            .agg(F.min(left_value).alias(left_value), F.min(right_value).alias(right_value),
+                 F.max("__left").alias("__on_left"), F.min("__left").alias("__only_left"))
+            .filter(F.col("__on_left") & ~F.col("__only_left")).drop("__on_left", "__only_left"))

@@ -17,16 +17,16 @@ ON_TIME, REFIRE, LATE = "on_time", "refire", "late"
 
 
 def watermark_seen(df: DataFrame, arrival: Sequence[str], ts: str, bound: float, name: str = "watermark",
-                   include_row: bool = False, rows_per_segment: int | None = None) -> DataFrame:
+                   include_row: bool = False, cell: float | None = None) -> DataFrame:
     """Add the watermark in force when the row arrives, null for the very first (or just after it)."""
-    out = running(df, [], arrival, {name: Running("max", F.col(ts), exclusive=not include_row)}, rows_per_segment)
+    out = running(df, [], arrival, {name: Running("max", F.col(ts), exclusive=not include_row)}, cell)
     return out.withColumn(name, F.col(name) - seconds(bound))
 
 
 def classify(df: DataFrame, arrival: Sequence[str], ts: str, size: str, bound: float, lateness: float,
-             rows_per_segment: int | None = None) -> DataFrame:
+             cell: float | None = None) -> DataFrame:
     """Add the row's window and whether it is on time, makes a fired window fire again, or comes too late."""
-    rows = watermark_seen(df, arrival, ts, bound, "watermark", rows_per_segment=rows_per_segment)
+    rows = watermark_seen(df, arrival, ts, bound, "watermark", cell=cell)
     window = F.window(ts, size)
     rows = rows.withColumn("window_start", window["start"]).withColumn("window_end", window["end"])
     return rows.withColumn(
@@ -37,13 +37,13 @@ def classify(df: DataFrame, arrival: Sequence[str], ts: str, size: str, bound: f
 
 
 def firings(df: DataFrame, arrival: Sequence[str], ts: str, size: str, bound: float, lateness: float,
-            rows_per_segment: int | None = None) -> DataFrame:
+            cell: float | None = None) -> DataFrame:
     """What a window with allowed lateness emits: its count when it fires, and again for each row let in after.
 
     ``refired_by`` is the last arrival column of the row that made it fire again, null for the first firing.
     """
-    rows = classify(df, arrival, ts, size, bound, lateness, rows_per_segment).filter(F.col("status") != LATE)
-    counted = running(rows, ["window_start"], arrival, {"n": Running("count", F.lit(1))}, rows_per_segment)
+    rows = classify(df, arrival, ts, size, bound, lateness, cell).filter(F.col("status") != LATE)
+    counted = running(rows, ["window_start"], arrival, {"n": Running("count", F.lit(1))}, cell)
     kind = df.schema[arrival[-1]].dataType
     again = (counted.filter(F.col("status") == REFIRE)
              .select("window_start", F.col(arrival[-1]).alias("refired_by"), "n"))

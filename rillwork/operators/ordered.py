@@ -2,84 +2,49 @@
 
 A running sum, a "next row" or a row number needs the rows of a key in order.
 A plain window puts each key into one task, which fails once a single key holds
-a large part of the data.  The functions here cut such keys into *segments* of
-consecutive rows, work inside the segments in parallel, and hand each segment
-the summary of the segments before it (or after it, for backward work).
-
-Where the cuts fall is found with one pruned scan over a hash sample of the
-keys and order columns; cuts only decide how work is divided, so they never
-change a result.  Keys that fit into one task are not cut and need no extra
-shuffle; an input that fits into one scan task is not even sampled.
+a large part of the data.  The functions here cut the first order column into
+*cells* of fixed width (an hour, or ``CELL_NUMBERS`` of a whole number), work
+inside (key, cell) in parallel, and hand each cell the summary of the cells
+before it (or after it, for backward work).
+
+There is one plan at every size: a summary per (key, cell), combined on the map
+side; the prefix of the summaries of a key, which has as many rows as the key has
+cells, not rows; an equality join on (key, cell) that brings it to the rows; and
+the window inside the cell, which needs the same partitioning as the join. Cells come from a
+formula, so nothing is sampled, collected or broadcast by hand, and they only
+divide the work: results are the same with any width. A cell with too many rows for a task
+needs a smaller width, the ``cell`` argument (seconds for times).
 
 ``order`` must be a total order inside a key, so its last column is a row id.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from rillwork.sizing import fits_one_task
+from rillwork.functions.scalar import epoch_micros, floor_div
 
 SEGMENT = "__segment"
-_CUTS = "__cuts"
-_AT = "__at"
-_ALL = "__all"
-
-ROWS_PER_SEGMENT = 4_000_000
-SAMPLES_PER_SEGMENT = 64
-# The cut list is collected and broadcast, so its length is fixed, not grown with the data.
-MAX_CUTS = 50_000
 
+CELL_SECONDS = 3600
+CELL_NUMBERS = 1 << 20
 
-# --- where to cut ----------------------------------------------------------------------------
 
-def find_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-              rows_per_segment: int = ROWS_PER_SEGMENT) -> list[tuple[tuple, tuple]]:
-    """(key values, order values) of the rows that start a new segment; at most ``MAX_CUTS``.
+# --- cells -----------------------------------------------------------------------------------
 
-    Keeps about ``SAMPLES_PER_SEGMENT`` rows in ``rows_per_segment`` by a hash of
-    key and order, ranks them per key, and cuts at every n-th sampled row.
-    """
-    keep_one_in = max(rows_per_segment // SAMPLES_PER_SEGMENT, 1)
-    sample = (
-        df.select(*keys, F.struct(*order).alias(_AT))
-        .filter(F.pmod(F.xxhash64(*keys, _AT), F.lit(keep_one_in)) == 0)
-        .withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(_AT)))
-    )
-    step = max(min(SAMPLES_PER_SEGMENT, rows_per_segment), 1)
-    while True:
-        cuts = sample.filter(F.col("__rank") % step == 0).drop("__rank").limit(MAX_CUTS + 1).collect()
-        if len(cuts) <= MAX_CUTS:
-            return [(tuple(r[k] for k in keys), tuple(r[_AT])) for r in cuts]
-        step *= 2  # fewer, longer segments: always allowed, cuts carry no meaning
-
-
-def with_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  cuts: list[tuple[tuple, tuple]]) -> DataFrame:
-    """Add ``__segment``: how many cuts of the row's key lie at or before the row; null if the key has none."""
-    by_key: dict[tuple, list] = defaultdict(list)
-    for key, at in cuts:
-        by_key[key].append(at)
-    schema = T.StructType(
-        [T.StructField(f"__cut_{k}", df.schema[k].dataType) for k in keys]
-        + [T.StructField(_CUTS, T.ArrayType(T.StructType([T.StructField(o, df.schema[o].dataType) for o in order])))]
-    )
-    rows = [(*key, ats) for key, ats in by_key.items()]
-    table = df.sparkSession.createDataFrame(rows, schema).withColumn(_CUTS, F.sort_array(_CUTS))
-    longest = max(len(ats) for ats in by_key.values())
-    steps = [1 << b for b in reversed(range(longest.bit_length()))]
-
-    def jump(found: Column, step: Column) -> Column:  # binary search, one halving per step
-        return F.when(F.get(_CUTS, found + step - 1) <= F.struct(*order), found + step).otherwise(found)
-
-    place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), jump)
-    joined = df.join(F.broadcast(table), same_keys(keys, "__cut_"), "left")
-    return (joined.withColumn(SEGMENT, F.when(F.col(_CUTS).isNotNull(), place))
-            .drop(_CUTS, *[f"__cut_{k}" for k in keys]))
+def with_cells(df: DataFrame, first: str, cell: float | None = None) -> DataFrame:
+    """Add ``__segment``, the number of the cell of the first order column; null values are a cell of their own."""
+    kind = df.schema[first].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        place = floor_div(epoch_micros(F.col(first)), max(int((cell or CELL_SECONDS) * 1_000_000), 1))
+    elif isinstance(kind, T.IntegralType):
+        place = floor_div(F.col(first).cast("long"), max(int(cell or CELL_NUMBERS), 1))
+    else:
+        raise TypeError(f"rows cannot be put in order by {first}, a {kind.simpleString()}, first: times and whole numbers can")
+    return df.withColumn(SEGMENT, place)
 
 
 def same_keys(keys: Sequence[str], prefix: str) -> Column:
@@ -90,25 +55,11 @@ def same_keys(keys: Sequence[str], prefix: str) -> Column:
     return cond
 
 
-def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int | None):
-    """(rows, keys, whether rows carry ``__segment``): cut only if some key is too large for one task."""
-    if rows_per_segment is None:
-        if fits_one_task(df):
-            return df, list(keys), False
-        rows_per_segment = ROWS_PER_SEGMENT
-    if not keys:  # no key: all rows are one key
-        df, keys = df.withColumn(_ALL, F.lit(0)), [_ALL]
-    cuts = find_cuts(df, keys, order, rows_per_segment)
-    if not cuts:
-        return df, list(keys), False
-    return with_segments(df, keys, order, cuts), list(keys), True
-
-
 def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join the per-segment carry, at most one row per cut and cut key, to its rows."""
+    """Left-join the carry, one row per key and cell, to its rows."""
     carry = carry.select(*[F.col(k).alias("__c_" + k) for k in [*keys, SEGMENT]],
                          *[c for c in carry.columns if c not in {*keys, SEGMENT}])
-    return (rows.join(F.broadcast(carry), same_keys([*keys, SEGMENT], "__c_"), "left")
+    return (rows.join(carry, same_keys([*keys, SEGMENT], "__c_"), "left")
             .drop(*["__c_" + k for k in [*keys, SEGMENT]]))
 
 
@@ -169,22 +120,20 @@ class Near:
 
 
 def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running | Near],
-         rows_per_segment: int | None = None) -> DataFrame:
-    """Add running values and neighbours to every row, all in one pass over the ordered keys.
-
-    ``rows_per_segment`` forces the question of cutting to be asked even for a small input.
-    """
-    rows, part, cut = _prepare(df, keys, order, rows_per_segment)
-    inside = [*part, SEGMENT] if cut else part
+         cell: float | None = None) -> DataFrame:
+    """Add running values and neighbours to every row, all in one pass over the ordered keys."""
+    rows, keys = with_cells(df, order[0], cell), list(keys)
+    inside = [*keys, SEGMENT]
     carries = {name: "__carry_" + name for name in columns}
-    if cut:
-        source = rows.filter(F.col(SEGMENT).isNotNull())
-        folds = {n: c for n, c in columns.items() if isinstance(c, Running)}
-        if folds:
-            rows = _attach(rows, _fold_carry(source, part, order, folds, carries), part)
-        for name, spec in columns.items():
-            if isinstance(spec, Near):
-                rows = _attach(rows, _near_carry(source, part, order, spec, carries[name]), part)
+    source, carry = rows, None
+    folds = {n: c for n, c in columns.items() if isinstance(c, Running)}
+    if folds:
+        carry = _fold_carry(source, keys, order, folds, carries)
+    for name, spec in columns.items():
+        if isinstance(spec, Near):
+            near = _near_carry(source, keys, order, spec, carries[name])
+            carry = near if carry is None else _attach(carry, near, keys)
+    rows = _attach(rows, carry, keys)
     for name, spec in columns.items():
         ordered = Window.partitionBy(*inside).orderBy(*_direction(order, spec.backward))
         if isinstance(spec, Running):
@@ -198,15 +147,14 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict
                 forward = Window.partitionBy(*inside).orderBy(*_direction(order, False))
                 here = F.reverse(F.collect_list(spec.value).over(forward.rowsBetween(-spec.n, -1)))
         rows = rows.withColumn(name, here)
-        if cut:
-            kind = rows.schema[name].dataType
-            carry = F.col(carries[name])
-            if isinstance(spec, Running):
-                whole = _combine(spec.fold, carry, F.col(name)).cast(kind)
-            else:
-                whole = F.slice(F.concat(name, F.coalesce(carry, F.array().cast(kind))), 1, spec.n)
-            rows = rows.withColumn(name, whole)
-    return rows.drop(SEGMENT, _ALL, *carries.values())
+        kind = rows.schema[name].dataType
+        carry = F.col(carries[name])
+        if isinstance(spec, Running):
+            whole = _combine(spec.fold, carry, F.col(name)).cast(kind)
+        else:
+            whole = F.slice(F.concat(name, F.coalesce(carry, F.array().cast(kind))), 1, spec.n)
+        rows = rows.withColumn(name, whole)
+    return rows.drop(SEGMENT, *carries.values())
 
 
 def _by_segment(part: Sequence[str], backward: bool):
@@ -216,7 +164,7 @@ def _by_segment(part: Sequence[str], backward: bool):
 
 def _fold_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], specs: dict[str, Running],
                 names: dict[str, str]) -> DataFrame:
-    """Per segment, the fold over all segments before it (after it, if backward): from one total per segment."""
+    """Per cell, the fold over all cells before it (after it, if backward): from one total per cell."""
     totals = source.groupBy(*part, SEGMENT).agg(
         *[_segment_total(spec, order).alias(names[n]) for n, spec in specs.items()])
     before = {n: (F.sum(names[n]) if spec.fold == "count" else _fold(spec.fold, F.col(names[n]))).over(
@@ -225,7 +173,7 @@ def _fold_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], sp
 
 
 def _near_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], spec: Near, name: str) -> DataFrame:
-    """Per segment, the first rows of the segments after it (before it, if backward): n per segment are enough."""
+    """Per cell, the first rows of the cells after it (before it, if backward): n per cell are enough."""
     place = F.row_number().over(
         Window.partitionBy(*part, SEGMENT).orderBy(*_direction(order, spec.backward)))
     heads = (
@@ -237,18 +185,18 @@ def _near_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], sp
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running],
-            rows_per_segment: int | None = None) -> DataFrame:
+            cell: float | None = None) -> DataFrame:
     """Add running values, one per entry of ``columns``, to every row."""
-    return scan(df, keys, order, columns, rows_per_segment)
+    return scan(df, keys, order, columns, cell)
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
-                rows_per_segment: int | None = None) -> DataFrame:
+                cell: float | None = None) -> DataFrame:
     """Add the 1-based position of each row inside its key."""
-    return scan(df, keys, order, {name: Running("count", F.lit(1))}, rows_per_segment)
+    return scan(df, keys, order, {name: Running("count", F.lit(1))}, cell)
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, n: int, name: str,
-               backward: bool = False, rows_per_segment: int | None = None) -> DataFrame:
+               backward: bool = False, cell: float | None = None) -> DataFrame:
     """Add an array of ``value`` of the next (previous) ``n`` rows; see ``Near``."""
-    return scan(df, keys, order, {name: Near(value, n, backward)}, rows_per_segment)
+    return scan(df, keys, order, {name: Near(value, n, backward)}, cell)

@@ -42,12 +42,12 @@ def _step(columns: Sequence[str]) -> Column:
 
 def next_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, second: Column,
              columns: Sequence[str], within: float | None = None,
-             rows_per_segment: int | None = None) -> DataFrame:
+             cell: float | None = None) -> DataFrame:
     """Strict contiguity: the row right after a ``first`` row must be a ``second`` row."""
     rows = df.select(*keys, _step(columns).alias("first"), first.alias("__is_first"), second.alias("__is_second"),
                      *[c for c in order if c not in keys])
     rows = neighbours(rows, keys, order, F.struct(F.col("first").alias("step"), "__is_second"), 1, "__next",
-                      rows_per_segment=rows_per_segment)
+                      cell=cell)
     following = F.get("__next", F.lit(0))
     return (rows.filter(F.col("__is_first") & following["__is_second"])
             .select(*keys, "first", following["step"].alias("second"))
@@ -55,28 +55,28 @@ def next_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Co
 
 
 def _with_follower(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, second: Column,
-                   columns: Sequence[str], rows_per_segment: int | None) -> DataFrame:
+                   columns: Sequence[str], cell: float | None) -> DataFrame:
     """``first`` rows with the nearest later ``second`` row, null if there is none."""
     rows = df.filter(first | second).select(
         *keys, *[c for c in order if c not in keys], first.alias("__is_first"), second.alias("__is_second"),
         _step(columns).alias("first"))
     nearest = Running("last", F.when(F.col("__is_second"), F.col("first")), backward=True, exclusive=True)
-    rows = running(rows, keys, order, {"second": nearest}, rows_per_segment)
+    rows = running(rows, keys, order, {"second": nearest}, cell)
     return rows.filter("__is_first").select(*keys, "first", "second")
 
 
 def followed_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, second: Column,
                 columns: Sequence[str], within: float | None = None,
-                rows_per_segment: int | None = None) -> DataFrame:
+                cell: float | None = None) -> DataFrame:
     """Relaxed contiguity: each ``first`` row with the nearest later ``second`` row."""
-    return (_with_follower(df, keys, order, first, second, columns, rows_per_segment)
+    return (_with_follower(df, keys, order, first, second, columns, cell)
             .filter(F.col("second").isNotNull() & _in_time("first", "second", order[0], within)))
 
 
 def timed_out(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, second: Column,
-              columns: Sequence[str], within: float, rows_per_segment: int | None = None) -> DataFrame:
+              columns: Sequence[str], within: float, cell: float | None = None) -> DataFrame:
     """``first`` rows that no ``second`` row follows in time: the partial matches that ran out."""
-    return (_with_follower(df, keys, order, first, second, columns, rows_per_segment)
+    return (_with_follower(df, keys, order, first, second, columns, cell)
             .filter(F.col("second").isNull() | ~_in_time("first", "second", order[0], within))
             .select(*keys, "first"))
 
@@ -98,13 +98,13 @@ def followed_by_any(df: DataFrame, keys: Sequence[str], order: Sequence[str], fi
 
 def times_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], where: Column, columns: Sequence[str],
                 least: int, most: int, within: float | None = None,
-                rows_per_segment: int | None = None) -> DataFrame:
+                cell: float | None = None) -> DataFrame:
     """Every run of ``least`` to ``most`` successive matching rows, rows in between being ignored.
 
     Gives the number of rows ``times`` and the first and last of them.
     """
     rows = df.filter(where).select(*keys, *[c for c in order if c not in keys], _step(columns).alias("first"))
-    rows = neighbours(rows, keys, order, F.col("first"), most - 1, "__later", rows_per_segment=rows_per_segment)
+    rows = neighbours(rows, keys, order, F.col("first"), most - 1, "__later", cell=cell)
     reach = F.least(F.lit(most), F.size("__later") + 1)
     rows = (rows.filter(reach >= least)
             .select(*keys, "first", "__later", F.explode(F.sequence(F.lit(least), reach)).alias("times")))
@@ -114,6 +114,6 @@ def times_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], where:
 
 
 def times(df: DataFrame, keys: Sequence[str], order: Sequence[str], where: Column, columns: Sequence[str], n: int,
-          within: float | None = None, rows_per_segment: int | None = None) -> DataFrame:
+          within: float | None = None, cell: float | None = None) -> DataFrame:
     """Every ``n`` successive matching rows."""
-    return times_range(df, keys, order, where, columns, n, n, within, rows_per_segment).drop("times")
+    return times_range(df, keys, order, where, columns, n, n, within, cell).drop("times")

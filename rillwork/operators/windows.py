@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rillwork.functions.scalar import epoch_micros, floor_div, seconds_of
-from rillwork.operators.ordered import Near, Running, number_rows, running, scan
+from rillwork.operators.ordered import Near, Running, number_rows, running, same_keys, scan
 
 
 def tumbling(df: DataFrame, keys: Sequence[str], ts: str, size: str, **aggs: Column) -> DataFrame:
@@ -25,19 +25,22 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
 
 
 def session(df: DataFrame, keys: Sequence[str], ts: str, seq: str, gap: str,
-            rows_per_segment: int | None = None, **aggs: Column) -> DataFrame:
+            cell: float | None = None, **aggs: Column) -> DataFrame:
     """Aggregates per key and session; a row exactly ``gap`` after the last one still belongs to it.
 
-    The built-in session window sends every row of a key to one task. Here the
-    start of a row's session is a running value, which stays balanced, and the
-    sessions are then ordinary groups, combined before the shuffle.
+    The built-in session window sends every row of a key to one task. Rows of
+    one cell as long as the gap always share a session, so only (key, cell)
+    pairs are put in order, combined before the shuffle; sessions are then ordinary groups.
+    ``seq`` tells rows apart and is not needed here.
     """
     pause = F.expr(f"interval {gap}")
-    before = scan(df, keys, [ts, seq], {"__before": Running("max", F.col(ts), exclusive=True)}, rows_per_segment)
-    opens = F.when(F.col("__before").isNull() | (F.col(ts) > F.col("__before") + pause), F.col(ts))
-    rows = scan(before.withColumn("__opens", opens), keys, [ts, seq], {"window_start": Running("max", F.col("__opens"))},
-                rows_per_segment)
-    return (rows.groupBy(*keys, "window_start")
+    rows = df.withColumn("__gap", floor_div(epoch_micros(F.col(ts)), seconds_of(gap) * 1_000_000))
+    cells = rows.groupBy(*keys, "__gap").agg(F.min(ts).alias("__from"), F.max(ts).alias("__to"))
+    cells = scan(cells, keys, ["__from"], {"__before": Running("max", F.col("__to"), exclusive=True)}, cell)
+    opens = F.when(F.col("__before").isNull() | (F.col("__from") > F.col("__before") + pause), F.col("__from"))
+    cells = scan(cells.withColumn("__opens", opens), keys, ["__from"], {"window_start": Running("max", F.col("__opens"))}, cell)
+    cells = cells.select(*[F.col(k).alias("__s_" + k) for k in [*keys, "__gap"]], "window_start")
+    return (rows.join(cells, same_keys([*keys, "__gap"], "__s_")).groupBy(*keys, "window_start")
             .agg((F.max(ts) + pause).alias("window_end"), *[c.alias(n) for n, c in aggs.items()]))
 
 
@@ -83,7 +86,7 @@ def distinct_counts(df: DataFrame, ts: str, size: str, value: Column, name: str
 
 
 def sliding_distinct_counts(df: DataFrame, ts: str, size: str, slide: str, value: Column, name: str = "uv",
-                            rows_per_segment: int | None = None) -> DataFrame:
+                            cell: float | None = None) -> DataFrame:
     """Exact distinct values per overlapping window, without copying rows into windows.
 
     A value seen in a pane belongs to the windows that start up to ``size``
@@ -93,7 +96,7 @@ def sliding_distinct_counts(df: DataFrame, ts: str, size: str, slide: str, value
     """
     pane, per_window, length = _panes(ts, size, slide)
     seen = df.select(pane.alias("__pane"), value.alias("__v")).dropDuplicates()
-    seen = scan(seen, ["__v"], ["__pane"], {"__last": Running("max", F.col("__pane"), exclusive=True)}, rows_per_segment)
+    seen = scan(seen, ["__v"], ["__pane"], {"__last": Running("max", F.col("__pane"), exclusive=True)}, cell)
     first = F.greatest(F.col("__pane") - (per_window - 1), F.col("__last") + 1)
     ends = seen.select(F.explode(F.array(
         F.struct(first.alias("at"), F.lit(1).alias("change")),
@@ -101,7 +104,7 @@ def sliding_distinct_counts(df: DataFrame, ts: str, size: str, slide: str, value
     # One row per pane from here on.
     balance = ends.groupBy("at").agg(F.sum("change").alias("change"))
     levels = scan(balance, [], ["at"], {name: Running("sum", F.col("change")), "__next": Near(F.col("at"), 1)},
-                  rows_per_segment)
+                  cell)
     starts = (levels.filter(F.col(name) > 0)
               .select(name, F.explode(F.sequence(F.col("at"), F.get("__next", F.lit(0)) - 1)).alias("__first")))
     kind = df.schema[ts].dataType
@@ -116,7 +119,7 @@ def approx_distinct_counts(df: DataFrame, ts: str, size: str, value: Column, rsd
 
 
 def distinct_counts_per_row(df: DataFrame, ts: str, seq: str, size: str, value: Column, name: str = "uv",
-                            rows_per_segment: int | None = None) -> DataFrame:
+                            cell: float | None = None) -> DataFrame:
     """For every row, the distinct values its window has seen up to and including the row.
 
     The first sight of a value is found by an aggregate, not by sorting the
@@ -128,15 +131,15 @@ def distinct_counts_per_row(df: DataFrame, ts: str, seq: str, size: str, value:
                       F.lit(0).alias("__row")))
     both = rows.select("__start", ts, seq, F.lit(1).alias("__row")).unionByName(firsts)
     first_seen = F.when(F.col("__row") == 0, 1)
-    counted = running(both, ["__start"], [ts, seq, "__row"], {name: Running("count", first_seen)}, rows_per_segment)
+    counted = running(both, ["__start"], [ts, seq, "__row"], {name: Running("count", first_seen)}, cell)
     return (counted.filter(F.col("__row") == 1)
             .select(F.col("__start").alias("window_start"), ts, seq, name))
 
 
 def count_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
-                   rows_per_segment: int | None = None, **aggs: Column) -> DataFrame:
+                   cell: float | None = None, **aggs: Column) -> DataFrame:
     """Aggregates over every ``n`` consecutive rows of a key; an incomplete last group is not emitted."""
-    numbered = number_rows(df, keys, order, "__rn", rows_per_segment)
+    numbered = number_rows(df, keys, order, "__rn", cell)
     numbered = numbered.withColumn("window_no", floor_div(F.col("__rn") - 1, n))
     return (numbered.groupBy(*keys, "window_no")
             .agg(F.count(F.lit(1)).alias("__size"), *[c.alias(k) for k, c in aggs.items()])
@@ -144,10 +147,10 @@ def count_tumbling(df: DataFrame, keys: Sequence[str], order: Sequence[str], n:
 
 
 def count_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int, value: Column,
-                  name: str = "values", rows_per_segment: int | None = None) -> DataFrame:
+                  name: str = "values", cell: float | None = None) -> DataFrame:
     """Fires on every ``slide``-th row of a key with ``value`` of the last ``size`` rows or fewer, newest first."""
     seen = scan(df, keys, order, {"fired_at_row": Running("count", F.lit(1)),
-                                  "__before": Near(value, size - 1, backward=True)}, rows_per_segment)
+                                  "__before": Near(value, size - 1, backward=True)}, cell)
     return (seen.filter(F.col("fired_at_row") % slide == 0)
             .withColumn(name, F.concat(F.array(value), "__before")).drop("__before"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every query needs, whoever made the session.
 #  * windows and days are counted on epoch values, so the zone must be UTC;
@@ -57,3 +57,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="rillwork-")
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """``df`` computed once, written to the shared folder and read from there by all that follows."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

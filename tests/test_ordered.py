@@ -1,4 +1,4 @@
-"""Cut and uncut plans must agree with each other and with a plain Python loop."""
+"""Cells of any width must give what a plain Python loop gives."""
 
 import random
 
@@ -82,17 +82,30 @@ def test_neighbours_equal_loop(df, rows, per_segment, keyed, backward):
     assert {r["id"]: r["near"] for r in got.collect()} == expected
 
 
-def test_hot_keys_are_cut_and_cold_keys_are_not(df):
-    cuts = ordered.find_cuts(df, ["k"], ["ts", "id"], 30)
-    assert {k for k, in {c[0] for c in cuts}} >= {"hot", None}
-    segments = ordered.with_segments(df, ["k"], ["ts", "id"], cuts)
-    sizes = segments.groupBy("k", ordered.SEGMENT).count().agg(F.max("count")).first()[0]
-    assert sizes <= 60
+def test_a_hot_key_is_spread_over_its_cells(df):
+    sizes = ordered.with_cells(df, "ts", 5).groupBy("k", ordered.SEGMENT).count().agg(F.max("count")).first()[0]
+    assert sizes <= 40
 
 
-def test_cut_list_is_bounded(df, monkeypatch):
-    monkeypatch.setattr(ordered, "MAX_CUTS", 5)
-    assert len(ordered.find_cuts(df, ["k"], ["ts", "id"], 4)) <= 5
-    got = {r["id"]: r["rn"] for r in number_rows(df, ["k"], ["ts", "id"], "rn", 4).collect()}
-    plain = {r["id"]: r["rn"] for r in number_rows(df, ["k"], ["ts", "id"]).collect()}
-    assert got == plain
+@pytest.mark.parametrize("keyed", [True, False])
+def test_the_plan_has_no_nested_loop_and_the_same_shape_at_every_width(df, keyed):
+    shapes = set()
+    for cell in (None, 1, 50):
+        out = number_rows(df, ["k"] if keyed else [], ["ts", "id"], "rn", cell)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        shapes.add((plan.count("Window"), plan.count("Join"), plan.count("Exchange")))
+    assert len(shapes) == 1
+
+
+def test_order_must_begin_with_a_time_or_whole_number(df):
+    with pytest.raises(TypeError):
+        number_rows(df, [], ["k", "id"])
+
+
+def test_times_before_the_epoch_and_null_times(spark):
+    rows = [(i, f"19{60 + i}-01-01 00:00:00" if i % 7 else None) for i in range(25)]
+    df = spark.createDataFrame(rows, "id int, t string").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    got = {r["id"]: r["rn"] for r in number_rows(df, [], ["ts", "id"]).collect()}
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", r[0]))
+    assert got == {r[0]: n + 1 for n, r in enumerate(want)}
