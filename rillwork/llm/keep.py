@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillwork.session import shared_folder
@@ -16,6 +16,12 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few megabytes, as a Python worker and the JVM beside it hold several of them at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """``df`` with ``pos``, its place from 0 without gaps in the order of the columns ``order``, nulls last.
 

@@ -26,6 +26,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillwork.llm.keep import small_batches
+
 UNKNOWN = "und"
 SAMPLE = 300  # labelled texts of a language that may go into its dictionary
 DICTIONARY = 65536  # bytes of a dictionary
@@ -95,6 +97,7 @@ class Classifier:
 
 def identified(docs: DataFrame, model: dict[str, tuple[bytes, float]], *carried: str) -> DataFrame:
     """``carried`` columns of every row of ``docs`` with lang_pred, score and rejected, from its text only."""
+    small_batches(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(model)  # at most DICTIONARY bytes a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

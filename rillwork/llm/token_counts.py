@@ -28,6 +28,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillwork.llm.keep import small_batches
+
 MARK = "▁"
 SHIFT = 10
 BYTE = -14_000  # score of a byte of a character that is no piece
@@ -139,6 +141,8 @@ def unigram(path: str) -> Unigram:
 
 def counted(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, n_words, n_tokens) of every row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = unigram(vocabulary), {}
         for batch in batches:

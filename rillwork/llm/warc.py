@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillwork.llm.keep import kept
+from rillwork.llm.keep import kept, small_batches
 from rillwork.session import shared_folder
 
 FRAME = 256 * 1024  # bytes of records in a frame, before compression
@@ -165,6 +165,7 @@ def with_references(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
 
 def write(pages: DataFrame, folder: str, revisit_from: int = 0) -> DataFrame:
     """Archive ``pages`` (page_id, url, html) under ``folder``; the index, read from where it was written."""
+    small_batches(pages.sparkSession)
     system, place = fs.FileSystem.from_uri(folder)
     system.create_dir(f"{place}/bundles", recursive=True)
 
