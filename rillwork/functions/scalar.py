@@ -59,9 +59,9 @@ def seconds_of(text: str) -> int:
     return int(number) * _UNIT_SECONDS[unit.removesuffix("s")]
 
 
-def money(value: Column) -> Column:
-    """Exact form of a two-digit amount; sums of it do not depend on row order."""
-    return value.cast("decimal(18,2)")
+def money(value: Column, digits: int = 2, precision: int = 18) -> Column:
+    """Exact form of an amount with ``digits`` decimals; sums of it do not depend on row order."""
+    return value.cast(f"decimal({precision},{digits})")
 
 
 def poly_hash(text: Column, seed: int = HASH_SEED, mask: int = HASH_MASK) -> Column:

@@ -29,9 +29,12 @@ def distinct_total(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, name: str,
-                cell: float | None = None) -> DataFrame:
-    """Sum of a two-digit amount up to each row, exact whatever the row order of the input."""
-    out = running(df, keys, order, {name: Running("sum", money(F.col(column)))}, cell)
+                cell: float | None = None, digits: int = 2, precision: int = 18) -> DataFrame:
+    """Sum of an amount of ``digits`` decimals up to each row, exact whatever the row order of the input.
+
+    Values are rounded to that; one of more than ``precision`` digits is null.
+    """
+    out = running(df, keys, order, {name: Running("sum", money(F.col(column), digits, precision))}, cell)
     return out.withColumn(name, F.col(name).cast("double"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from rillwork.functions.scalar import day_of, epoch_micros, seconds
 from rillwork.operators.chains import long_chains
 from rillwork.operators.ordered import Near, Running, running, same_keys, scan
+from rillwork.operators.windows import check_limit
 from rillwork.session import keep
 
 # Executors may not have the package installed, so its functions travel with the plan.
@@ -38,14 +39,16 @@ def below_daily_limit(df: DataFrame, keys: Sequence[str], ts: str, order: Sequen
     """The first ``limit`` rows of each key and UTC day.
 
     The rank filter works before the shuffle, so a key that floods the log
-    sends at most ``limit`` rows of a day from each map task.
+    sends at most ``limit`` rows of a day from each map task. A limit above what Spark filters so is refused.
     """
+    check_limit(df, limit)
     return df.withColumn("__nth", _click_number(keys, ts, order)).filter(F.col("__nth") <= limit).drop("__nth")
 
 
 def limit_alarms(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
                  limit: int = CLICKS_PER_DAY) -> DataFrame:
     """The row that first went over the limit, once per key and day."""
+    check_limit(df, limit + 1)
     nth = df.withColumn("__nth", _click_number(keys, ts, order)).filter(F.col("__nth") <= limit + 1)
     return nth.filter(F.col("__nth") == limit + 1).drop("__nth")
 

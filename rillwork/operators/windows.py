@@ -6,8 +6,10 @@ the shuffle, so a hot key or a crowded window costs a few rows per map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from math import gcd
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rillwork.functions.scalar import epoch_micros, floor_div, seconds_of
@@ -24,6 +26,18 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
     return _flat(df.groupBy(*keys, F.window(ts, size, slide).alias("__w")), keys, aggs)
 
 
+def process(df: DataFrame, keys: Sequence[str], ts: str, size: str, function: Callable[[pd.DataFrame], pd.DataFrame],
+            schema: str) -> DataFrame:
+    """``function`` over all rows of a key and window, which carry ``window_start`` and ``window_end``.
+
+    The rows of one (key, window) must fit into a task: what can be said as an
+    aggregate belongs in ``tumbling``, which takes user accumulators as grouped-aggregate Pandas UDFs.
+    """
+    window = F.window(ts, size)
+    rows = df.withColumn("window_start", window["start"]).withColumn("window_end", window["end"])
+    return rows.groupBy(*keys, "window_start", "window_end").applyInPandas(function, schema)
+
+
 def session(df: DataFrame, keys: Sequence[str], ts: str, seq: str, gap: str,
             cell: float | None = None, **aggs: Column) -> DataFrame:
     """Aggregates per key and session; a row exactly ``gap`` after the last one still belongs to it.
@@ -49,13 +63,14 @@ def _flat(grouped, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
         *keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *aggs)
 
 
-def _panes(ts: str, size: str, slide: str) -> tuple[Column, int, int]:
-    """Number of the row's pane since the epoch, panes per window, and microseconds per pane."""
-    length = seconds_of(slide) * 1_000_000
-    panes, rest = divmod(seconds_of(size) * 1_000_000, length)
-    if rest:
-        raise ValueError(f"{size} is not a multiple of {slide}")
-    return floor_div(epoch_micros(F.col(ts)), length), panes, length
+def _panes(ts: str, size: str, slide: str) -> tuple[Column, int, int, int]:
+    """Number of the row's pane since the epoch, panes per window, panes per slide, and microseconds per pane.
+
+    A pane is as long as the greatest common divisor, so any size goes with any slide.
+    """
+    whole, step = seconds_of(size), seconds_of(slide)
+    length = gcd(whole, step)
+    return floor_div(epoch_micros(F.col(ts)), length * 1_000_000), whole // length, step // length, length * 1_000_000
 
 
 def _pane_time(pane: Column, length: int, kind: T.DataType) -> Column:
@@ -65,17 +80,19 @@ def _pane_time(pane: Column, length: int, kind: T.DataType) -> Column:
 def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str, name: str = "n") -> DataFrame:
     """Row counts per key and overlapping window, built from panes.
 
-    Rows are first counted in disjoint panes of ``slide`` length; only the pane
-    counts are spread over the windows they belong to. Every row is handled
-    once instead of size/slide times. ``size`` must be a multiple of ``slide``.
+    Rows are first counted in disjoint panes; only the pane counts are spread
+    over the windows they belong to. Every row is handled once instead of size/slide times.
     """
-    pane, per_window, length = _panes(ts, size, slide)
+    pane, per_window, step, length = _panes(ts, size, slide)
     counts = df.groupBy(*keys, pane.alias("__pane")).agg(F.count(F.lit(1)).alias(name))
     # Whole numbers as window keys keep the second aggregation in generated code.
-    windows_ago = F.explode(F.array(*[F.lit(i) for i in range(per_window)]))
-    totals = (counts.select(*keys, name, "__pane", windows_ago.alias("__i"))
-              .groupBy(*keys, (F.col("__pane") - F.col("__i")).alias("__first")).agg(F.sum(name).alias(name)))
-    kind, first = df.schema[ts].dataType, F.col("__first")
+    windows_ago = F.explode(F.array(*[F.lit(i) for i in range(-(-per_window // step))]))
+    spread = counts.select(*keys, name, "__pane", windows_ago.alias("__i"))
+    spread = spread.withColumn("__first", floor_div(F.col("__pane"), step) - F.col("__i"))
+    if per_window % step:
+        spread = spread.filter(F.col("__first") * step + per_window > F.col("__pane"))
+    totals = spread.groupBy(*keys, "__first").agg(F.sum(name).alias(name))
+    kind, first = df.schema[ts].dataType, F.col("__first") * step
     return totals.select(*keys, _pane_time(first, length, kind).alias("window_start"),
                          _pane_time(first + per_window, length, kind).alias("window_end"), name)
 
@@ -94,13 +111,14 @@ def sliding_distinct_counts(df: DataFrame, ts: str, size: str, slide: str, value
     (value, window) counts once, as a range of windows with two ends; the
     counts are the running balance of range ends along time.
     """
-    pane, per_window, length = _panes(ts, size, slide)
+    pane, per_window, step, length = _panes(ts, size, slide)
     seen = df.select(pane.alias("__pane"), value.alias("__v")).dropDuplicates()
     seen = scan(seen, ["__v"], ["__pane"], {"__last": Running("max", F.col("__pane"), exclusive=True)}, cell)
-    first = F.greatest(F.col("__pane") - (per_window - 1), F.col("__last") + 1)
-    ends = seen.select(F.explode(F.array(
+    newest = floor_div(F.col("__pane"), step)
+    first = F.greatest(floor_div(F.col("__pane") - per_window, step) + 1, floor_div(F.col("__last"), step) + 1)
+    ends = seen.filter(first <= newest).select(F.explode(F.array(
         F.struct(first.alias("at"), F.lit(1).alias("change")),
-        F.struct((F.col("__pane") + 1).alias("at"), F.lit(-1).alias("change")))).alias("e")).select("e.*")
+        F.struct((newest + 1).alias("at"), F.lit(-1).alias("change")))).alias("e")).select("e.*")
     # One row per pane from here on.
     balance = ends.groupBy("at").agg(F.sum("change").alias("change"))
     levels = scan(balance, [], ["at"], {name: Running("sum", F.col("change")), "__next": Near(F.col("at"), 1)},
@@ -108,8 +126,9 @@ def sliding_distinct_counts(df: DataFrame, ts: str, size: str, slide: str, value
     starts = (levels.filter(F.col(name) > 0)
               .select(name, F.explode(F.sequence(F.col("at"), F.get("__next", F.lit(0)) - 1)).alias("__first")))
     kind = df.schema[ts].dataType
-    return starts.select(_pane_time(F.col("__first"), length, kind).alias("window_start"),
-                         _pane_time(F.col("__first") + per_window, length, kind).alias("window_end"), name)
+    begin = F.col("__first") * step
+    return starts.select(_pane_time(begin, length, kind).alias("window_start"),
+                         _pane_time(begin + per_window, length, kind).alias("window_end"), name)
 
 
 def approx_distinct_counts(df: DataFrame, ts: str, size: str, value: Column, rsd: float = 0.02,
@@ -155,11 +174,20 @@ def count_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str], size
             .withColumn(name, F.concat(F.array(value), "__before")).drop("__before"))
 
 
+def check_limit(df: DataFrame, n: int) -> None:
+    """Raise if a rank limit is so great that Spark would not filter before the shuffle."""
+    most = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n > most:
+        raise ValueError(f"a limit of {n} is above spark.sql.optimizer.windowGroupLimitThreshold ({most}); raise that setting first")
+
+
 def top_n(df: DataFrame, group: Sequence[str], by: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group; ``by`` should end in a key so that ties are settled.
 
-    The rank filter reaches the map side, so a group ships at most ``n`` rows per task.
+    The rank filter reaches the map side, so a group ships at most ``n`` rows per task, while ``n`` is within
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; a greater ``n`` is refused.
     """
+    check_limit(df, n)
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*by))
     return df.withColumn(rank, place).filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("long"))
 

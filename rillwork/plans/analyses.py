@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillwork.functions import scalar as sc
 from rillwork.operators import aggregate, basic, guards, joins, lateness, patterns, windows
 from rillwork.plans.basics import SENSOR_SQL, sensor
 from rillwork.plans.registry import query
+from rillwork.session import shared_folder
 from rillwork.sources import roles
+from rillwork.sources.files import read_lines
 
 ITEM_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 HOUR = 3600
@@ -87,6 +92,24 @@ def word_count(spark, folder):
 RUNNING = "OVER (PARTITION BY id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)"
 
 
+LINE_WORDS_SQL = r"""
+SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '[ \r\n]')) AS word FROM documents)
+WHERE word <> '' GROUP BY word"""
+
+
+def document_lines(spark: SparkSession, folder: str) -> str:
+    """A folder of text files with the lines of all documents."""
+    target = f"{shared_folder(spark)}/lines-{uuid4().hex}"
+    roles.table(spark, folder, "documents").select("text").filter("text IS NOT NULL").repartition(4).write.text(target)
+    return target
+
+
+@query("word_count_text", LINE_WORDS_SQL)
+def word_count_text(spark, folder):
+    """Words of text files, read as text."""
+    return aggregate.counts(basic.words(read_lines(spark, document_lines(spark, folder))), "word")
+
+
 @query("rolling_sum", f"""
 SELECT seq, id, CAST(sum(CAST(vc AS DECIMAL(18,2))) {RUNNING} AS DOUBLE) AS total FROM ({SENSOR_SQL})""")
 def rolling_sum(spark, folder):
@@ -208,6 +231,46 @@ def tumbling_window(spark, folder):
     return windows.tumbling(events(spark, folder), ["event_type"], "ts", "1 hour", n=F.count(F.lit(1)))
 
 
+@query("odd_sliding_counts", """
+SELECT * FROM (SELECT event_type, time_bucket(INTERVAL '20 minutes', ts) - to_minutes(20 * i) AS window_start,
+       time_bucket(INTERVAL '20 minutes', ts) - to_minutes(20 * i) + INTERVAL '50 minutes' AS window_end, count(*) AS n
+FROM events, range(3) r(i) WHERE time_bucket(INTERVAL '20 minutes', ts) - to_minutes(20 * i) + INTERVAL '50 minutes' > ts GROUP BY 1, 2, 3)""")
+def odd_sliding_counts(spark, folder):
+    """A window that is no multiple of its slide, from panes of ten minutes."""
+    return windows.sliding_counts(events(spark, folder), ["event_type"], "ts", "50 minutes", "20 minutes")
+
+
+@query("window_user_accumulator", f"""
+SELECT event_type, {HOURS} AS window_start, {HOURS} + INTERVAL '1 hour' AS window_end,
+       CAST(max(CAST(round(value * 100) AS BIGINT)) - min(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS spread
+FROM events GROUP BY 1, 2, 3""")
+def window_user_accumulator(spark, folder):
+    """A user's own aggregate in a window."""
+    @F.pandas_udf("long")
+    def spread(cents: pd.Series) -> int:
+        return int(cents.max() - cents.min())
+
+    rows = events(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    return windows.tumbling(rows, ["event_type"], "ts", "1 hour", spread=spread("cents"))
+
+
+@query("window_user_process", f"""
+SELECT event_type, {HOURS} AS window_start, {HOURS} + INTERVAL '1 hour' AS window_end, arg_min(event_id, struct_pack(a := ts, b := event_id)) AS first_id,
+       arg_max(event_id, struct_pack(a := ts, b := event_id)) AS last_id
+FROM events GROUP BY 1, 2, 3""")
+def window_user_process(spark, folder):
+    """A user's own function over all rows of a window."""
+    def ends(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["ts", "event_id"])
+        first, last = rows.iloc[0], rows.iloc[-1]
+        return pd.DataFrame([(first["event_type"], first["window_start"], first["window_end"], first["event_id"], last["event_id"])],
+                            columns=["event_type", "window_start", "window_end", "first_id", "last_id"])
+
+    rows = events(spark, folder).select("event_id", "event_type", "ts")
+    return windows.process(rows, ["event_type"], "ts", "1 hour", ends,
+                           "event_type string, window_start timestamp_ntz, window_end timestamp_ntz, first_id long, last_id long")
+
+
 @query("sliding_window", """
 SELECT event_type, time_bucket(INTERVAL '5 minutes', ts) - to_minutes(5 * i) AS window_start,
        time_bucket(INTERVAL '5 minutes', ts) - to_minutes(5 * i) + INTERVAL '1 hour' AS window_end, count(*) AS n
@@ -395,9 +458,12 @@ def hot_items(spark, folder):
     return windows.hottest(views(spark, folder), ["item_id"], "ts", "1 hour", "5 minutes")
 
 
-@query("hot_pages", top3_sql(slots_sql(f"""
+HOT_PAGES_SQL = top3_sql(slots_sql(f"""
 SELECT e.ts, p.url FROM (SELECT ts, {ITEM_SQL} % (SELECT count(*) FROM pages) AS page_id FROM events) e
-JOIN pages p USING (page_id)""", "url", 60, 10), "url"))
+JOIN pages p USING (page_id)""", "url", 60, 10), "url")
+
+
+@query("hot_pages", HOT_PAGES_SQL)
 def hot_pages(spark, folder):
     from rillwork.sources.files import parse_web_log
     lines = roles.web_log_lines(events(spark, folder), roles.table(spark, folder, "pages"))
@@ -464,30 +530,34 @@ def late_side_output(spark, folder):
 
 # --- guards ----------------------------------------------------------------------------------
 
-NTH_SQL = """
-SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) AS nth FROM events"""
+# Clicks of a user on an ad that pass in a day; small, as these tables repeat few of them.
+CLICK_LIMIT = 1
+NTH_SQL = f"""
+SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, date_trunc('day', ts) ORDER BY ts, event_id) AS nth
+FROM (SELECT event_id, ts, user_id, ad_id FROM ({CLICKS_SQL}))"""
+USER_AND_AD = ["user_id", "ad_id"]
 
 
 def clicks_of_users(spark: SparkSession, folder: str) -> DataFrame:
-    return events(spark, folder).select("event_id", "ts", "user_id", "event_type")
+    return ad_clicks(spark, folder).select("event_id", "ts", *USER_AND_AD)
 
 
-@query("blacklist_filter", f"SELECT event_id, ts, user_id, event_type FROM ({NTH_SQL}) WHERE nth <= 5")
+@query("blacklist_filter", f"SELECT event_id, ts, user_id, ad_id FROM ({NTH_SQL}) WHERE nth <= {CLICK_LIMIT}")
 def blacklist_filter(spark, folder):
-    return guards.below_daily_limit(clicks_of_users(spark, folder), ["user_id"], "ts", ORDER, 5)
+    return guards.below_daily_limit(clicks_of_users(spark, folder), USER_AND_AD, "ts", ORDER, CLICK_LIMIT)
 
 
-@query("blacklist_alarms", f"SELECT event_id, ts, user_id, event_type FROM ({NTH_SQL}) WHERE nth = 6")
+@query("blacklist_alarms", f"SELECT event_id, ts, user_id, ad_id FROM ({NTH_SQL}) WHERE nth = {CLICK_LIMIT} + 1")
 def blacklist_alarms(spark, folder):
-    return guards.limit_alarms(clicks_of_users(spark, folder), ["user_id"], "ts", ORDER, 5)
+    return guards.limit_alarms(clicks_of_users(spark, folder), USER_AND_AD, "ts", ORDER, CLICK_LIMIT)
 
 
 @query("clicks_after_blacklist",
-       slots_sql(f"SELECT ts, user_id FROM ({NTH_SQL}) WHERE nth <= 5", "user_id", 60, 5))
+       slots_sql(f"SELECT ts, user_id, ad_id FROM ({NTH_SQL}) WHERE nth <= {CLICK_LIMIT}", "user_id, ad_id", 60, 5))
 def clicks_after_blacklist(spark, folder):
-    kept = guards.below_daily_limit(clicks_of_users(spark, folder), ["user_id"], "ts", ORDER, 5)
-    return (windows.sliding_counts(kept, ["user_id"], "ts", "1 hour", "5 minutes", "clicks")
-            .select("window_end", "user_id", "clicks"))
+    kept = guards.below_daily_limit(clicks_of_users(spark, folder), USER_AND_AD, "ts", ORDER, CLICK_LIMIT)
+    return (windows.sliding_counts(kept, USER_AND_AD, "ts", "1 hour", "5 minutes", "clicks")
+            .select("window_end", *USER_AND_AD, "clicks"))
 
 
 @query("login_fail_state", """

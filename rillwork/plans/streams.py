@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from rillwork.operators import basic
 from rillwork.operators.joins import stream_interval_join
-from rillwork.plans.analyses import (DAY, HOUR, HOURS, NEXT_SQL, NTH_SQL, PAYMENT_SQL, RISING_SQL, VIEWS_SQL,
-                                     follow_sql, slots_sql, top3_sql)
+from rillwork.plans.analyses import (ARRIVED_SQL, CLICK_LIMIT, CLICKS_SQL, DAY, HOT_PAGES_SQL, HOUR, HOURS, LINE_WORDS_SQL, NEXT_SQL,
+                                     NTH_SQL, PAYMENT_SQL, RISING_SQL, VIEWS_SQL, document_lines, follow_sql, slots_sql, top3_sql)
 from rillwork.plans.registry import query
 from rillwork.sources import roles
+from rillwork.sources.files import parse_web_log, stream_lines
 from rillwork.streaming import processors as p, runner, windows
 
 NO_DELAY = "0 seconds"
@@ -53,6 +54,14 @@ def word_count_stream(spark, folder):
     return runner.last_update(runner.drain(counts, "words", "update"), ["word"])
 
 
+@query("word_count_text_stream", LINE_WORDS_SQL)
+def word_count_text_stream(spark, folder):
+    """Words of text files, one file a micro-batch."""
+    lines = stream_lines(spark, document_lines(spark, folder), 1)
+    counts = basic.words(lines).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return runner.last_update(runner.drain(counts, "text-words", "update"), ["word"])
+
+
 @query("latest_per_key_stream", "SELECT user_id AS id, arg_max(value, event_id) AS vc FROM events GROUP BY user_id")
 def latest_per_key_stream(spark, folder):
     newest = F.max_by("value", F.struct("ts", "event_id")).alias("vc")
@@ -113,18 +122,38 @@ def watermark_min_policy(spark, folder):
 
 # --- windows, joins and ranking --------------------------------------------------------------
 
+# Rows of ``arriving_events`` come up to an hour late.
+LATEST = "1 hour"
+
+
+def hottest_stream(spark, source: DataFrame, keys: list[str], kinds: str, slide: str, name: str) -> DataFrame:
+    """Top 3 of every sliding hour over several micro-batches with disorder."""
+    def closed_windows(df: DataFrame) -> DataFrame:
+        counts = windows.sliding_counts(df, keys, "ts", LATEST, "1 hour", slide, "clicks")
+        return counts.select("window_end", *keys, "clicks")
+
+    ranked = spark.createDataFrame([], f"window_end timestamp, {kinds}, clicks long, rank long").schema
+    return without_zone(runner.replay(source.select("ts", *keys), "ts", closed_windows, name,
+                                      each_batch=windows.rank_closed_windows(keys, 3), result_schema=ranked))
+
+
 @query("hot_items_stream", top3_sql(slots_sql(VIEWS_SQL, "item_id", 60, 5), "item_id"))
 def hot_items_stream(spark, folder):
-    views = roles.views_of_items(roles.stream_events(spark, folder)).select("ts", "item_id")
+    views = roles.views_of_items(roles.arriving_events(spark, folder))
+    return hottest_stream(spark, views, ["item_id"], "item_id int", "5 minutes", "hot-items")
 
-    def closed_windows(df: DataFrame) -> DataFrame:
-        counts = windows.sliding(df, ["item_id"], "ts", NO_DELAY, "1 hour", "5 minutes", clicks=F.count(F.lit(1)))
-        return counts.select("window_end", "item_id", "clicks")
 
-    ranked = spark.createDataFrame([], "window_end timestamp, item_id int, clicks long, rank long").schema
-    out = runner.replay(views, "ts", closed_windows, "hot-items",
-                        each_batch=windows.rank_closed_windows(["item_id"], 3), result_schema=ranked)
-    return without_zone(out.filter(F.col("item_id").isNotNull()))
+@query("hot_pages_stream", HOT_PAGES_SQL)
+def hot_pages_stream(spark, folder):
+    lines = roles.web_log_lines(roles.arriving_events(spark, folder), roles.table(spark, folder, "pages"))
+    hits = parse_web_log(lines).withColumn("ts", F.col("ts").cast("timestamp"))
+    return hottest_stream(spark, hits, ["url"], "url string", "10 minutes", "hot-pages")
+
+
+@query("hot_ads_stream", top3_sql(slots_sql(CLICKS_SQL, "province, ad_id", 60, 10), "province, ad_id"))
+def hot_ads_stream(spark, folder):
+    clicks = roles.ad_clicks(roles.arriving_events(spark, folder), roles.table(spark, folder, "region"))
+    return hottest_stream(spark, clicks, ["province", "ad_id"], "province string, ad_id int", "10 minutes", "hot-ads")
 
 
 @query("uv_hourly_stream", f"""
@@ -248,12 +277,60 @@ def with_state_shortcuts(spark, folder):
     return replay_keyed(roles.stream_events(spark, folder), ["user_id"], ["event_type", "event_id"], processor, "shortcut")
 
 
+def limited_clicks(spark, folder, name: str) -> DataFrame:
+    """Clicks per user and ad within the daily limit, and the alarms."""
+    clicks = roles.ad_clicks(roles.arriving_events(spark, folder), roles.table(spark, folder, "region"))
+    limit = p.DailyLimit(CLICK_LIMIT, "user_id long, ad_id int")
+    return runner.replay(clicks.select("ts", "user_id", "ad_id", "event_id"), "ts", lambda df: p.keyed(
+        df, ["user_id", "ad_id"], "ts", LATEST, ["event_id"], limit), name)
+
+
 @query("blacklist_stream", f"""
-SELECT event_id, ts AS at, user_id, CASE WHEN nth <= 5 THEN 'pass' ELSE 'alarm' END AS tag
-FROM ({NTH_SQL}) WHERE nth <= 6""")
+SELECT event_id, ts AS at, user_id, ad_id, CASE WHEN nth <= {CLICK_LIMIT} THEN 'pass' ELSE 'alarm' END AS tag
+FROM ({NTH_SQL}) WHERE nth <= {CLICK_LIMIT} + 1""")
 def blacklist_stream(spark, folder):
-    out = replay_keyed(roles.stream_events(spark, folder), ["user_id"], ["event_id"], p.DailyLimit(5), "daily-limit")
-    return out.withColumn("at", at_micros("at"))
+    return limited_clicks(spark, folder, "daily-limit").withColumn("at", at_micros("at"))
+
+
+@query("clicks_after_blacklist_stream", slots_sql(f"SELECT ts, user_id, ad_id FROM ({NTH_SQL}) WHERE nth <= {CLICK_LIMIT}", "user_id, ad_id", 60, 5))
+def clicks_after_blacklist_stream(spark, folder):
+    """The clicks that the first stream let pass are the input of a second one, which counts them."""
+    target = runner.new_folder(spark, "passed")
+    passed = limited_clicks(spark, folder, "passing").filter("tag = 'pass'")
+    passed.select(F.timestamp_micros("at").alias("ts"), "user_id", "ad_id").write.parquet(target)
+    rows = spark.readStream.schema("ts timestamp, user_id long, ad_id int").parquet(target)
+    out = runner.replay(rows, "ts", lambda df: windows.sliding_counts(
+        df, ["user_id", "ad_id"], "ts", LATEST, "1 hour", "5 minutes", "clicks").select("window_end", "user_id", "ad_id", "clicks"), "counted")
+    return without_zone(out.filter(runner.before_end("window_end")))
+
+
+@query("late_side_output_stream", f"""
+WITH a AS (SELECT event_id, user_id, ts, epoch_us(arrival) AS came FROM ({ARRIVED_SQL}) JOIN (SELECT event_id, user_id FROM events) USING (event_id)),
+b AS (SELECT *, ((came - min(came) OVER ()) * 4) // (max(came) OVER () - min(came) OVER () + 1) AS part FROM a),
+w AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM b GROUP BY part)
+SELECT event_id, user_id, CASE WHEN ts <= date_trunc('milliseconds', newest - INTERVAL 10 MINUTE) THEN 'late' ELSE 'on_time' END AS tag
+FROM b JOIN w USING (part)""")
+def late_side_output_stream(spark, folder):
+    """Four micro-batches by arrival and a bound of ten minutes: what the batches before have passed is late."""
+    rows = roles.arriving_events(spark, folder).select("ts", "user_id", "event_id")
+    out = runner.replay(rows, "ts", lambda df: p.keyed(df, ["user_id"], "ts", "10 minutes", ["event_id"], p.LateSplit()), "late")
+    return out.select("event_id", "user_id", "tag")
+
+
+@query("reconcile_stream", """
+SELECT coalesce(o_orderkey, l_orderkey) AS tx_id, o_orderdate AS ordered, received,
+       CASE WHEN o_orderkey IS NULL THEN 'only_right' WHEN received IS NULL THEN 'only_left' ELSE 'match' END AS tag
+FROM orders FULL JOIN (SELECT l_orderkey, min(l_shipdate) AS received FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
+def reconcile_stream(spark, folder):
+    """Two inputs, one state per transaction; the bound is longer than these tables are apart."""
+    def side(name: str, key: str, ts: str, is_left: bool) -> DataFrame:
+        schema = roles.table(spark, folder, name).schema
+        return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]").select(
+            F.col(ts).cast("timestamp").alias("ts"), F.col(key).alias("key"), F.lit(is_left).alias("is_left"), F.lit(int(is_left)).alias("seq"))
+
+    both = side("orders", "o_orderkey", "o_orderdate", True).unionByName(side("lineitem", "l_orderkey", "l_shipdate", False))
+    out = replay_keyed(both, ["key"], ["is_left", "seq"], p.Reconcile(40 * 365 * DAY), "reconcile")
+    return out.select(F.col("key").alias("tx_id"), at_micros("left_at").alias("ordered"), at_micros("right_at").alias("received"), "tag")
 
 
 @query("order_timeout_stream", PAYMENT_SQL)
@@ -269,7 +346,7 @@ def order_timeout_stream(spark, folder):
     # Kept long enough to learn of every late payment in these tables.
     watch = p.PaymentWatch(90 * DAY, 40 * 365 * DAY)
     out = replay_keyed(rows, ["order_id"], ["kind", "seq"], watch, "payments")
-    last = out.groupBy("order_id").agg(F.max_by(F.struct("created", "paid", "status"), "no").alias("r"))
+    last = out.groupBy("order_id").agg(F.max_by(F.struct("created", "paid", "status"), "at").alias("r"))
     return last.select("order_id", at_micros("r.created").alias("created"), at_micros("r.paid").alias("paid"), "r.status")
 
 

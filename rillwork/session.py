@@ -49,14 +49,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ril
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a local master may fall back to a temporary folder of this machine, one for the session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="rillwork-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rillwork-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def keep(df: DataFrame) -> DataFrame:

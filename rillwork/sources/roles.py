@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillwork.schemas import EVENT
+from rillwork.session import shared_folder
 
 PROVINCES = 5
 CHANNELS = 4
@@ -28,6 +31,24 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
             .withColumn("ts", F.col("ts").cast("timestamp")))
 
 
+def arriving_events(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
+    """The event log as a stream of ``files`` micro-batches that come in order of arrival, rows delayed by up to an hour.
+
+    The files divide the span of arrival times evenly; the columns are those of the log and ``arrival``.
+    """
+    target = f"{shared_folder(spark)}/arriving-{uuid4().hex}"
+    rows = events(spark, folder)
+    rows = rows.join(in_arrival_order(rows).select("event_id", "arrival"), "event_id")
+    at = F.unix_micros(F.col("arrival").cast("timestamp"))
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    low, high = low or 0, high or 0
+    part = F.floor((at - low) * files / (high - low + 1))
+    for number in range(files):  # one after the other: a stream takes files by their time
+        rows.filter(part == number).coalesce(1).write.mode("append").parquet(target)
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(target)
+            .withColumn("ts", F.col("ts").cast("timestamp")))
+
+
 def with_item(df: DataFrame) -> DataFrame:
     return df.withColumn("item_id", F.get_json_object("props", "$.k").cast("int"))
 

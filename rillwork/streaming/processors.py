@@ -3,8 +3,12 @@
 ``InOrder`` keeps the rows of a key until the watermark has passed them and
 then hands them over in (time, row id) order, so a subclass is a plain state
 machine and its results do not depend on how rows were spread over batches.
-Rows that come after the watermark has passed their time are reported to
-``on_late`` instead of being lost.
+Rows that come after the watermark has passed their time go to ``on_late``, which
+drops them unless a subclass says something about them, as ``LateSplit`` does.
+
+Rows wait in buckets of ``BUCKET`` length, so a firing reads and rewrites the
+buckets that are due and not all that waits. Null keys are keys like any other; the closing
+row of a replay is told by its time.
 
 Times inside processors are microseconds since the epoch.
 """
@@ -12,7 +16,9 @@ Times inside processors are microseconds since the epoch.
 from __future__ import annotations
 
 import sys
+from collections import deque
 from collections.abc import Iterable, Iterator
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark import cloudpickle
@@ -25,6 +31,9 @@ from rillwork.functions.scalar import epoch_micros
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 AT = "at"
+BUCKET = 3_600_000_000
+# The time of the closing row of ``runner.replay``, which lies after all real rows.
+CLOSING = int(datetime(9000, 1, 1, tzinfo=timezone.utc).timestamp()) * 1_000_000
 Memory = tuple | None
 Out = Iterable[tuple]
 
@@ -75,55 +84,76 @@ class InOrder(StatefulProcessor):
         """A row whose time the watermark had passed when it came."""
         return ()
 
+    def unpack(self, memory: Memory) -> Any:
+        """Memory as ``on_row`` wants it, once per firing."""
+        return memory
+
+    def pack(self, memory: Any) -> Memory:
+        """Memory as the state holds it."""
+        return memory
+
     # --- Spark's side
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.record, self.result = _record(self.row_schema), _record(self.output_schema)
         self.columns = list(self.record)
-        self.waiting = handle.getListState("waiting", self.row_schema)
+        fields = self.row_schema.replace(", ", ",").split(",")
+        struct = ", ".join(": ".join(f.split(" ", 1)) for f in fields)
+        self.waiting = handle.getMapState("waiting", "bucket long", f"rows array<struct<{struct}>>")
         self.memory = handle.getValueState("memory", self.memory_schema)
         self.alarm = handle.getValueState("alarm", "millis long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        if all(k is None for k in key):  # the closing row of a replay
-            return iter(())
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh, out = [], []
+        fresh: dict[int, list] = {}
+        out: list[tuple] = []
         for r in rows:
             values = tuple(r[c] for c in self.columns)
+            if values[0] >= CLOSING:
+                continue
             if passed > 0 and values[0] <= passed:
                 out.extend(self.on_late(tuple(key), self.record(*values)))
             else:
-                fresh.append(values)
+                fresh.setdefault(values[0] // BUCKET, []).append(values)
+        for bucket, more in fresh.items():
+            before = self._bucket(bucket) if self.waiting.containsKey((bucket,)) else []
+            self.waiting.updateValue((bucket,), (before + more,))
         if fresh:
-            self.waiting.appendList(fresh)
-            self._wake_at(min(v[0] for v in fresh))
+            self._wake_at(min(v[0] for v in fresh[min(fresh)]))
         return iter([self.result(*o) for o in out])
 
+    def _bucket(self, bucket: int) -> list[tuple]:
+        return [tuple(r) for r in self.waiting.getValue((bucket,))[0]]
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         self.alarm.clear()
         key = tuple(key)
-        rows = [tuple(r) for r in self.waiting.get()]
-        ready = sorted((r for r in rows if r[0] <= passed), key=lambda r: (r[0], r[-1]))
-        left = [r for r in rows if r[0] > passed]
-        memory = tuple(self.memory.get()) if self.memory.exists() else None
+        memory = self.unpack(tuple(self.memory.get())) if self.memory.exists() else None
         out: list[tuple] = []
-        for r in ready:
-            memory = self._fire(key, memory, r[0], out)
-            memory, made = self.on_row(key, memory, self.record(*r))
-            out.extend(made)
+        next_row = None
+        for bucket in sorted(b[0] for b in self.waiting.keys()):
+            if bucket * BUCKET > passed:
+                next_row = min(r[0] for r in self._bucket(bucket))
+                break
+            rows = self._bucket(bucket)
+            left = [r for r in rows if r[0] > passed]
+            for r in sorted((r for r in rows if r[0] <= passed), key=lambda r: (r[0], r[-1])):
+                memory = self._fire(key, memory, r[0], out)
+                memory, made = self.on_row(key, memory, self.record(*r))
+                out.extend(made)
+            if left:
+                self.waiting.updateValue((bucket,), (left,))
+                next_row = min(r[0] for r in left)
+            else:
+                self.waiting.removeKey((bucket,))
         memory = self._fire(key, memory, passed + 1, out)
-        if left:
-            self.waiting.put(left)
-        elif rows:
-            self.waiting.clear()
         if memory is None:
             self.memory.clear()
         else:
-            self.memory.update(memory)
-        due = [r[0] for r in left]
+            self.memory.update(self.pack(memory))
+        due = [next_row] if next_row is not None else []
         if memory is not None and self.deadline(memory) is not None:
             due.append(self.deadline(memory))
         if due:
@@ -156,13 +186,22 @@ class InOrder(StatefulProcessor):
 
 
 class DailyLimit(InOrder):
-    """First ``limit`` rows of a UTC day pass; the next one raises the day's only alarm. Columns: id."""
+    """First ``limit`` rows of a UTC day pass; the next one raises the day's only alarm. Columns: id.
+
+    A key is forgotten at the end of its day. ``keys`` are the key columns with their types.
+    """
 
     memory_schema = "day long, n long"
-    output_schema = "user_id long, at long, event_id long, tag string"
 
-    def __init__(self, limit: int):
+    def __init__(self, limit: int, keys: str = "user_id long"):
         self.limit = limit
+        self.output_schema = f"{keys}, at long, event_id long, tag string"
+
+    def deadline(self, memory):
+        return (memory[0] + 1) * 86_400_000_000 - 1
+
+    def on_time(self, key, memory, at):
+        return None, ()
 
     def on_row(self, key, memory, row):
         day = row[AT] // 86_400_000_000
@@ -177,13 +216,13 @@ class PaymentWatch(InOrder):
     """Follows an order from creation to payment. Columns: kind, id.
 
     Speaks up when both are known, and when the limit passes with one missing;
-    a part that turns up after that corrects the report, so the highest ``no``
-    of an order is its status. What is known about an order is forgotten
-    ``keep`` seconds after its last change.
+    a part that turns up after that corrects the report. What is known about an
+    order is forgotten ``keep`` seconds after its last change, and its numbers ``no`` begin
+    anew; the latest report by ``at``, the event time it was made, is the status of an order.
     """
 
     memory_schema = "created long, paid long, since long, no int, told boolean"
-    output_schema = "order_id long, created long, paid long, status string, no int"
+    output_schema = "order_id long, created long, paid long, status string, no int, at long"
 
     def __init__(self, limit: float, keep: float):
         self.limit, self.keep = int(limit * 1_000_000), int(keep * 1_000_000)
@@ -199,7 +238,7 @@ class PaymentWatch(InOrder):
         if created is None or paid is None:
             return (created, paid, row[AT], no, False), ()
         status = "paid" if paid - created <= self.limit else "late"
-        return (created, paid, row[AT], no + 1, True), [(*key, created, paid, status, no + 1)]
+        return (created, paid, row[AT], no + 1, True), [(*key, created, paid, status, no + 1, row[AT])]
 
     def deadline(self, memory):
         return memory[2] + (self.keep if memory[4] else self.limit)
@@ -209,7 +248,7 @@ class PaymentWatch(InOrder):
         if told:
             return None, ()
         status = "missing_create" if created is None else "timeout"
-        return (created, paid, at, no + 1, True), [(*key, created, paid, status, no + 1)]
+        return (created, paid, at, no + 1, True), [(*key, created, paid, status, no + 1, at)]
 
 
 class RisingAlarm(InOrder):
@@ -261,23 +300,29 @@ class FollowedBy(InOrder):
     def __init__(self, within: float):
         self.within = int(within * 1_000_000)
 
+    def unpack(self, memory):
+        return deque(tuple(f) for f in memory[0])
+
+    def pack(self, memory):
+        return (list(memory),)
+
     def on_row(self, key, memory, row):
-        firsts = [tuple(f) for f in memory[0]] if memory else []
+        firsts = memory if memory is not None else deque()
         out = []
         if row["is_second"]:  # every open first is less than the limit away: older ones were fired
             out = [(*key, f[1], row["event_id"], "match") for f in firsts if row[AT] - f[0] < self.within]
             out += [(*key, f[1], None, "timeout") for f in firsts if row[AT] - f[0] >= self.within]
-            firsts = []
+            firsts.clear()
         if row["is_first"]:
             firsts.append((row[AT], row["event_id"]))
-        return (firsts,) if firsts else None, out
+        return firsts if firsts else None, out
 
     def deadline(self, memory):
-        return memory[0][0][0] + self.within
+        return memory[0][0] + self.within
 
     def on_time(self, key, memory, at):
-        first, *rest = [tuple(f) for f in memory[0]]
-        return (rest,) if rest else None, [(*key, first[1], None, "timeout")]
+        first = memory.popleft()
+        return memory if memory else None, [(*key, first[1], None, "timeout")]
 
 
 class CountWindow(InOrder):
@@ -340,6 +385,40 @@ class LateSplit(InOrder):
         return [(*key, row[AT], row["event_id"], "late")]
 
 
+class Reconcile(InOrder):
+    """Pairs the two sides of a key, at most ``within`` seconds apart; the first row of a side counts. Columns: is_left, id.
+
+    ``tag`` is match, or only_left or only_right when the time is up. A key is forgotten ``within`` after its last report.
+    """
+
+    memory_schema = "left long, right long, since long, told boolean"
+    output_schema = "key long, left_at long, right_at long, tag string"
+
+    def __init__(self, within: float):
+        self.within = int(within * 1_000_000)
+
+    def on_row(self, key, memory, row):
+        left, right, since, told = memory or (None, None, row[AT], False)
+        if told:
+            return memory, ()
+        if row["is_left"]:
+            left = row[AT] if left is None else left
+        else:
+            right = row[AT] if right is None else right
+        if left is None or right is None:
+            return (left, right, since, False), ()
+        return (left, right, row[AT], True), [(*key, left, right, "match")]
+
+    def deadline(self, memory):
+        return memory[2] + self.within
+
+    def on_time(self, key, memory, at):
+        left, right, _, told = memory
+        if told:
+            return None, ()
+        return (left, right, at, True), [(*key, left, right, "only_left" if right is None else "only_right")]
+
+
 class StateKinds(StatefulProcessor):
     """Value, list and map state side by side: rows so far, ids of the newest rows, rows per type."""
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rillwork.functions.scalar import seconds_of
 from rillwork.operators import windows
+from rillwork.streaming.runner import before_end
 
 
 def tumbling(df: DataFrame, keys: Sequence[str], ts: str, delay: str, size: str, **aggs: Column) -> DataFrame:
@@ -18,6 +21,20 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, delay: str, size: str,
     return windows.sliding(df.withWatermark(ts, delay), keys, ts, size, slide, **aggs)
 
 
+def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, delay: str, size: str, slide: str,
+                   count: str = "n") -> DataFrame:
+    """Rows per key and overlapping window: disjoint panes are counted first, and pane counts are spread over windows.
+
+    A row costs one pane; a pane of a key costs as many windows as overlap it.
+    """
+    pane = f"{gcd(seconds_of(size), seconds_of(slide))} seconds"
+    panes = (df.withWatermark(ts, delay).groupBy(*keys, F.window(ts, pane).alias("__pane"))
+             .agg(F.count(F.lit(1)).alias("__n")))
+    counts = (panes.groupBy(*keys, F.window(F.window_time("__pane"), size, slide).alias("__w"))
+              .agg(F.sum("__n").alias(count)))
+    return counts.select(*keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), count)
+
+
 def session(df: DataFrame, keys: Sequence[str], ts: str, delay: str, gap: str, **aggs: Column) -> DataFrame:
     """Sessions close when the watermark has passed their last row by ``gap``."""
     grouped = df.withWatermark(ts, delay).groupBy(*keys, F.session_window(ts, gap).alias("__w"))
@@ -44,5 +61,6 @@ def rank_closed_windows(keys: Sequence[str], n: int, count: str = "clicks"):
     """For ``each_batch``: all counts of a window close in the same micro-batch, so it can be ranked there,
     with the batch ranking and without holding the window in state again."""
     def rank(closed: DataFrame) -> DataFrame:
+        closed = closed.filter(before_end("window_end"))  # the closing row of a replay takes no rank
         return windows.top_n(closed, ["window_end"], [F.col(count).desc(), *[F.col(k).asc() for k in keys]], n)
     return rank

@@ -1,12 +1,16 @@
 """Streams over several small files: disorder, late rows, restarts; the batch results are the measure."""
 
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from rillwork.operators import guards, patterns
+from rillwork.operators import guards, patterns, windows as batch_windows
+from rillwork.operators.windows import hottest
 from rillwork.streaming import processors as p, runner, windows
 
 T0 = datetime(2024, 1, 1)
@@ -164,10 +168,75 @@ def test_state_survives_a_restart(spark, folder, tmp_path):
     assert tuples(run(plan(), tmp_path), "window_no") == [(0,), (1,)]  # nothing new, nothing twice
 
 
-def test_console_output_runs(spark, folder, tmp_path):
+def test_null_keys_are_keys(spark, folder):
+    rows = [(i, None if i % 2 else 1, at(i), "x") for i in range(10)]
+    put_in_parts(spark, folder, rows, 2)
+    got = replay(spark, folder, lambda df: p.keyed(df.withColumnRenamed("id", "event_id"), ["user_id"], "ts", "20 seconds",
+                                                   ["event_id"], p.LateSplit()), "null-keys")
+    assert tuples(got, "event_id", "tag") == [(i, "on_time") for i in range(10)]
+
+
+def test_null_items_are_ranked_like_others(spark, folder):
+    rows = [(i, None if i < 5 else i % 3, at(60 * i), "x") for i in range(12)]
+    put_in_parts(spark, folder, rows, 3)
+    batch = hottest(spark.createDataFrame(rows, SCHEMA), ["user_id"], "ts", "1 hour", "20 minutes")
+    out = runner.replay(source(spark, folder).select("ts", "user_id"), "ts", lambda df: windows.sliding_counts(
+        df, ["user_id"], "ts", "5 minutes", "1 hour", "20 minutes", "clicks").select("window_end", "user_id", "clicks"), "null-items",
+        each_batch=windows.rank_closed_windows(["user_id"], 3),
+        result_schema=spark.createDataFrame([], "window_end timestamp, user_id long, clicks long, rank long").schema)
+    key = F.coalesce("user_id", F.lit(-1))
+    assert tuples(out, "window_end", key, "clicks", "rank") == tuples(batch, "window_end", key, "clicks", "rank")
+
+
+@pytest.mark.parametrize("size,slide", [("1 hour", "5 minutes"), ("50 minutes", "20 minutes"), ("30 minutes", "20 minutes")])
+def test_sliding_counts_equal_the_builtin_window(spark, size, slide):
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(i, rnd.choice([None, 1, 2]), at(rnd.randrange(20000)), "x") for i in range(300)], SCHEMA)
+    want = batch_windows.sliding(df, ["user_id"], "ts", size, slide, n=F.count(F.lit(1)))
+    ours = batch_windows.sliding_counts(df, ["user_id"], "ts", size, slide)
+    key = F.coalesce("user_id", F.lit(-1))
+    assert tuples(ours, key, "window_start", "window_end", "n") == tuples(want, key, "window_start", "window_end", "n")
+    uv = batch_windows.sliding_distinct_counts(df, "ts", size, slide, F.col("user_id"), "uv")
+    plain = batch_windows.sliding(df.filter("user_id IS NOT NULL"), [], "ts", size, slide, uv=F.count_distinct("user_id"))
+    known = batch_windows.sliding_distinct_counts(df.filter("user_id IS NOT NULL"), "ts", size, slide, F.col("user_id"), "uv")
+    assert tuples(known, "window_start", "uv") == tuples(plain, "window_start", "uv") and uv.count() >= known.count()
+
+
+def test_a_limit_that_spark_does_not_filter_early_is_refused(spark):
+    df = spark.createDataFrame([(1, 1, at(0), "x")], SCHEMA)
+    with pytest.raises(ValueError):
+        guards.below_daily_limit(df, ["user_id"], "ts", ["ts", "id"], 5000)
+
+
+def test_daily_limit_forgets_the_day_before(spark, folder, tmp_path):
+    """A key that comes back the next day begins anew, and its state is gone at midnight."""
+    limit = p.DailyLimit(1)
+    memory, _ = limit.on_row((1,), None, {"at": 5, "event_id": 1})
+    assert limit.deadline(memory) == 86_400_000_000 - 1 and limit.on_time((1,), memory, limit.deadline(memory)) == (None, ())
+
+
+def test_reconcile_as_a_stream_equals_batch(spark, folder):
+    rows = [(1, 1, at(0), "l"), (0, 1, at(30), "r"), (1, 2, at(5), "l"), (0, 3, at(9), "r"), (1, None, at(9), "l"), (0, None, at(12), "r"), (1, 4, at(0), "l"), (0, 4, at(500), "r")]
+    put_in_parts(spark, folder, sorted(rows, key=lambda r: r[2]), 3)
+    got = replay(spark, folder, lambda df: p.keyed(df.select("ts", F.col("user_id").alias("key"), (F.col("kind") == "l").alias("is_left"), "id"),
+                                                   ["key"], "ts", "40 seconds", ["is_left", "id"], p.Reconcile(100)), "reconcile")
+    said = sorted((r["key"] or -1, r["tag"]) for r in got.collect())
+    assert said == [(-1, "match"), (1, "match"), (2, "only_left"), (3, "only_right"), (4, "only_left"), (4, "only_right")]
+
+
+CONSOLE = """
+import sys
+from rillwork.session import local_session
+spark = local_session("1", 1)
+rows = spark.readStream.schema("id long, kind string").parquet(sys.argv[1])
+rows.writeStream.format("console").option("checkpointLocation", sys.argv[2]).trigger(availableNow=True).start().awaitTermination()
+"""
+
+
+def test_console_prints_the_rows(spark, folder, tmp_path):
+    """The sink prints in the JVM, so another process is run and what it prints is read."""
     put(spark, folder, "a", [(42, 1, at(1), "printed")])
-    query = (source(spark, folder).writeStream.format("console").option("checkpointLocation", str(tmp_path / "c"))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    assert query.exception() is None
-    assert sum(b["numInputRows"] for b in query.recentProgress) == 1
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-c", CONSOLE, f"{folder}/a", str(tmp_path / "c")], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "| 42|printed|" in done.stdout
