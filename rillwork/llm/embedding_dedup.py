@@ -128,7 +128,9 @@ def linked_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     distinct = kept(distinct.select("id", "copies", "e"))
 
     # axes per vector length, from a bounded sample
-    sample = distinct.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("e")
+    place, n = F.xxhash64("id"), distinct.count()
+    few = distinct.where(F.pmod(place, F.lit(2**52)) < F.lit(min(1.0, 2 * FIT_ROWS / max(n, 1)) * 2**52))
+    sample = few.orderBy(place, "id").limit(FIT_ROWS).select("e")
     by_length: dict[int, list] = {}
     for batch in sample.toArrow().to_batches():
         for v in batch.column(0):

@@ -52,8 +52,15 @@ def learned(labelled: DataFrame) -> dict[str, tuple[bytes, float]]:
     """
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    by = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "text")
-    sample = (labelled.select("lang", "doc_id", F.substring("text", 1, DICTIONARY // 16).alias("text"))
+    # a share of each language by hash that leaves a few times the sample, so that no task ranks a whole language
+    place = F.xxhash64(F.col("doc_id").cast("string"))
+    shares = {lang: min(1.0, 4 * SAMPLE / n) for lang, n in counts.items() if n > 4 * SAMPLE}
+    few = labelled.select("lang", "text", place.alias("place"))
+    if shares:
+        share = F.create_map(*[F.lit(v) for pair in shares.items() for v in pair])[F.col("lang")]
+        few = few.where(F.pmod("place", F.lit(2**52)) < F.coalesce(share, F.lit(1.0)) * float(2**52))
+    by = Window.partitionBy("lang").orderBy("place", "text")
+    sample = (few.select("lang", "place", F.substring("text", 1, DICTIONARY // 16).alias("text"))
               .withColumn("k", F.row_number().over(by)).where(F.col("k") <= SAMPLE).select("lang", "k", "text"))
     parts: dict[str, list] = {lang: [] for lang in counts}
     for r in sample.collect():
