@@ -41,7 +41,9 @@ _NO_LETTER = re.compile(r"[\W\d_]+")
 
 def letters(text: str | None) -> bytes:
     """The words of a text in lower case, letters only."""
-    return _NO_LETTER.sub(" ", text.lower()).strip().encode("utf-8", "ignore") if text else b""
+    plain = _NO_LETTER.sub(" ", text.lower()).strip() if text else ""
+    # numerals such as superscripts are word characters but no letters
+    return plain.encode("utf-8", "ignore") if any(map(str.isalpha, plain)) else b""
 
 
 def learned(labelled: DataFrame) -> dict[str, tuple[bytes, float]]:

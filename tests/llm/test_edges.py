@@ -193,6 +193,10 @@ def test_language(spark, odd, none):
     assert langid.predictions(unlabelled).first().lang_pred == "und"
 
 
+def test_only_letters_tell_a_language():
+    assert [langid.letters(t) for t in (None, "", "12 _ ²³ Ⅷ !", "Ab1c é")] == [b"", b"", b"", "ab c é".encode()]
+
+
 def test_a_long_text_between_two_languages_is_rejected():
     classify = langid.Classifier({"a": (b"der die das und nicht " * 50, 1.0), "b": (b"der die das und nicht " * 50, 1.0)})
     assert classify("der die das und nicht ein haus " * 20)[2] and not classify("das haus")[2]
