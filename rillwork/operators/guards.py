@@ -107,7 +107,8 @@ def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value:
     rows = rows.select(
         *keys, ts, seq, fell.alias("__fell"), F.when(fell | pause | before.isNull(), 1).alias("__start"),
         F.when(after[value] < F.col(value), epoch_micros(after[ts])).alias("__cancel"))
-    rows = running(rows, keys, order, {"__stretch": Running("count", F.col("__start"))}, cell)
+    # read by both branches of the second scan
+    rows = running(keep(rows), keys, order, {"__stretch": Running("count", F.col("__start"))}, cell)
 
     group = [*keys, "__stretch"]
     times = keep(rows.filter(~F.col("__fell")).groupBy(*group, epoch_micros(F.col(ts)).alias("__at"))

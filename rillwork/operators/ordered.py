@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from rillwork.functions.scalar import epoch_micros, floor_div
 
 SEGMENT = "__segment"
+_KEY = "__key"
 
 CELL_SECONDS = 3600
 CELL_NUMBERS = 1 << 20
@@ -44,7 +45,8 @@ def with_cells(df: DataFrame, first: str, cell: float | None = None) -> DataFram
         place = floor_div(F.col(first).cast("long"), max(int(cell or CELL_NUMBERS), 1))
     else:
         raise TypeError(f"rows cannot be put in order by {first}, a {kind.simpleString()}, first: times and whole numbers can")
-    return df.withColumn(SEGMENT, place)
+    # null times come first in ascending order, and so does their cell
+    return df.withColumn(SEGMENT, F.coalesce(place, F.lit(-(1 << 63))))
 
 
 def same_keys(keys: Sequence[str], prefix: str) -> Column:
@@ -55,14 +57,6 @@ def same_keys(keys: Sequence[str], prefix: str) -> Column:
     return cond
 
 
-def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join the carry, one row per key and cell, to its rows."""
-    carry = carry.select(*[F.col(k).alias("__c_" + k) for k in [*keys, SEGMENT]],
-                         *[c for c in carry.columns if c not in {*keys, SEGMENT}])
-    return (rows.join(carry, same_keys([*keys, SEGMENT], "__c_"), "left")
-            .drop(*["__c_" + k for k in [*keys, SEGMENT]]))
-
-
 def _direction(order: Sequence[str], backward: bool) -> list[Column]:
     return [F.col(o).desc() if backward else F.col(o).asc() for o in order]
 
@@ -122,18 +116,19 @@ class Near:
 def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running | Near],
          cell: float | None = None) -> DataFrame:
     """Add running values and neighbours to every row, all in one pass over the ordered keys."""
-    rows, keys = with_cells(df, order[0], cell), list(keys)
-    inside = [*keys, SEGMENT]
+    rows, part = with_cells(df, order[0], cell), []
+    if keys:
+        # Structs are equal when their nulls are, so join, window and exchange share one plain key.
+        rows, part = rows.withColumn(_KEY, F.struct(*keys)), [_KEY]
+    inside = [*part, SEGMENT]
     carries = {name: "__carry_" + name for name in columns}
-    source, carry = rows, None
     folds = {n: c for n, c in columns.items() if isinstance(c, Running)}
-    if folds:
-        carry = _fold_carry(source, keys, order, folds, carries)
-    for name, spec in columns.items():
-        if isinstance(spec, Near):
-            near = _near_carry(source, keys, order, spec, carries[name])
-            carry = near if carry is None else _attach(carry, near, keys)
-    rows = _attach(rows, carry, keys)
+    parts = [_fold_carry(rows, part, order, folds, carries)] if folds else []
+    parts += [_near_carry(rows, part, order, spec, carries[name]) for name, spec in columns.items() if isinstance(spec, Near)]
+    source = rows
+    for carry in parts:
+        rows = rows.join(carry, inside, "left")
+    rows = rows.select(*source.columns, *carries.values())
     for name, spec in columns.items():
         ordered = Window.partitionBy(*inside).orderBy(*_direction(order, spec.backward))
         if isinstance(spec, Running):
@@ -154,7 +149,7 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict
         else:
             whole = F.slice(F.concat(name, F.coalesce(carry, F.array().cast(kind))), 1, spec.n)
         rows = rows.withColumn(name, whole)
-    return rows.drop(SEGMENT, *carries.values())
+    return rows.drop(SEGMENT, _KEY, *carries.values())
 
 
 def _by_segment(part: Sequence[str], backward: bool):

@@ -45,14 +45,17 @@ def session(df: DataFrame, keys: Sequence[str], ts: str, seq: str, gap: str,
     The built-in session window sends every row of a key to one task. Rows of
     one cell as long as the gap always share a session, so only (key, cell)
     pairs are put in order, combined before the shuffle; sessions are then ordinary groups.
-    ``seq`` tells rows apart and is not needed here.
+    So no row id and no other cells are needed: ``seq`` and ``cell`` stand for callers that give them.
     """
     pause = F.expr(f"interval {gap}")
     rows = df.withColumn("__gap", floor_div(epoch_micros(F.col(ts)), seconds_of(gap) * 1_000_000))
     cells = rows.groupBy(*keys, "__gap").agg(F.min(ts).alias("__from"), F.max(ts).alias("__to"))
-    cells = scan(cells, keys, ["__from"], {"__before": Running("max", F.col("__to"), exclusive=True)}, cell)
+    # A key has as many cells as gaps fit into its time, whatever its rows.
+    ordered = Window.partitionBy(*keys).orderBy("__gap")
+    before = F.max("__to").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(F.col("__before").isNull() | (F.col("__from") > F.col("__before") + pause), F.col("__from"))
-    cells = scan(cells.withColumn("__opens", opens), keys, ["__from"], {"window_start": Running("max", F.col("__opens"))}, cell)
+    cells = cells.withColumn("__before", before).withColumn("__opens", opens)
+    cells = cells.withColumn("window_start", F.max("__opens").over(ordered))
     cells = cells.select(*[F.col(k).alias("__s_" + k) for k in [*keys, "__gap"]], "window_start")
     return (rows.join(cells, same_keys([*keys, "__gap"], "__s_")).groupBy(*keys, "window_start")
             .agg((F.max(ts) + pause).alias("window_end"), *[c.alias(n) for n, c in aggs.items()]))
