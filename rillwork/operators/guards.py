@@ -114,8 +114,8 @@ def rising_alarms(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value:
     times = keep(rows.filter(~F.col("__fell")).groupBy(*group, epoch_micros(F.col(ts)).alias("__at"))
                  .agg(F.max("__cancel").alias("__cancel")))
     micros = int(hold * 1_000_000)
-    long = keep(times.groupBy(*[F.col(k).alias("__g_" + k) for k in group]).agg(
-        F.count(F.lit(1)).alias("__n"), F.max("__cancel").alias("__stop")).filter(F.col("__n") > longest).drop("__n"))
+    long = times.groupBy(*[F.col(k).alias("__g_" + k) for k in group]).agg(
+        F.count(F.lit(1)).alias("__n"), F.max("__cancel").alias("__stop")).filter(F.col("__n") > longest).drop("__n")
     short = times.join(long.drop("__stop"), same_keys(group, "__g_"), "left_anti")
     sorted_times = short.repartition(*group).sortWithinPartitions(*group, "__at")
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("__alarm", T.LongType())])

@@ -122,9 +122,10 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict
         rows, part = rows.withColumn(_KEY, F.struct(*keys)), [_KEY]
     inside = [*part, SEGMENT]
     carries = {name: "__carry_" + name for name in columns}
-    folds = {n: c for n, c in columns.items() if isinstance(c, Running)}
-    parts = [_fold_carry(rows, part, order, folds, carries)] if folds else []
-    parts += [_near_carry(rows, part, order, spec, carries[name]) for name, spec in columns.items() if isinstance(spec, Near)]
+    # what one row per cell can carry comes from one grouping
+    single = {n: c for n, c in columns.items() if isinstance(c, Running) or c.n == 1}
+    parts = [_cell_carry(rows, part, order, single, carries)] if single else []
+    parts += [_near_carry(rows, part, order, spec, carries[name]) for name, spec in columns.items() if name not in single]
     source = rows
     for carry in parts:
         rows = rows.join(carry, inside, "left")
@@ -157,14 +158,21 @@ def _by_segment(part: Sequence[str], backward: bool):
     return Window.partitionBy(*part).orderBy(segment.desc() if backward else segment.asc())
 
 
-def _fold_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], specs: dict[str, Running],
+def _cell_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], specs: dict[str, Running | Near],
                 names: dict[str, str]) -> DataFrame:
-    """Per cell, the fold over all cells before it (after it, if backward): from one total per cell."""
-    totals = source.groupBy(*part, SEGMENT).agg(
-        *[_segment_total(spec, order).alias(names[n]) for n, spec in specs.items()])
-    before = {n: (F.sum(names[n]) if spec.fold == "count" else _fold(spec.fold, F.col(names[n]))).over(
-        _by_segment(part, spec.backward).rowsBetween(Window.unboundedPreceding, -1)) for n, spec in specs.items()}
-    return totals.select(*part, SEGMENT, *[c.alias(names[n]) for n, c in before.items()])
+    """Per cell, the fold over all cells before it (after it, if backward), or the one row next to it."""
+    totals, carry = [], []
+    for n, spec in specs.items():
+        cells = _by_segment(part, spec.backward)
+        if isinstance(spec, Near):
+            nearest = F.max_by if spec.backward else F.min_by
+            totals.append(nearest(spec.value, F.struct(*order)).alias(names[n]))
+            carry.append(F.collect_list(names[n]).over(cells.rowsBetween(1, 1)).alias(names[n]))
+        else:
+            totals.append(_segment_total(spec, order).alias(names[n]))
+            fold = F.sum(names[n]) if spec.fold == "count" else _fold(spec.fold, F.col(names[n]))
+            carry.append(fold.over(cells.rowsBetween(Window.unboundedPreceding, -1)).alias(names[n]))
+    return source.groupBy(*part, SEGMENT).agg(*totals).select(*part, SEGMENT, *carry)
 
 
 def _near_carry(source: DataFrame, part: Sequence[str], order: Sequence[str], spec: Near, name: str) -> DataFrame:
