@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillwork.llm.keep import kept, small_batches
-from rillwork.llm.tokens import encoding
+from rillwork.llm.tokens import encoder
 
 LENGTH = 1024
 BUCKETS = 4096
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(tokenizer).encode_ordinary
+        encode = encoder(tokenizer)
         for batch in batches:
             rows, starts, sizes, checks, totals = [], [], [], [], []
             for row, text in enumerate(batch.column(1)):

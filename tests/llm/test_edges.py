@@ -6,6 +6,7 @@ import os
 import random
 import string
 import tempfile
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -181,6 +182,23 @@ def test_tokens_equal_the_library_of_the_file():
         assert encoding(BPE).encode_ordinary(t) == known.encode(t, add_special_tokens=False).ids
 
 
+def test_long_runs_of_white_space_are_encoded(spark):
+    from tokenizers import Tokenizer
+    from rillwork.llm.tokens import SAFE, encoder
+
+    known = Tokenizer.from_file(BPE)
+    known.encode_special_tokens = True
+    for t in ("a" + " " * SAFE + "b", "a" + "\r\n" * SAFE + "\u3000b <|endoftext|>"):
+        assert encoder(BPE)(t) == known.encode(t, add_special_tokens=False).ids
+    texts = [(1, "a" + " " * 2_000_000 + "b"), (2, "a" + "\n" * 2_000_000 + "b"), (3, "short")]
+    found = packing.pieces(spark.createDataFrame(texts, "doc_id long, text string"), BPE).collect()
+    for d, t in texts:
+        ids = known.encode(t, add_special_tokens=False).ids + [0]
+        parts = sorted((r for r in found if r.doc_id == d), key=lambda r: r.start)
+        assert sum(r.length for r in parts) == len(ids) == parts[0].doc_tokens
+        assert [r.ids_crc32 for r in parts] == [zlib.crc32(np.array(ids[r.start:r.start + r.length], dtype="<u4").tobytes()) for r in parts]
+
+
 def test_language(spark, odd, none):
     assert langid.predictions(none).count() == 0 and langid.accepted(none).count() == 0
     found = langid.predictions(odd).collect()
