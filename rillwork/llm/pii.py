@@ -7,6 +7,12 @@ graph of patterns and instances in rounds: a pattern is as good as the share
 of its occurrences that are good instances, an instance as good as its patterns together. Unseen
 tokens in patterns of high confidence, induced by ``SEEDS`` different seeds at least, are added as kind ``context``.
 
+A second pass takes whatever stands in the slots of patterns with enough seeds, any word and any group of numbers joined
+by spaces, brackets or hyphens. All that stands in the slots of a pattern counts against its confidence there: the share of
+seeds and of instances the graph added must be ``CONFIDENT``. Slots are counted and looked up in the texts by a table of
+pattern hashes of fixed size (``SLOTS``); what collides there is put right by a join on the pattern itself. What the second pass
+adds does not make patterns better.
+
 Edges are counted per (pattern, instance) before they are joined, and only patterns that have both enough
 seeds and unseen instances take part, so frequent words do not gather occurrences in one task.
 
@@ -19,6 +25,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +43,8 @@ ROUNDS = 3
 SEEDS = 5  # different seeds that a pattern needs
 CONFIDENT = 0.7
 DOUBT = 1.0  # occurrences of unknown worth that every pattern is given
+SLOTS = 1 << 24  # places of the table of pattern hashes
+HELD = 100_000  # patterns counted in a task before they are handed on
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,6 +52,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9]){12,}")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<!\S)\S*[0-9@]\S*")
+_GROUP = re.compile(r"(?<!\S)[(\[]*[0-9][0-9()\[\]/.-]*+(?:\x20{1,2}[(\[]*[0-9][0-9()\[\]/.-]*+)+(?![^\s\"',;:!?])")
+_WORD = re.compile(r"\S+")
 _TRIM = "\"'.,;:!?()[]{}<>*#$&%"
 
 Span = tuple[int, int]
@@ -99,21 +112,93 @@ def tokens_like(text: str, taken: list[Span]) -> list[Span]:
     return found
 
 
-def patterns_around(text: str, span: Span) -> list[str]:
-    """Lexical patterns of a span, from the whole words beside it in lower case without outer signs."""
-    reach = 80  # characters looked at on each side; words cut by it are left out
+class Words:
+    """The words of a text: what stands between white space, cut where a base span begins or ends, and the base spans themselves."""
+
+    def __init__(self, text: str, taken: list[Span]):
+        self.text, self.taken = text, []
+        for a, b in sorted(taken):
+            if self.taken and a < self.taken[-1][1]:
+                self.taken[-1] = (self.taken[-1][0], max(b, self.taken[-1][1]))
+            else:
+                self.taken.append((a, b))
+        self.spans: list[Span] = []
+        at = 0
+        for a, b in [*self.taken, (len(text), len(text))]:
+            self.spans += [m.span() for m in _WORD.finditer(text, at, a)]
+            if a < b:
+                self.spans.append((a, b))
+            at = b
+        self.starts = [a for a, _ in self.spans]
+        self.plain = [text[a:b].strip(_TRIM).lower() for a, b in self.spans]
+
+    def patterns(self, span: Span) -> list[str]:
+        """Lexical patterns of a span, from the whole words beside it in lower case without outer signs."""
+        start, end = span
+        i, j = bisect_right(self.starts, start) - 1, bisect_right(self.starts, end - 1) - 1
+        return self.around(start, end, i, j)
+
+    def around(self, start: int, end: int, i: int, j: int) -> list[str]:
+        """The patterns of a span that begins in word i and ends in word j."""
+        plain = self.plain
+        left, right = plain[max(0, i - 2):i], plain[j + 1:j + 3]
+        if self.spans[i][0] < start:
+            left = [*left, self.text[self.spans[i][0]:start].strip(_TRIM).lower()][-2:]
+        if end < self.spans[j][1]:
+            right = [self.text[end:self.spans[j][1]].strip(_TRIM).lower(), *right][:2]
+        made = []
+        if len(left) == 2:
+            made.append(f"{left[0]} {left[1]} _")
+        if len(right) == 2:
+            made.append(f"_ {right[0]} {right[1]}")
+        if left and right:
+            made.append(f"{left[-1]} _ {right[0]}")
+        return [p for p in made if any(map(str.isalpha, p))]
+
+    def slots(self, table: bytes) -> Iterator[tuple[int, int, bool, list[str]]]:
+        """(start, end, whether a base span, patterns in ``table``) of what stands in their slots: base spans, groups of numbers, other words."""
+        plain, crc, n = self.plain, zlib.crc32, len(self.plain)
+        text, spans, seeds = self.text, self.spans, set(self.taken)
+        groups = iter([m.span() for m in _GROUP.finditer(text)])
+        group, i = next(groups, None), 0
+        while i < len(spans):
+            start, end = spans[i]
+            while group and group[0] < start:
+                group = next(groups, None)
+            if 1 < i < n - 2 and len(plain[i]) == end - start and not (group and group[0] == start):
+                # a word without outer signs: most words end here
+                a, b, c, d = plain[i - 2], plain[i - 1], plain[i + 1], plain[i + 2]
+                made = [p for p in (f"{a} {b} _", f"_ {c} {d}", f"{b} _ {c}") if table[crc(p.encode()) % SLOTS]]
+                if made:
+                    yield start, end, (start, end) in seeds, made
+                i += 1
+                continue
+            j = i
+            seed = (start, end) in seeds
+            if group and group[0] == start and not seed:
+                last = bisect_right(self.starts, group[1] - 1) - 1
+                if not any(s in seeds for s in spans[i:last + 1]):
+                    start, end = bracketed(text, group)
+                    j = last
+            if not seed and j == i:
+                while start < end and text[start] in _TRIM:
+                    start += 1
+                while end > start and text[end - 1] in _TRIM:
+                    end -= 1
+            made = [p for p in self.around(start, end, i, j) if table[crc(p.encode()) % SLOTS]]
+            if made:
+                yield start, end, seed, made
+            i = j + 1
+
+
+def bracketed(text: str, span: Span) -> Span:
+    """A group of numbers without the signs outside it; brackets that are a pair inside it stay."""
     start, end = span
-    before, after = text[max(0, start - reach):start], text[end:end + reach]
-    left = [w.strip(_TRIM).lower() for w in (before.split()[1:] if start > reach else before.split())][-2:]
-    right = [w.strip(_TRIM).lower() for w in (after.split()[:-1] if end + reach < len(text) else after.split())][:2]
-    made = []
-    if len(left) == 2:
-        made.append(f"{left[0]} {left[1]} _")
-    if len(right) == 2:
-        made.append(f"_ {right[0]} {right[1]}")
-    if left and right:
-        made.append(f"{left[-1]} _ {right[0]}")
-    return [p for p in made if any(c.isalpha() for c in p)]
+    while text[end - 1] in ".-/" or text[end - 1] in ")]" and text.count(text[end - 1], start, end) > text.count("(["[text[end - 1] == "]"], start, end):
+        end -= 1
+    while text[start] in "([" and text.count(text[start], start, end) > text.count(")]"[text[start] == "["], start, end):
+        start += 1
+    return start, end
 
 
 def written(spans: list[list[Span]]) -> str:
@@ -136,10 +221,10 @@ def scanned(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text)
                 base = written(spans)
                 taken = [s for found in spans for s in found]
-                nodes = []
+                nodes, words = [], Words(text, taken)
                 for seed, found in ((True, taken), (False, tokens_like(text, taken))):
                     for a, b in found:
-                        made = patterns_around(text, (a, b))
+                        made = words.patterns((a, b))
                         if made:
                             nodes.append({"instance": hashlib.blake2b(text[a:b].lower().encode(), digest_size=8).digest(),
                                           "seed": seed, "start": a, "end": b, "patterns": made})
@@ -181,12 +266,108 @@ def trusted(seen: DataFrame) -> DataFrame:
     return scored.where(F.col("confidence") >= CONFIDENT)
 
 
-def added(scan: DataFrame) -> DataFrame:
+def table_of(patterns: DataFrame) -> bytes | None:
+    """For each place of ``SLOTS`` whether a pattern has it as its hash; None without patterns."""
+    place = F.crc32(F.encode("pattern", "utf-8")) % SLOTS
+    words = patterns.select(F.shiftright(place, 5).alias("at"), (place % 32).cast("int").alias("bit")).groupBy("at").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()  # SLOTS / 32 rows at most
+    if not words.num_rows:
+        return None
+    table = np.zeros(SLOTS // 32, dtype="<u4")
+    table[words["at"].to_numpy()] = words["bits"].to_numpy().astype("<u4")
+    return np.unpackbits(table.view(np.uint8), bitorder="little").tobytes()
+
+
+def in_slots(docs: DataFrame, table: bytes) -> DataFrame:
+    """(pattern, n): how often anything stands in the slots of the patterns of ``table``, in parts."""
+    known = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, n = known.value, Counter()
+
+        def counted() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["pattern", "n"])
+            n.clear()
+            return made
+
+        for batch in batches:
+            for value in batch.column(2):
+                text = value.as_py()
+                for *_, made in Words(text, [s for found in base_spans(text) for s in found]).slots(table):
+                    n.update(made)
+                if len(n) >= HELD:
+                    yield counted()
+        yield counted()
+
+    return keyed(docs).mapInArrow(run, "pattern string, n long")
+
+
+def standing(docs: DataFrame, table: bytes) -> DataFrame:
+    """(doc_id, text_hash, start, end, pattern) of what is no base span in the slots of the patterns of ``table``."""
+    known = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = known.value
+        for batch in batches:
+            rows, starts, ends, patterns = [], [], [], []
+            for row, value in enumerate(batch.column(2)):
+                text = value.as_py()
+                for start, end, seed, made in Words(text, [s for found in base_spans(text) for s in found]).slots(table):
+                    for p in made if start < end and not seed else ():
+                        rows.append(row)
+                        starts.append(start)
+                        ends.append(end)
+                        patterns.append(p)
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
+                                              pa.array(patterns, pa.string())], ["doc_id", "text_hash", "start", "end", "pattern"])
+
+    return keyed(docs).mapInArrow(run, "doc_id long, text_hash long, start int, end int, pattern string")
+
+
+def second(docs: DataFrame, seen: DataFrame, good: DataFrame) -> DataFrame | None:
+    """Spans of all that stands in the slots of patterns that hold seeds and instances of ``good`` patterns nearly always."""
+    instances = seen.where("NOT seed").join(good, "pattern").select("instance").distinct().withColumn("good", F.lit(True))
+    counted = seen.join(instances, "instance", "left").groupBy("pattern", "instance").agg(
+        F.max("seed").alias("seed"), F.count_if(F.col("seed") | F.col("good")).alias("good"))
+    seeded = kept(counted.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.sum("good").alias("good")).where(F.col("seeds") >= SEEDS))
+    table = table_of(seeded)
+    if table is None:
+        return None
+    total = in_slots(docs, table).groupBy("pattern").agg(F.sum("n").alias("n"))
+    sure = kept(seeded.join(total, "pattern").where(
+        F.col("good") / (F.col("n") + DOUBT) >= CONFIDENT).select("pattern"))
+    table = table_of(sure)
+    if table is None:
+        return None
+    return standing(docs, table).join(sure, "pattern").select("doc_id", "text_hash", "start", "end")
+
+
+def added(docs: DataFrame, scan: DataFrame) -> DataFrame:
     """(doc_id, text_hash, more): the spans that trusted patterns add, as an array of (start, end)."""
     seen = scan.select("doc_id", "text_hash", F.explode("seen").alias("s")).select("doc_id", "text_hash", "s.*").withColumn("pattern", F.explode("patterns"))
     good = kept(trusted(seen.select("pattern", "instance", "seed")))
-    spans = seen.where("NOT seed").join(good, "pattern").select("doc_id", "text_hash", "start", "end").distinct()
-    return kept(spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("more")))
+    spans = seen.where("NOT seed").join(good, "pattern").select("doc_id", "text_hash", "start", "end")
+    more = second(docs, seen.select("pattern", "instance", "seed"), good)
+    spans = (spans if more is None else spans.union(more)).distinct()
+    return kept(spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("more")).mapInArrow(
+        united, "doc_id long, text_hash long, more array<struct<start: int, end: int>>"))
+
+
+def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans that overlap become one."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        more = []
+        for spans in batch.column(2).to_pylist():
+            apart: list[dict] = []
+            for s in spans:
+                if apart and s["start"] < apart[-1]["end"]:
+                    apart[-1]["end"] = max(apart[-1]["end"], s["end"])
+                else:
+                    apart.append(s)
+            more.append(apart)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(more, kind)], ["doc_id", "text_hash", "more"])
 
 
 def joined(rows: DataFrame, more: DataFrame) -> DataFrame:
@@ -199,7 +380,7 @@ def found(docs: DataFrame) -> DataFrame:
     scan = kept(scanned(docs))
     extra = F.transform("more", lambda s: F.concat_ws(":", F.lit(ADDED), s["start"].cast("string"), s["end"].cast("string")))
     parts = F.filter(F.concat(F.array("base"), F.coalesce(extra, F.array().cast("array<string>"))), lambda p: p != "")
-    return joined(scan, added(scan)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.array_join(parts, ",").alias("spans"))
+    return joined(scan, added(docs, scan)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.array_join(parts, ",").alias("spans"))
 
 
 def masked(text: str, more: list[Span]) -> str:
@@ -216,7 +397,7 @@ def masked(text: str, more: list[Span]) -> str:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in ``text``; ``n_chars``, if there, follows a text that changed."""
-    more = added(kept(scanned(docs)))
+    more = added(docs, kept(scanned(docs)))
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.select([F.col(c).alias(n) for c, n in names.items()])
     text = F.coalesce(F.col(names["text"]).cast("string"), F.lit(""))

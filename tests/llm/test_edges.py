@@ -280,6 +280,21 @@ def test_context_of_seeds_finds_unseen_identifiers(spark):
     assert clean[101] == "please write to user number: [CONTEXT] when you can" and clean[205] == rows[-25][1]
 
 
+def test_context_of_seeds_finds_any_token_and_groups_of_numbers(spark):
+    rows = [(i, f"you can call me at +49 30 555 01{i:02d} today or not") for i in range(40)]
+    forms = ["(555) 123 4567", "078 05 1120", "@john_doe", "AB-123", "jsmith"]
+    rows += [(100 + i, f"you can call me at {form} today or not") for i, form in enumerate(forms)]
+    far = "w" * 100
+    rows += [(200 + i, f"{far} is user{i}@mail.example.com {far} so") for i in range(20)] + [(300, f"{far} is kdoe {far} so")]
+    # a slot that mostly holds ordinary words stays untrusted
+    rows += [(400 + i, f"they wrote to {'bob%d@mail.example.com' % i if i < 8 else 'friend'} last week") for i in range(30)]
+    found = {r.doc_id: r.spans for r in pii.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, form in enumerate(forms):
+        assert found[100 + i] == f"context:19:{19 + len(form)}", form
+    assert found[300] == "context:104:108"
+    assert not any(found[400 + i] for i in range(8, 30))
+
+
 def test_personal_data_rules_equal_the_plain_patterns():
     from test_queries import plain_personal
 
