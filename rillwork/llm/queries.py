@@ -1,4 +1,4 @@
-"""The ten queries, each beside the SQL that checks it (None where SQL cannot express it)."""
+"""The thirteen queries, each beside the SQL that checks it (None where SQL cannot express it)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import embedding_dedup, fingerprints, langid, mixing, near_dedup, packing, pii, secret_scan, token_counts, warc
+from rillwork.llm import (embedding_dedup, fingerprints, id_files, langid, merkle, mixing, near_dedup, packing, pii, secret_scan, token_counts,
+                          vector_codes, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +141,93 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_randomness_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.found(table(spark, sf_dir, "documents"))
+
+
+@query("op11_path_copying_manifest", r"""
+WITH RECURSIVE table_of_crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+rows_of AS (
+    SELECT doc_id, source, text,
+        CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+            || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+            || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+            || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head,
+        xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+            lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS crc
+    FROM documents, table_of_crc),
+texts AS (
+    SELECT *, CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS after FROM rows_of),
+leaves AS (
+    SELECT doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+        sha256(head || CASE WHEN after IS NULL THEN '-' ELSE strlen(after) || ':' || after END) AS changed FROM texts),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+up(source, level, idx, node, n) AS (
+    SELECT source, 0, idx, leaf, n FROM placed
+    UNION ALL
+    SELECT source, level + 1, idx // 16, sha256(string_agg(node, '' ORDER BY idx)), (any_value(n) + 15) // 16 FROM up WHERE n > 1 GROUP BY source, level, idx // 16),
+runs AS (SELECT source, level, idx // 16 AS run, list(node ORDER BY idx) AS nodes FROM up WHERE n > 1 GROUP BY ALL),
+tops AS (SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM up WHERE n = 1),
+above(level, idx, node, n) AS (
+    SELECT 0, place, subroot, n FROM tops
+    UNION ALL
+    SELECT level + 1, idx // 16, sha256(string_agg(node, '' ORDER BY idx)), (any_value(n) + 15) // 16 FROM above WHERE n > 1 GROUP BY level, idx // 16),
+upper_runs AS (SELECT level, idx // 16 AS run, list(node ORDER BY idx) AS nodes FROM above WHERE n > 1 GROUP BY ALL),
+climb(doc_id, leaf, source, level, idx, node, proof) AS (
+    SELECT doc_id, leaf, source, 0, idx, changed, '' FROM placed
+    UNION ALL
+    SELECT c.doc_id, c.leaf, c.source, c.level + 1, c.idx // 16,
+        sha256(array_to_string(nodes[:c.idx % 16], '') || c.node || array_to_string(nodes[c.idx % 16 + 2:], '')),
+        c.proof || array_to_string(nodes[:c.idx % 16], '') || array_to_string(nodes[c.idx % 16 + 2:], '')
+    FROM climb c JOIN runs r ON r.source IS NOT DISTINCT FROM c.source AND r.level = c.level AND r.run = c.idx // 16),
+at_tops AS (SELECT DISTINCT ON (doc_id, leaf) * FROM climb ORDER BY level DESC),
+climb_on(doc_id, leaf, subroot, level, idx, node, proof) AS (
+    SELECT doc_id, leaf, subroot, 0, place, node, proof FROM at_tops c JOIN tops t ON t.source IS NOT DISTINCT FROM c.source
+    UNION ALL
+    SELECT c.doc_id, c.leaf, c.subroot, c.level + 1, c.idx // 16,
+        sha256(array_to_string(nodes[:c.idx % 16], '') || c.node || array_to_string(nodes[c.idx % 16 + 2:], '')),
+        c.proof || array_to_string(nodes[:c.idx % 16], '') || array_to_string(nodes[c.idx % 16 + 2:], '')
+    FROM climb_on c JOIN upper_runs r ON r.level = c.level AND r.run = c.idx // 16),
+ends AS (SELECT DISTINCT ON (doc_id, leaf) * FROM climb_on ORDER BY level DESC),
+root_of AS (SELECT node AS root FROM above WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified FROM ends, root_of""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(table(spark, sf_dir, "documents")).versions().select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def lloyd_sql() -> str:
+    """Four rounds of plain Lloyd, every part against all entries."""
+    squared = "CAST(list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, b.x) + list_dot_product(b.x, b.x) AS BIGINT)"
+    steps = []
+    for k in range(5):
+        steps.append(f"""
+near{k} AS (SELECT v.rn, v.p, min({squared} * 256 + b.e) AS best FROM parts v JOIN book{k} b ON v.p = b.p GROUP BY v.rn, v.p)""")
+        if k < 4:
+            steps.append(f"""
+used{k} AS (SELECT p, e, list(CAST(floor(s / n) AS DOUBLE) ORDER BY i) AS x FROM (
+    SELECT v.p, best % 256 AS e, i, sum(v.x[i]) AS s, count(*) AS n FROM near{k} JOIN parts v USING (rn, p), unnest(range(1, 1 + len(v.x))) r(i) GROUP BY ALL) GROUP BY p, e),
+book{k + 1} AS (SELECT p, e, coalesce(u.x, b.x) AS x FROM book{k} b LEFT JOIN used{k} u USING (p, e))""")
+    return f"""
+WITH usable AS (SELECT vec_id, label, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+whole AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rn, vec_id, label,
+    list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS DOUBLE)) AS x FROM usable),
+parts AS (SELECT rn, vec_id, label, p, x[1 + p * len(x) // 4:(p + 1) * len(x) // 4] AS x FROM whole, unnest(range(4)) r(p)),
+book0 AS (SELECT p, rn AS e, x FROM parts WHERE rn < 256),{",".join(steps)},
+coded AS (
+    SELECT vec_id, label, string_agg(lower(lpad(to_hex(best % 256), 2, '0')), '' ORDER BY p) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+    FROM near4 JOIN parts USING (rn, p) GROUP BY rn, vec_id, label),
+books AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda c: CAST(CAST(c AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book4)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books"""
+
+
+@query("op12_active_lloyd_codes", lloyd_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_elias_fano_id_files")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = id_files.write(table(spark, sf_dir, "documents"), id_files.new_folder(spark), public_tokenizers.path("byte_bpe_50k.json"))
+    return id_files.read(index)
