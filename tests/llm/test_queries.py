@@ -38,7 +38,7 @@ def test_query_equals_sql(spark, con, key):
 
 
 def test_all_are_registered():
-    assert {int(re.match(r"op(\d+)_", key)[1]) for key in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", key)[1]) for key in QUERIES} == set(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
