@@ -118,11 +118,11 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<int>")
     def places(ids: pd.Series) -> pd.Series:
-        out = []
-        for v in ids:
-            p = int(np.searchsorted(starts, v, side="right")) - 1
-            out.append([p, (p - 1) % len(starts)] if starts[p] == v else [p])
-        return pd.Series(out)
+        here = np.searchsorted(starts, ids.to_numpy(), side="right") - 1
+        first = starts[here] == ids.to_numpy()
+        ends = np.cumsum(1 + first)
+        pairs = np.stack([here, (here - 1) % len(starts)], axis=1).astype(np.int32)
+        return pd.Series(np.split(pairs[np.stack([np.ones_like(first), first], axis=1)], ends[:-1]))
 
     anywhere = F.array((-1 - F.pmod(F.xxhash64("text"), F.lit(parts))).cast("int"))
     ordered = named.where("doc_id IS NOT NULL").withColumn("places", places("doc_id"))

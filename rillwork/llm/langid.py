@@ -7,7 +7,8 @@ and a language costs -log2 of its share of all labelled documents, which decides
 between equal sizes. A text is rejected if it is long enough to tell and the margin
 between the two best is narrow.
 
-Bounds of the sample (``SAMPLE``, ``DICTIONARY``) apply to the dictionaries only; every
+Bounds of the sample (``SAMPLE`` texts, of each a slice of ``SLICE`` characters at a place that a hash of the text
+chooses, and ``DICTIONARY`` bytes) apply to the dictionaries only; every
 text is classified whole, in pieces of ``PIECE`` bytes.
 
 Defined results: ``und`` with score 0 and rejected for a null text or one without a
@@ -31,6 +32,7 @@ from rillwork.llm.keep import small_batches
 UNKNOWN = "und"
 SAMPLE = 300  # labelled texts of a language that may go into its dictionary
 DICTIONARY = 65536  # bytes of a dictionary
+SLICE = DICTIONARY // 16  # characters of a sampled text
 PIECE = 16384  # bytes compressed at once
 LEVEL = 6
 NARROW = 0.002  # of the smallest size
@@ -53,16 +55,19 @@ def learned(labelled: DataFrame) -> dict[str, tuple[bytes, float]]:
     smallest hashes; the driver gets at most ``SAMPLE`` pieces of text of each.
     """
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    # a share of each language by hash that leaves a few times the sample, so that no task ranks a whole language
-    place = F.xxhash64(F.col("doc_id").cast("string"))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")), F.lit(2**52))
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()
+    counts, least = {r["lang"]: r["n"] for r in found}, {r["lang"]: r["least"] for r in found}
+    # a share of each language by hash that leaves a few times the sample, so that no task ranks a whole language; few different
+    # rows may all lie outside the share, so the smallest hash is always in
     shares = {lang: min(1.0, 4 * SAMPLE / n) for lang, n in counts.items() if n > 4 * SAMPLE}
     few = labelled.select("lang", "text", place.alias("place"))
     if shares:
-        share = F.create_map(*[F.lit(v) for pair in shares.items() for v in pair])[F.col("lang")]
-        few = few.where(F.pmod("place", F.lit(2**52)) < F.coalesce(share, F.lit(1.0)) * float(2**52))
+        until = F.create_map(*[F.lit(v) for lang, share in shares.items() for v in (lang, max(share * 2**52, least[lang] + 1.0))])[F.col("lang")]
+        few = few.where(F.col("place") < F.coalesce(until, F.lit(float(2**52))))
     by = Window.partitionBy("lang").orderBy("place", "text")
-    sample = (few.select("lang", "place", F.substring("text", 1, DICTIONARY // 16).alias("text"))
+    begin = 1 + F.pmod(F.hash("text"), F.greatest(F.lit(1), F.length("text") - SLICE + 1))
+    sample = (few.select("lang", "place", F.col("text").substr(begin, F.lit(SLICE)).alias("text"))
               .withColumn("k", F.row_number().over(by)).where(F.col("k") <= SAMPLE).select("lang", "k", "text"))
     parts: dict[str, list] = {lang: [] for lang in counts}
     for r in sample.collect():

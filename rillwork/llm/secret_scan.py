@@ -1,15 +1,16 @@
 """Secrets by rules and by a randomness test battery.
 
 Base spans: assignments to words like ``token``, access keys, long hexadecimal runs. Beside them, every run of
-at least ``SHORTEST`` characters of an encoding is a candidate. Its encoding (hexadecimal, base32, lower-case
-letters and digits, letters and digits, base64) is inferred from its characters, and tests ask whether its symbols
+at least ``SHORTEST`` characters of the encodings is tested, whole and in parts, as a key may stand behind a path: the parts between
+``/ + _ -``, and the run without the words and numbers at its ends. The encoding of each (hexadecimal, base32, lower-case
+letters and digits, letters, letters and digits, base64) is inferred from its characters, and tests ask whether its symbols
 are independent and uniform over that alphabet: chi-squared of symbols and of character classes, runs about the median, and
 lag-1 serial correlation, combined by Fisher's method and by the least of them. A candidate that they reject is no secret.
 
 What is left must be unlike ordinary text: with the symbol frequencies of all texts, chi-squared of a string of n ordinary
 symbols is about normal with a mean and spread that grow with n, so the chance that ordinary text looks
 so uniform shrinks with the length. Benjamini-Hochberg over the candidates of all documents keeps the share of ordinary
-strings among the reported ones below ``FALSE``. Its threshold comes from counts of p-values by
+strings among the reported ones below ``FALSE``; runs and parts all count as candidates. A part is not reported beside the run it is part of. The threshold comes from counts of p-values by
 ``BINS`` logarithmic bins, rounded up, so no p-value is collected or sorted in one place.
 
 Defined results: a null text is an empty one, without spans. Spans are in code points, end exclusive. A candidate that
@@ -44,11 +45,14 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % SHORTEST)
+_PART = re.compile(r"[A-Za-z0-9]+")
+_PLAIN = re.compile(r"[A-Z]?[a-z]*|[A-Z]+|[0-9]+")
+NEVER = 1 << 30  # a bin above all
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: From the smallest alphabet to the greatest: a candidate has the first that holds all its characters.
 ENCODINGS = {
     "hex": _DIGITS + "abcdef", "HEX": _DIGITS + "ABCDEF", "base32": _UPPER + "234567", "base36": _LOWER + _DIGITS, "BASE36": _UPPER + _DIGITS,
-    "base62": _UPPER + _LOWER + _DIGITS, "base64": _UPPER + _LOWER + _DIGITS + "+/", "base64url": _UPPER + _LOWER + _DIGITS + "-_",
+    "base52": _UPPER + _LOWER, "base62": _UPPER + _LOWER + _DIGITS, "base64": _UPPER + _LOWER + _DIGITS + "+/", "base64url": _UPPER + _LOWER + _DIGITS + "-_",
 }
 _SETS = {name: frozenset(signs) for name, signs in ENCODINGS.items()}
 _PLACES = {name: {c: i for i, c in enumerate(signs)} for name, signs in ENCODINGS.items()}
@@ -61,9 +65,9 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
 
 
 def encoding_of(run: str) -> str | None:
-    """The smallest encoding of a run; None for digits or letters alone, which are numbers and words."""
+    """The smallest encoding of a run; None for digits alone and letters of one case alone, which are numbers and words."""
     signs = set(run)
-    if not signs & set(_DIGITS) or not signs - set(_DIGITS):
+    if not signs - set(_DIGITS) or not signs & set(_DIGITS) and not (signs & set(_LOWER) and signs & set(_UPPER)):
         return None
     return next((name for name, known in _SETS.items() if signs <= known), None)
 
@@ -153,18 +157,34 @@ def frequencies(docs: DataFrame) -> dict[str, float]:
     return out
 
 
+def parts_of(run: str) -> list[tuple[int, int]]:
+    """What is tested of a run beside the whole: it without plain words and numbers at its ends, and what stands between its signs."""
+    parts = [m.span() for m in _PART.finditer(run)]
+    odd = [s for s in parts if not _PLAIN.fullmatch(run, *s)]
+    found = {s for s in parts if s[1] - s[0] >= SHORTEST}
+    if odd and odd[-1][1] - odd[0][0] >= SHORTEST:
+        found.add((odd[0][0], odd[-1][1]))
+    return sorted(found - {(0, len(run))}, key=lambda s: (s[0], -s[1]))
+
+
 def candidates(text: str, taken: list[tuple[int, int]], excess: dict[str, float]) -> list[dict]:
-    """Runs outside ``taken`` that the battery takes for random, with the bin of their p-value as ordinary text."""
-    found = []
+    """Runs and parts of runs outside ``taken`` that the battery takes for random, with the bin of their p-value as ordinary text.
+
+    ``outer`` is the least bin of the candidates that a part lies in, so that it is not reported beside them.
+    """
+    found: list[dict] = []
     for m in _RUN.finditer(text):
-        start, end = m.span()
-        run = m[0]
-        name = encoding_of(run)
-        if name is None or any(a < end and start < b for a, b in taken):
-            continue
-        chi, p = battery(run, name)
-        if p >= RANDOM:
-            found.append({"start": start, "end": end, "bin": math.ceil(log_p_ordinary(chi, len(run), len(ENCODINGS[name]), excess[name]) * BINS)})
+        begin, run, here = m.start(), m[0], len(found)
+        for a, b in [(0, len(run)), *parts_of(run)]:
+            start, end, part = begin + a, begin + b, run[a:b]
+            name = encoding_of(part)
+            if name is None or any(x < end and start < y for x, y in taken):
+                continue
+            chi, p = battery(part, name)
+            if p >= RANDOM:
+                outer = min((g["bin"] for g in found[here:] if g["start"] <= start and end <= g["end"]), default=NEVER)
+                found.append({"start": start, "end": end, "outer": outer,
+                              "bin": math.ceil(log_p_ordinary(chi, len(part), len(ENCODINGS[name]), excess[name]) * BINS)})
     return found
 
 
@@ -175,7 +195,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-        guess = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("bin", pa.int32())])
+        guess = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("bin", pa.int32()), ("outer", pa.int32())])
         for batch in batches:
             counts, shas, bases, guesses = [], [], [], []
             for value in batch.column(1):
@@ -193,7 +213,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, base array<struct<start: int, kind: int, end: int>>, "
-             "guesses array<struct<start: int, end: int, bin: int>>")
+             "guesses array<struct<start: int, end: int, bin: int, outer: int>>")
 
 
 def threshold(bins: dict[int, int]) -> int:
@@ -211,7 +231,7 @@ def found(docs: DataFrame) -> DataFrame:
     scan = kept(scanned(docs))
     bins = scan.select(F.explode("guesses.bin").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
     limit = threshold({r["bin"]: r["n"] for r in bins.collect()})  # a bounded number of bins
-    more = F.transform(F.filter("guesses", lambda g: g["bin"] <= limit), lambda g: F.struct(
+    more = F.transform(F.filter("guesses", lambda g: (g["bin"] <= limit) & (g["outer"] > limit)), lambda g: F.struct(
         g["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), g["end"].alias("end")))
     names = F.array(*[F.lit(k) for k in (*KINDS, ADDED)])
     spans = F.array_join(F.transform(F.array_sort(F.concat("base", "more")), lambda s: F.concat_ws(

@@ -7,18 +7,22 @@ best over all pieces that end there, is computed once for all words that share t
 prefix, level by level for all nodes of a depth at once. Terminal nodes give the counts,
 which are remembered for later batches of the task.
 
+Prefixes are looked up by a 64-bit hash of their code points and not compared sign by sign.
+
 Pieces come from a public vocabulary file, read by path. Its order is by frequency, so the
 score of a piece is taken from Zipf's law, -ln(rank + ``SHIFT``), in thousandths and whole, which makes
 sums exact. A character that is no piece is spelled in bytes, one token each.
 
 Defined results: a null or empty text has no words and no tokens; a word of any length
-is counted whole (over ``LONG`` characters without the trie, by the same rule); equal rows get equal counts;
+is counted whole (over ``LONG`` characters without the trie, by the same rule, with tokens counted beside the scores); words
+are divided by any Unicode white space, as the pieces of the vocabulary are; equal rows get equal counts;
 doc_id may be null. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,7 +40,7 @@ BYTE = -14_000  # score of a byte of a character that is no piece
 LONG = 200  # characters of a word above which its levels are not worth an array each
 REMEMBERED = 300_000  # words of a task whose counts are remembered at most
 ROWS = 1000  # texts whose new words are put in one trie
-_BITS = 24  # a value is score * 2**_BITS - tokens, so the greatest has the best score and then the fewest tokens
+_BITS = 24  # in the trie a value is score * 2**_BITS - tokens, so the greatest has the best score and then the fewest tokens
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,15 +78,19 @@ class Unigram:
         return out
 
     def count_one(self, word: str) -> int:
-        best = [0]
+        """The same over one word of any length: scores and tokens are whole numbers of their own, and only the last ones are held."""
+        best: deque[tuple[int, int]] = deque([(0, 0)], maxlen=self.longest)  # (score, -tokens), the newest last
         for end in range(1, len(word) + 1):
-            found = [best[end - k] + self.value(self.scores[word[end - k:end]])
-                     for k in range(1, min(self.longest, end) + 1) if word[end - k:end] in self.scores]
+            found = []
+            for k in range(1, len(best) + 1):
+                score = self.scores.get(word[end - k:end])
+                if score is not None:
+                    found.append((best[-k][0] + score, best[-k][1] - 1))
             if word[end - 1] not in self.scores:
                 n = len(word[end - 1].encode("utf-8", "replace"))
-                found.append(best[end - 1] + self.value(n * BYTE, n))
+                found.append((best[-1][0] + n * BYTE, best[-1][1] - n))
             best.append(max(found))
-        return -best[-1] & ((1 << _BITS) - 1)
+        return -best[-1][1]
 
     def count_sorted(self, words: list[str]) -> np.ndarray:
         """The same for words in order, over their trie."""
