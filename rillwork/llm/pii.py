@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillwork.llm import slots
 from rillwork.llm.keep import kept, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
@@ -55,6 +56,7 @@ _TOKEN = re.compile(r"(?<!\S)\S*[0-9@]\S*")
 _GROUP = re.compile(r"(?<!\S)[(\[]*[0-9][0-9()\[\]/.-]*+(?:\x20{1,2}[(\[]*[0-9][0-9()\[\]/.-]*+)+(?![^\s\"',;:!?])")
 _WORD = re.compile(r"\S+")
 _TRIM = "\"'.,;:!?()[]{}<>*#$&%"
+_TRIMMED = np.array([chr(c) in _TRIM for c in range(128)] + [False])
 
 Span = tuple[int, int]
 
@@ -155,6 +157,14 @@ class Words:
             made.append(f"{left[-1]} _ {right[0]}")
         return [p for p in made if any(map(str.isalpha, p))]
 
+    @classmethod
+    def near(cls, text: str, spans: list[Span]) -> Words:
+        """These words of a text alone, none of them a base span."""
+        words = cls.__new__(cls)
+        words.text, words.taken, words.spans, words.starts = text, [], spans, [a for a, _ in spans]
+        words.plain = [text[a:b].strip(_TRIM).lower() for a, b in spans]
+        return words
+
     def slots(self, table: bytes) -> Iterator[tuple[int, int, bool, list[str]]]:
         """(start, end, whether a base span, patterns in ``table``) of what stands in their slots: base spans, groups of numbers, other words."""
         plain, crc, n = self.plain, zlib.crc32, len(self.plain)
@@ -191,6 +201,28 @@ class Words:
             i = j + 1
 
 
+Found = Iterator[tuple[int, int, bool, list[str]]]
+
+
+def slots_of(text: str, table: bytes, bits: np.ndarray) -> Found:
+    """What ``Words.slots`` gives for the text. Texts without base spans and groups of numbers, nearly all, are looked through with
+    arrays first (``bits``), and only words that may be in a slot are compared; others are walked word by word."""
+    taken = [s for found in base_spans(text) for s in found]
+    lowered = text.lower()
+    # the array form needs lower case sign by sign, which a final sigma and a few long forms do not have
+    if taken or len(lowered) != len(text) or "\u03a3" in text or _GROUP.search(text):
+        yield from Words(text, taken).slots(table)
+        return
+    view = slots.Windows(text, lowered, _TRIMMED)
+    for i in view.candidates(bits).tolist():
+        low = max(0, i - 2)
+        near = Words.near(text, list(zip(view.begin[low:i + 3].tolist(), view.end[low:i + 3].tolist())))
+        start, end = int(view.start[i]), int(view.stop[i])
+        made = [p for p in near.around(start, end, i - low, i - low) if table[zlib.crc32(p.encode()) % SLOTS]]
+        if made:
+            yield start, end, False, made
+
+
 def bracketed(text: str, span: Span) -> Span:
     """A group of numbers without the signs outside it; brackets that are a pair inside it stay."""
     start, end = span
@@ -221,8 +253,9 @@ def scanned(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text)
                 base = written(spans)
                 taken = [s for found in spans for s in found]
-                nodes, words = [], Words(text, taken)
-                for seed, found in ((True, taken), (False, tokens_like(text, taken))):
+                like = tokens_like(text, taken)
+                nodes, words = [], Words(text, taken) if taken or like else None
+                for seed, found in ((True, taken), (False, like)):
                     for a, b in found:
                         made = words.patterns((a, b))
                         if made:
@@ -278,12 +311,12 @@ def table_of(patterns: DataFrame) -> bytes | None:
     return np.unpackbits(table.view(np.uint8), bitorder="little").tobytes()
 
 
-def in_slots(docs: DataFrame, table: bytes) -> DataFrame:
+def in_slots(docs: DataFrame, table: bytes, bits: np.ndarray) -> DataFrame:
     """(pattern, n): how often anything stands in the slots of the patterns of ``table``, in parts."""
-    known = docs.sparkSession.sparkContext.broadcast(table)
+    known = docs.sparkSession.sparkContext.broadcast((table, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, n = known.value, Counter()
+        (table, bits), n = known.value, Counter()
 
         def counted() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["pattern", "n"])
@@ -292,8 +325,7 @@ def in_slots(docs: DataFrame, table: bytes) -> DataFrame:
 
         for batch in batches:
             for value in batch.column(2):
-                text = value.as_py()
-                for *_, made in Words(text, [s for found in base_spans(text) for s in found]).slots(table):
+                for *_, made in slots_of(value.as_py(), table, bits):
                     n.update(made)
                 if len(n) >= HELD:
                     yield counted()
@@ -302,17 +334,16 @@ def in_slots(docs: DataFrame, table: bytes) -> DataFrame:
     return keyed(docs).mapInArrow(run, "pattern string, n long")
 
 
-def standing(docs: DataFrame, table: bytes) -> DataFrame:
+def standing(docs: DataFrame, table: bytes, bits: np.ndarray) -> DataFrame:
     """(doc_id, text_hash, start, end, pattern) of what is no base span in the slots of the patterns of ``table``."""
-    known = docs.sparkSession.sparkContext.broadcast(table)
+    known = docs.sparkSession.sparkContext.broadcast((table, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = known.value
+        table, bits = known.value
         for batch in batches:
             rows, starts, ends, patterns = [], [], [], []
             for row, value in enumerate(batch.column(2)):
-                text = value.as_py()
-                for start, end, seed, made in Words(text, [s for found in base_spans(text) for s in found]).slots(table):
+                for start, end, seed, made in slots_of(value.as_py(), table, bits):
                     for p in made if start < end and not seed else ():
                         rows.append(row)
                         starts.append(start)
@@ -334,13 +365,13 @@ def second(docs: DataFrame, seen: DataFrame, good: DataFrame) -> DataFrame | Non
     table = table_of(seeded)
     if table is None:
         return None
-    total = in_slots(docs, table).groupBy("pattern").agg(F.sum("n").alias("n"))
+    total = in_slots(docs, table, slots.bits_of(seeded)).groupBy("pattern").agg(F.sum("n").alias("n"))
     sure = kept(seeded.join(total, "pattern").where(
         F.col("good") / (F.col("n") + DOUBT) >= CONFIDENT).select("pattern"))
     table = table_of(sure)
     if table is None:
         return None
-    return standing(docs, table).join(sure, "pattern").select("doc_id", "text_hash", "start", "end")
+    return standing(docs, table, slots.bits_of(sure)).join(sure, "pattern").select("doc_id", "text_hash", "start", "end")
 
 
 def added(docs: DataFrame, scan: DataFrame) -> DataFrame:
