@@ -82,6 +82,44 @@ def test_neighbours_equal_loop(df, rows, per_segment, keyed, backward):
     assert {r["id"]: r["near"] for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("most", [1, 15, 100])
+@pytest.mark.parametrize("keyed", [True, False])
+@pytest.mark.parametrize("cell", [None, 1000])
+def test_parts_of_any_size_give_the_same_rows(df, rows, keyed, most, cell):
+    """Large keys divided, all rows in one cell of their key, many with one and the same first value."""
+    specs = {f"{fold}_{int(b)}": Running(fold, F.col("v"), b, True) for fold in FOLDS for b in (False, True)}
+    near = {"after": ordered.Near(F.col("id"), 3), "before": ordered.Near(F.col("id"), 1, backward=True)}
+    same = df.withColumn("ts", F.when(F.col("ts") % 2 == 0, 7).otherwise(F.col("ts")))
+    got = ordered.scan(same, ["k"] if keyed else [], ["ts", "id"], specs | near, cell, most).collect()
+    expected = {}
+    for g in groups([(i, k, 7 if ts % 2 == 0 else ts, v) for i, k, ts, v in rows], keyed).values():
+        for i, r in enumerate(g):
+            for name in specs:
+                fold, backward = name.split("_")
+                part = list(reversed(g[i + 1:])) if backward == "1" else g[:i]
+                expected[r[0], name] = FOLDS[fold]([x[3] for x in part if x[3] is not None])
+            expected[r[0], "after"] = [x[0] for x in g[i + 1:i + 4]]
+            expected[r[0], "before"] = [x[0] for x in g[max(i - 1, 0):i]]
+    assert len(got) == len(rows)
+    assert all(r[name] == expected[r["id"], name] for r in got for name in [*specs, *near])
+
+
+def test_a_hot_hour_is_divided(spark):
+    """300 000 rows without a key within an hour, a third of them at one time: no part is much larger than asked for."""
+    hot = spark.range(300_000).select("id", F.when(F.col("id") % 3 == 0, F.timestamp_seconds(F.lit(1_700_000_000))).otherwise(
+        F.timestamp_micros(F.col("id") * 11_000 + 1_699_999_200_000_000)).alias("ts"))
+    parts = ordered.in_parts(hot, [], ["ts", "id"], most=10_000).groupBy(ordered.SEGMENT).count().orderBy(ordered.SEGMENT).collect()
+    assert len(parts) > 15 and max(r["count"] for r in parts) < 80_000
+    numbered = number_rows(hot, [], ["ts", "id"], "rn", most=10_000)
+    assert numbered.agg(F.count_distinct("rn"), F.min("rn"), F.max("rn")).first() == (300_000, 1, 300_000)
+    assert numbered.sort("rn").limit(150_000).agg(F.max("ts")).first()[0] <= numbered.filter("rn > 150000").agg(F.min("ts")).first()[0]
+
+
+def test_small_keys_are_not_divided(df):
+    parts = ordered.in_parts(df, ["k"], ["ts", "id"]).select(ordered.SEGMENT, "__large").distinct().collect()
+    assert [(r["__segment"]["cell"], r["__segment"]["cut"], r["__large"]) for r in parts] == [(0, 0, None)]
+
+
 def test_a_hot_key_is_spread_over_its_cells(df):
     sizes = ordered.with_cells(df, "ts", 5).groupBy("k", ordered.SEGMENT).count().agg(F.max("count")).first()[0]
     assert sizes <= 40
@@ -90,7 +128,7 @@ def test_a_hot_key_is_spread_over_its_cells(df):
 @pytest.mark.parametrize("keyed", [True, False])
 def test_the_plan_has_no_nested_loop_and_the_same_shape_at_every_width(df, keyed):
     shapes = set()
-    for cell in (None, 1, 50):
+    for cell in (2, 1, 50):
         out = number_rows(df, ["k"] if keyed else [], ["ts", "id"], "rn", cell)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
