@@ -126,34 +126,39 @@ def watermark_min_policy(spark, folder):
 LATEST = "1 hour"
 
 
-def hottest_stream(spark, source: DataFrame, keys: list[str], kinds: str, slide: str, name: str) -> DataFrame:
-    """Top 3 of every sliding hour over several micro-batches with disorder."""
+def hottest_stream(spark, folder: str, role, keys: list[str], kinds: str, slide: str, name: str) -> DataFrame:
+    """Top 3 of every sliding hour over several micro-batches with disorder; ``role`` makes the rows of events."""
+    arriving = roles.arriving_events(spark, folder)
+    source = role(arriving.rows)
+
     def closed_windows(df: DataFrame) -> DataFrame:
         counts = windows.sliding_counts(df, keys, "ts", LATEST, "1 hour", slide, "clicks")
         return counts.select("window_end", *keys, "clicks")
 
     ranked = spark.createDataFrame([], f"window_end timestamp, {kinds}, clicks long, rank long").schema
     return without_zone(runner.replay(source.select("ts", *keys), "ts", closed_windows, name,
-                                      each_batch=windows.rank_closed_windows(keys, 3), result_schema=ranked))
+                                      each_batch=windows.rank_closed_windows(keys, 3), result_schema=ranked, feed=arriving.parts))
 
 
 @query("hot_items_stream", top3_sql(slots_sql(VIEWS_SQL, "item_id", 60, 5), "item_id"))
 def hot_items_stream(spark, folder):
-    views = roles.views_of_items(roles.arriving_events(spark, folder))
-    return hottest_stream(spark, views, ["item_id"], "item_id int", "5 minutes", "hot-items")
+    return hottest_stream(spark, folder, roles.views_of_items, ["item_id"], "item_id int", "5 minutes", "hot-items")
 
 
 @query("hot_pages_stream", HOT_PAGES_SQL)
 def hot_pages_stream(spark, folder):
-    lines = roles.web_log_lines(roles.arriving_events(spark, folder), roles.table(spark, folder, "pages"))
-    hits = parse_web_log(lines).withColumn("ts", F.col("ts").cast("timestamp"))
-    return hottest_stream(spark, hits, ["url"], "url string", "10 minutes", "hot-pages")
+    pages = roles.table(spark, folder, "pages")
+
+    def hits(rows: DataFrame) -> DataFrame:
+        return parse_web_log(roles.web_log_lines(rows, pages)).withColumn("ts", F.col("ts").cast("timestamp"))
+
+    return hottest_stream(spark, folder, hits, ["url"], "url string", "10 minutes", "hot-pages")
 
 
 @query("hot_ads_stream", top3_sql(slots_sql(CLICKS_SQL, "province, ad_id", 60, 10), "province, ad_id"))
 def hot_ads_stream(spark, folder):
-    clicks = roles.ad_clicks(roles.arriving_events(spark, folder), roles.table(spark, folder, "region"))
-    return hottest_stream(spark, clicks, ["province", "ad_id"], "province string, ad_id int", "10 minutes", "hot-ads")
+    region = roles.table(spark, folder, "region")
+    return hottest_stream(spark, folder, lambda rows: roles.ad_clicks(rows, region), ["province", "ad_id"], "province string, ad_id int", "10 minutes", "hot-ads")
 
 
 @query("uv_hourly_stream", f"""
@@ -279,10 +284,11 @@ def with_state_shortcuts(spark, folder):
 
 def limited_clicks(spark, folder, name: str) -> DataFrame:
     """Clicks per user and ad within the daily limit, and the alarms."""
-    clicks = roles.ad_clicks(roles.arriving_events(spark, folder), roles.table(spark, folder, "region"))
+    arriving = roles.arriving_events(spark, folder)
+    clicks = roles.ad_clicks(arriving.rows, roles.table(spark, folder, "region"))
     limit = p.DailyLimit(CLICK_LIMIT, "user_id long, ad_id int")
     return runner.replay(clicks.select("ts", "user_id", "ad_id", "event_id"), "ts", lambda df: p.keyed(
-        df, ["user_id", "ad_id"], "ts", LATEST, ["event_id"], limit), name)
+        df, ["user_id", "ad_id"], "ts", LATEST, ["event_id"], limit), name, feed=arriving.parts)
 
 
 @query("blacklist_stream", f"""
@@ -312,8 +318,9 @@ SELECT event_id, user_id, CASE WHEN ts <= date_trunc('milliseconds', newest - IN
 FROM b JOIN w USING (part)""")
 def late_side_output_stream(spark, folder):
     """Four micro-batches by arrival and a bound of ten minutes: what the batches before have passed is late."""
-    rows = roles.arriving_events(spark, folder).select("ts", "user_id", "event_id")
-    out = runner.replay(rows, "ts", lambda df: p.keyed(df, ["user_id"], "ts", "10 minutes", ["event_id"], p.LateSplit()), "late")
+    arriving = roles.arriving_events(spark, folder)
+    out = runner.replay(arriving.rows.select("ts", "user_id", "event_id"), "ts", lambda df: p.keyed(
+        df, ["user_id"], "ts", "10 minutes", ["event_id"], p.LateSplit()), "late", feed=arriving.parts)
     return out.select("event_id", "user_id", "tag")
 
 

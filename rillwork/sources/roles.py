@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,22 +33,33 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
             .withColumn("ts", F.col("ts").cast("timestamp")))
 
 
-def arriving_events(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
-    """The event log as a stream of ``files`` micro-batches that come in order of arrival, rows delayed by up to an hour.
+@dataclass(frozen=True)
+class Arriving:
+    """A stream, and what brings its input part by part; see ``runner.replay``."""
 
-    The files divide the span of arrival times evenly; the columns are those of the log and ``arrival``.
+    rows: DataFrame
+    parts: list[Callable[[], None]]
+
+
+def arriving_events(spark: SparkSession, folder: str, parts: int = 4) -> Arriving:
+    """The event log as a stream of ``parts`` micro-batches in order of arrival, rows delayed by up to an hour.
+
+    The parts divide the span of arrival times evenly; each is written by as many tasks as read the log. The columns are
+    those of the log and ``arrival``; rows that have none come with the first part.
     """
     target = f"{shared_folder(spark)}/arriving-{uuid4().hex}"
-    rows = events(spark, folder)
-    rows = rows.join(in_arrival_order(rows).select("event_id", "arrival"), "event_id")
+    rows = with_arrival(events(spark, folder))
     at = F.unix_micros(F.col("arrival").cast("timestamp"))
     low, high = rows.agg(F.min(at), F.max(at)).first()
     low, high = low or 0, high or 0
-    part = F.floor((at - low) * files / (high - low + 1))
-    for number in range(files):  # one after the other: a stream takes files by their time
-        rows.filter(part == number).coalesce(1).write.mode("append").parquet(target)
-    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(target)
-            .withColumn("ts", F.col("ts").cast("timestamp")))
+    part = F.coalesce(F.floor((at - low) * parts / (high - low + 1)), F.lit(0))
+    spark.createDataFrame([], rows.schema).write.parquet(target)
+
+    def bring(number: int) -> Callable[[], None]:
+        return lambda: rows.filter(part == number).write.mode("append").parquet(target)
+
+    stream = spark.readStream.schema(rows.schema).parquet(target).withColumn("ts", F.col("ts").cast("timestamp"))
+    return Arriving(stream, [bring(n) for n in range(parts)])
 
 
 def with_item(df: DataFrame) -> DataFrame:
@@ -103,7 +116,12 @@ def web_log_lines(df: DataFrame, pages: DataFrame) -> DataFrame:
     return hits.join(urls, "page_id").select("event_id", line.alias("value"))
 
 
-def in_arrival_order(df: DataFrame) -> DataFrame:
-    """(event_id, ts, user_id, arrival): rows delayed by up to an hour, hence out of order."""
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Rows with the time they come at, delayed by up to an hour, hence out of order."""
     delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ((F.col("event_id") * 7919) % 3600).cast("decimal(18,6)"))
-    return df.select("event_id", "ts", "user_id", (F.col("ts") + delay).alias("arrival"))
+    return df.withColumn("arrival", F.col("ts") + delay)
+
+
+def in_arrival_order(df: DataFrame) -> DataFrame:
+    """(event_id, ts, user_id, arrival) of rows that come out of order."""
+    return with_arrival(df).select("event_id", "ts", "user_id", "arrival")

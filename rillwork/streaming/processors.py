@@ -4,36 +4,45 @@
 then hands them over in (time, row id) order, so a subclass is a plain state
 machine and its results do not depend on how rows were spread over batches.
 Rows that come after the watermark has passed their time go to ``on_late``, which
-drops them unless a subclass says something about them, as ``LateSplit`` does.
+drops them unless a subclass says something about them, as ``LateSplit`` does; rows without a time
+have no place in the order and go to ``on_undated``, by the same rule. Null values reach ``on_row`` as None.
 
-Rows wait in buckets of ``BUCKET`` length, so a firing reads and rewrites the
-buckets that are due and not all that waits. Null keys are keys like any other; the closing
-row of a replay is told by its time.
+Rows travel and wait in packs: a step before the shuffle sorts each Arrow batch and makes one row of all rows of a key
+in one bucket of ``BUCKET`` length, an Arrow message with their least and greatest time. A pack that is neither due nor late
+is put into the state as it came; a firing unpacks the packs of the buckets that are due, sorts them as one
+table and folds it, row by row (``on_row``) or at once (``on_rows``). The state API for rows is used, as the one for
+Pandas builds a DataFrame for every key from single rows in this version of Spark. Null keys are keys like any other; the
+closing row of a replay is told by a column that ``runner.replay`` adds.
 
 Times inside processors are microseconds since the epoch.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from collections import deque
 from collections.abc import Iterable, Iterator
-from datetime import datetime, timezone
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillwork.functions.scalar import epoch_micros
+from rillwork.operators.automaton import Machine, rows_of
+from rillwork.streaming.runner import CLOSING
 
 # Executors may not have the package installed, so its classes travel with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 AT = "at"
 BUCKET = 3_600_000_000
-# The time of the closing row of ``runner.replay``, which lies after all real rows.
-CLOSING = int(datetime(9000, 1, 1, tzinfo=timezone.utc).timestamp()) * 1_000_000
+DAY = 86_400_000_000
 Memory = tuple | None
 Out = Iterable[tuple]
 
@@ -41,15 +50,61 @@ Out = Iterable[tuple]
 def keyed(df: DataFrame, keys: list[str], ts: str, delay: str, columns: list[str],
           processor: "InOrder") -> DataFrame:
     """Run ``processor`` per key over (``at``, columns); the last column must be the row id."""
-    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    processor.row_schema = ", ".join([f"{AT} long"] + [f"{c} {fields[c]}" for c in columns])
-    rows = (df.withWatermark(ts, delay)
-            .select(*keys, epoch_micros(F.col(ts)).alias(AT), *columns))
-    return (rows.groupBy(*keys)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    rows = T.StructType([T.StructField(AT, T.LongType()), *[T.StructField(c, kinds[c]) for c in columns]])
+    processor.packed = to_arrow_schema(rows)
+    names = [f"k{i}" for i in range(len(keys))]
+    # the closing row takes part in nothing but the watermark; it is left out behind it, as a filter would be moved before it
+    closing = F.col(CLOSING) if CLOSING in df.columns else F.lit(False)
+    plain = df.withWatermark(ts, delay).select(
+        closing.alias("closing"),
+        *[F.col(k).alias(n) for n, k in zip(names, keys)], epoch_micros(F.col(ts)).alias(AT),
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    packs = T.StructType([*[T.StructField(n, kinds[k]) for n, k in zip(names, keys)], *_PACK])
+    packed = plain.mapInArrow(_pack(len(keys), processor.packed), packs)
+    return (packed.groupBy(*names)
             .transformWithState(statefulProcessor=processor, outputStructType=processor.output_schema,
                                 outputMode="Append", timeMode="EventTime"))
 
 
+_PACK = [T.StructField("bucket", T.LongType()), T.StructField("least", T.LongType()), T.StructField("greatest", T.LongType()),
+         T.StructField("rows", T.BinaryType())]
+
+
+def _changes(column: pa.Array) -> np.ndarray:
+    """For every value but the first whether it differs from the one before."""
+    after, before = column.slice(1), column.slice(0, max(len(column) - 1, 0))
+    differ = pc.fill_null(pc.not_equal(after, before), False)
+    return pc.or_(differ, pc.xor(pc.is_null(after), pc.is_null(before))).to_numpy(zero_copy_only=False)
+
+
+def _pack(n_keys: int, schema: pa.Schema):
+    """Batches of (closing, keys, at, columns) to one row per key and bucket: (keys, bucket, least, greatest, rows in order)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pc.invert(batch.column(0)))
+            if not len(batch):
+                continue
+            names = batch.schema.names
+            order = pc.sort_indices(batch, sort_keys=[(n, "ascending") for n in [*names[:n_keys + 1], names[-1]]])
+            batch = batch.take(order)
+            at = batch.column(n_keys)
+            bucket = pa.array(at.fill_null(0).to_numpy() // BUCKET, pa.int64(), mask=at.is_null().to_numpy(zero_copy_only=False))
+            new = np.zeros(max(len(batch) - 1, 0), dtype=bool)
+            for column in (*batch.columns[:n_keys], bucket):
+                new |= _changes(column)
+            first = np.concatenate([[0], np.flatnonzero(new) + 1])
+            last = np.concatenate([first[1:], [len(batch)]]) - 1
+            rows = pa.RecordBatch.from_arrays(batch.columns[n_keys:], schema=schema)
+            packs = [rows.slice(a, b - a + 1).serialize().to_pybytes() for a, b in zip(first.tolist(), last.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(pa.array(first)) for c in batch.columns[:n_keys]), bucket.take(pa.array(first)), at.take(pa.array(first)),
+                 at.take(pa.array(last)), pa.array(packs, pa.binary())],
+                [*names[:n_keys], *(f.name for f in _PACK)])
+
+    return run
+
+
 def _record(schema: str) -> Row:
     """A row class with the column names of a flat schema text."""
     return Row(*[column.split()[0] for column in schema.split(", ")])
@@ -59,18 +114,31 @@ def _millis(micros: int) -> int:
     return -(-micros // 1000)
 
 
+def flags(column: pa.Array) -> np.ndarray:
+    """Booleans, with null for False."""
+    return pc.fill_null(column, False).to_numpy(zero_copy_only=False)
+
+
 class InOrder(StatefulProcessor):
     """Base of all event-time processors; see ``keyed``."""
 
-    row_schema: str
+    packed: pa.Schema
     memory_schema: str
     output_schema: str
 
     # --- what a subclass fills in
 
-    def on_row(self, key: tuple, memory: Memory, row: Row) -> tuple[Memory, Out]:
+    def on_row(self, key: tuple, memory: Memory, row: dict) -> tuple[Memory, Out]:
         """Next row of the key, in order."""
-        raise NotImplementedError
+        return memory, ()
+
+    def on_rows(self, key: tuple, memory: Memory, rows: pa.RecordBatch, out: list[tuple]) -> Memory:
+        """The next rows of the key, in order; a subclass may fold them at once if nothing is due between them."""
+        for row in _dicts(rows):
+            memory = self._fire(key, memory, row[AT], out)
+            memory, made = self.on_row(key, memory, row)
+            out.extend(made)
+        return memory
 
     def deadline(self, memory: Memory) -> int | None:
         """When ``on_time`` wants to be called if no row comes first."""
@@ -80,10 +148,14 @@ class InOrder(StatefulProcessor):
         """The deadline ``at`` has passed."""
         return memory, ()
 
-    def on_late(self, key: tuple, row: Row) -> Out:
+    def on_late(self, key: tuple, row: dict) -> Out:
         """A row whose time the watermark had passed when it came."""
         return ()
 
+    def on_undated(self, key: tuple, row: dict) -> Out:
+        """A row without a time."""
+        return ()
+
     def unpack(self, memory: Memory) -> Any:
         """Memory as ``on_row`` wants it, once per firing."""
         return memory
@@ -96,73 +168,83 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.record, self.result = _record(self.row_schema), _record(self.output_schema)
-        self.columns = list(self.record)
-        fields = self.row_schema.replace(", ", ",").split(",")
-        struct = ", ".join(": ".join(f.split(" ", 1)) for f in fields)
-        self.waiting = handle.getMapState("waiting", "bucket long", f"rows array<struct<{struct}>>")
+        self.result = _record(self.output_schema)
+        self.waiting = handle.getMapState("waiting", "bucket long, no long", "rows binary, least long")
         self.memory = handle.getValueState("memory", self.memory_schema)
-        self.alarm = handle.getValueState("alarm", "millis long")
+        self.alarm = handle.getValueState("alarm", "millis long, packs long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh: dict[int, list] = {}
-        out: list[tuple] = []
-        for r in rows:
-            values = tuple(r[c] for c in self.columns)
-            if values[0] >= CLOSING:
-                continue
-            if passed > 0 and values[0] <= passed:
-                out.extend(self.on_late(tuple(key), self.record(*values)))
+        key, out = tuple(key), []
+        self._open_alarm()
+        for pack in rows:
+            if pack["bucket"] is None:
+                for row in _dicts(self._table(pack["rows"])):
+                    out.extend(self.on_undated(key, row))
+            elif passed > 0 and pack["least"] <= passed:
+                table = self._table(pack["rows"])
+                late = int(np.searchsorted(table.column(0).to_numpy(), passed, side="right"))
+                for row in _dicts(table.slice(0, late)):
+                    out.extend(self.on_late(key, row))
+                self._keep(pack["bucket"], table.slice(late))
             else:
-                fresh.setdefault(values[0] // BUCKET, []).append(values)
-        for bucket, more in fresh.items():
-            before = self._bucket(bucket) if self.waiting.containsKey((bucket,)) else []
-            self.waiting.updateValue((bucket,), (before + more,))
-        if fresh:
-            self._wake_at(min(v[0] for v in fresh[min(fresh)]))
+                self._put(pack["bucket"], bytes(pack["rows"]), pack["least"])
+        self._close_alarm()
         return iter([self.result(*o) for o in out])
 
-    def _bucket(self, bucket: int) -> list[tuple]:
-        return [tuple(r) for r in self.waiting.getValue((bucket,))[0]]
-
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        self.alarm.clear()
-        key = tuple(key)
+        key, out = tuple(key), []
+        self._open_alarm()
+        self.armed = None
         memory = self.unpack(tuple(self.memory.get())) if self.memory.exists() else None
-        out: list[tuple] = []
-        next_row = None
-        for bucket in sorted(b[0] for b in self.waiting.keys()):
-            if bucket * BUCKET > passed:
-                next_row = min(r[0] for r in self._bucket(bucket))
-                break
-            rows = self._bucket(bucket)
-            left = [r for r in rows if r[0] > passed]
-            for r in sorted((r for r in rows if r[0] <= passed), key=lambda r: (r[0], r[-1])):
-                memory = self._fire(key, memory, r[0], out)
-                memory, made = self.on_row(key, memory, self.record(*r))
-                out.extend(made)
-            if left:
-                self.waiting.updateValue((bucket,), (left,))
-                next_row = min(r[0] for r in left)
+        due, later = [], []
+        for bucket, no in sorted(tuple(k) for k in self.waiting.keys()):
+            if bucket * BUCKET <= passed:
+                due.append((bucket, no))
             else:
-                self.waiting.removeKey((bucket,))
+                later.append(bucket)
+        for bucket in sorted({b for b, _ in due}):
+            packs = [k for k in due if k[0] == bucket]
+            tables = [self._table(self.waiting.getValue(k)[0]) for k in packs]
+            for k in packs:
+                self.waiting.removeKey(k)
+            table = tables[0]
+            if len(tables) > 1:
+                table = pa.Table.from_batches(tables).combine_chunks().to_batches()[0]
+                table = table.take(pc.sort_indices(table, sort_keys=[(AT, "ascending"), (table.schema.names[-1], "ascending")]))
+            ready = int(np.searchsorted(table.column(0).to_numpy(), passed, side="right"))
+            if ready:
+                memory = self.on_rows(key, memory, table.slice(0, ready), out)
+            self._keep(bucket, table.slice(ready))
+        if later:
+            self._wake_at(later[0] * BUCKET)
         memory = self._fire(key, memory, passed + 1, out)
         if memory is None:
             self.memory.clear()
         else:
             self.memory.update(self.pack(memory))
-        due = [next_row] if next_row is not None else []
-        if memory is not None and self.deadline(memory) is not None:
-            due.append(self.deadline(memory))
-        if due:
-            self._wake_at(min(due))
+            at = self.deadline(memory)
+            if at is not None:
+                self._wake_at(at)
+        self._close_alarm()
         return iter([self.result(*o) for o in out])
 
     def close(self) -> None:
         pass
 
+    def _table(self, rows: bytes) -> pa.RecordBatch:
+        return pa.ipc.read_record_batch(pa.py_buffer(bytes(rows)), self.packed)
+
+    def _keep(self, bucket: int, table: pa.RecordBatch) -> None:
+        if len(table):
+            self._put(bucket, table.serialize().to_pybytes(), table.column(0)[0].as_py())
+
+    def _put(self, bucket: int, rows: bytes, least: int) -> None:
+        self.packs += 1
+        self.waiting.updateValue((bucket, self.packs), (rows, least))
+        self._wake_at(least)
+
     def _fire(self, key: tuple, memory: Memory, before: int, out: list[tuple]) -> Memory:
         """Let all deadlines before a time pass."""
         while memory is not None:
@@ -173,16 +255,32 @@ class InOrder(StatefulProcessor):
             out.extend(made)
         return memory
 
+    # One timer per key, at the earliest time anything can happen.
+
+    def _open_alarm(self) -> None:
+        self.told = tuple(self.alarm.get()) if self.alarm.exists() else (None, 0)
+        self.armed, self.packs = self.told
+
     def _wake_at(self, micros: int) -> None:
-        """One timer per key, at the earliest time anything can happen."""
         at = _millis(micros)
-        if self.alarm.exists():
-            armed = self.alarm.get()[0]
-            if armed <= at:
-                return
-            self.handle.deleteTimer(armed)
-        self.handle.registerTimer(at)
-        self.alarm.update((at,))
+        if self.armed is None or at < self.armed:
+            self.armed = at
+
+    def _close_alarm(self) -> None:
+        before, _ = self.told
+        if (self.armed, self.packs) == self.told and before in self.handle.listTimers():
+            return
+        if before is not None and before != self.armed:
+            self.handle.deleteTimer(before)
+        if self.armed is not None:
+            self.handle.registerTimer(self.armed)
+            self.alarm.update((self.armed, self.packs))
+        else:
+            self.alarm.clear()
+
+
+def _dicts(rows: pa.RecordBatch) -> list[dict]:
+    return rows.to_pylist()
 
 
 class DailyLimit(InOrder):
@@ -198,22 +296,32 @@ class DailyLimit(InOrder):
         self.output_schema = f"{keys}, at long, event_id long, tag string"
 
     def deadline(self, memory):
-        return (memory[0] + 1) * 86_400_000_000 - 1
+        return (memory[0] + 1) * DAY - 1
 
     def on_time(self, key, memory, at):
         return None, ()
 
     def on_row(self, key, memory, row):
-        day = row[AT] // 86_400_000_000
+        day = row[AT] // DAY
         n = memory[1] if memory and memory[0] == day else 0
         n += 1
         tag = "pass" if n <= self.limit else "alarm"
         out = [(*key, row[AT], row["event_id"], tag)] if n <= self.limit + 1 else []
         return (day, n), out
 
+    def on_rows(self, key, memory, rows, out):
+        at = rows.column(0).to_numpy()
+        days, first, n = np.unique(at // DAY, return_index=True, return_counts=True)
+        before = np.where(days == memory[0], memory[1], 0) if memory else np.zeros(len(days), dtype=int)
+        nth = np.arange(1, len(at) + 1) - np.repeat(first, n) + np.repeat(before, n)
+        told = np.flatnonzero(nth <= self.limit + 1)
+        ids = rows.column(1).take(pa.array(told)).to_pylist()
+        out.extend((*key, t, i, "pass" if k <= self.limit else "alarm") for t, i, k in zip(at[told].tolist(), ids, nth[told].tolist()))
+        return int(days[-1]), int(before[-1] + n[-1])
+
 
 class PaymentWatch(InOrder):
-    """Follows an order from creation to payment. Columns: kind, id.
+    """Follows an order from creation (kind ``create``) to payment (``pay``). Columns: kind, id.
 
     Speaks up when both are known, and when the limit passes with one missing;
     a part that turns up after that corrects the report. What is known about an
@@ -231,6 +339,8 @@ class PaymentWatch(InOrder):
         created, paid, _, no, _ = memory or (None, None, None, 0, False)
         if row["kind"] == "create":
             known, created = created is not None, row[AT] if created is None else created
+        elif row["kind"] != "pay":  # other kinds, null among them, say nothing about the order
+            return memory, ()
         else:
             known, paid = paid is not None, row[AT] if paid is None else paid
         if known:
@@ -252,7 +362,10 @@ class PaymentWatch(InOrder):
 
 
 class RisingAlarm(InOrder):
-    """Alarms when a value has not fallen for ``hold`` seconds; re-arms on the next row that does not fall."""
+    """Alarms when a value has not fallen for ``hold`` seconds; re-arms on the next row that does not fall.
+
+    A row whose value is null neither falls nor counts as the value before; NaN is above all numbers, as in the batch form. Columns: vc, id.
+    """
 
     memory_schema = "height double, due long"
     output_schema = "id long, alarm_at long"
@@ -261,12 +374,15 @@ class RisingAlarm(InOrder):
         self.hold = int(hold * 1_000_000)
 
     def on_row(self, key, memory, row):
+        if row["vc"] is None:
+            return memory, ()
         height, due = memory or (0.0, None)
-        if row["vc"] < height:
+        value = math.inf if math.isnan(row["vc"]) else float(row["vc"])
+        if value < height:
             due = None
         elif due is None:
             due = row[AT] + self.hold
-        return (row["vc"], due), ()
+        return (value, due), ()
 
     def deadline(self, memory):
         return memory[1]
@@ -290,6 +406,16 @@ class NextRow(InOrder):
             out.append((*key, memory[1], row["event_id"]))
         return (row[AT], row["event_id"], row["is_first"]), out
 
+    def on_rows(self, key, memory, rows, out):
+        at, ids = rows.column(0).to_numpy(), rows.column("event_id").to_pylist()
+        first, second = flags(rows.column("is_first")), flags(rows.column("is_second"))
+        if memory:
+            at, ids = np.concatenate([[memory[0]], at]), [memory[1], *ids]
+            first, second = np.concatenate([[bool(memory[2])], first]), np.concatenate([[False], second])
+        pairs = np.flatnonzero(first[:-1] & second[1:] & (np.diff(at) < self.within))
+        out.extend((*key, ids[i], ids[i + 1]) for i in pairs.tolist())
+        return int(at[-1]), ids[-1], bool(first[-1])
+
 
 class FollowedBy(InOrder):
     """First rows with the nearest later second row within the limit; unmatched ones are reported when it passes."""
@@ -326,20 +452,66 @@ class FollowedBy(InOrder):
 
 
 class CountWindow(InOrder):
-    """Total of every ``n`` rows of a key; an incomplete group is not emitted. Columns: cents, id."""
+    """Total of every ``n`` rows of a key; an incomplete group is not emitted. Columns: cents, id.
 
-    memory_schema = "no long, rows long, cents long"
+    Rows whose value is null count as rows and add nothing; the total of null values alone is null.
+    """
+
+    memory_schema = "no long, rows long, cents long, some boolean"
     output_schema = "user_id long, window_no long, cents long"
 
     def __init__(self, n: int):
         self.n = n
 
-    def on_row(self, key, memory, row):
-        no, rows, cents = memory or (0, 0, 0)
-        rows, cents = rows + 1, cents + row["cents"]
-        if rows < self.n:
-            return (no, rows, cents), ()
-        return (no + 1, 0, 0), [(*key, no, cents)]
+    def on_rows(self, key, memory, rows, out):
+        no, begun, cents, some = memory or (0, 0, 0, False)
+        column = rows.column("cents")
+        values, known = pc.fill_null(column, 0).to_numpy(), pc.is_valid(column).to_numpy(zero_copy_only=False)
+        window = (begun + np.arange(len(values))) // self.n
+        starts = np.flatnonzero(np.diff(window, prepend=-1))
+        totals, there = np.add.reduceat(values, starts).tolist(), np.logical_or.reduceat(known, starts).tolist()
+        totals[0], there[0] = totals[0] + cents, there[0] or some
+        done = (begun + len(values)) // self.n
+        out.extend((*key, no + i, total if any_value else None) for i, (total, any_value) in enumerate(zip(totals[:done], there)))
+        left = (begun + len(values)) % self.n
+        return (no + done, left, totals[-1], there[-1]) if left else (no + done, 0, 0, False)
+
+
+class CountSlide(InOrder):
+    """On every ``slide``-th row of a key the values of the last ``size`` rows or fewer, newest first. Columns: cents, id.
+
+    The state holds a ring of the last values, whatever the number of rows.
+    """
+
+    memory_schema = "rows long, ring array<long>"
+    output_schema = "user_id long, fired_at_row long, cents array<long>"
+
+    def __init__(self, size: int, slide: int):
+        self.size, self.slide = size, slide
+
+    def on_rows(self, key, memory, rows, out):
+        seen, ring = memory or (0, [])
+        values = [*ring, *rows.column("cents").to_pylist()]
+        for nth in range(seen + self.slide - seen % self.slide, seen + len(rows) + 1, self.slide):
+            end = len(ring) + nth - seen
+            out.append((*key, nth, values[max(0, end - self.size):end][::-1]))
+        return seen + len(rows), values[-self.size:]
+
+
+class Retract(InOrder):
+    """Running count per key as a change log: a row that takes the old count back and one that sets the new. Columns: id."""
+
+    memory_schema = "n long"
+    output_schema = "key long, at long, event_id long, added boolean, n long"
+
+    def on_rows(self, key, memory, rows, out):
+        n = memory[0] if memory else 0
+        for at, event_id in zip(rows.column(0).to_pylist(), rows.column("event_id").to_pylist()):
+            if n:
+                out.append((*key, at, event_id, False, n))
+            n += 1
+            out.append((*key, at, event_id, True, n))
+        return (n,)
 
 
 class OnceAfterFirst(InOrder):
@@ -373,17 +545,21 @@ class WithState(InOrder):
 
 
 class LateSplit(InOrder):
-    """Passes rows on in order and marks those that came too late. Columns: id."""
+    """Passes rows on in order and marks those that came too late, and those without a time as undated. Columns: id."""
 
     memory_schema = "n long"
     output_schema = "user_id long, at long, event_id long, tag string"
 
-    def on_row(self, key, memory, row):
-        return None, [(*key, row[AT], row["event_id"], "on_time")]
+    def on_rows(self, key, memory, rows, out):
+        out.extend((*key, at, event_id, "on_time") for at, event_id in zip(rows.column(0).to_pylist(), rows.column("event_id").to_pylist()))
+        return None
 
     def on_late(self, key, row):
         return [(*key, row[AT], row["event_id"], "late")]
 
+    def on_undated(self, key, row):
+        return [(*key, None, row["event_id"], "undated")]
+
 
 class Reconcile(InOrder):
     """Pairs the two sides of a key, at most ``within`` seconds apart; the first row of a side counts. Columns: is_left, id.
@@ -401,6 +577,8 @@ class Reconcile(InOrder):
         left, right, since, told = memory or (None, None, row[AT], False)
         if told:
             return memory, ()
+        if row["is_left"] is None:  # of neither side
+            return memory, ()
         if row["is_left"]:
             left = row[AT] if left is None else left
         else:
@@ -419,6 +597,68 @@ class Reconcile(InOrder):
         return (left, right, at, True), [(*key, left, right, "only_left" if right is None else "only_right")]
 
 
+class PatternWatch(InOrder):
+    """Matches of a pattern of any number of steps, and those that run out of time. Columns: hits, id.
+
+    The state holds the rows of open matches once, each with its row before (``nodes``), and the open matches as their last row. A match is
+    reported as its steps and row ids.
+    """
+
+    memory_schema = ("nodes array<struct<before: int, step: int, id: long>>, "
+                     "opened array<struct<start: long, node: int, state: int, edges: array<int>>>")
+
+    def __init__(self, machine: Machine, keys: str = "user_id long"):
+        self.machine = machine
+        self.output_schema = f"{keys}, tag string, steps array<int>, ids array<long>"
+
+    def unpack(self, memory):
+        nodes: list[tuple] = []
+        for before, step, row in memory[0]:
+            nodes.append((nodes[before] if before >= 0 else None, step, row))
+        edges = self.machine.edges
+        return [(start, nodes[node], state, tuple(edges[state][e] for e in on)) for start, node, state, on in memory[1]]
+
+    def pack(self, memory):
+        nodes, place = [], {}
+
+        def kept(path: tuple) -> int:
+            way = []
+            while path is not None and id(path) not in place:
+                way.append(path)
+                path = path[0]
+            for node in reversed(way):
+                before = -1 if node[0] is None else place[id(node[0])]
+                place[id(node)] = len(nodes)
+                nodes.append((before, node[1], node[2]))
+            return place[id(way[0])] if way else place[id(path)]
+
+        edges = self.machine.edges
+        opened = [(start, kept(path), state, [edges[state].index(e) for e in on]) for start, path, state, on in memory]
+        return nodes, opened
+
+    def on_rows(self, key, memory, rows, out):
+        opened, found = memory or [], []
+        for at, hits, row in zip(*(rows.column(i).to_pylist() for i in range(3))):
+            if opened or hits & 1:
+                opened = self.machine.feed(opened, at, hits, row, True, found)
+        self._tell(key, found, out)
+        return opened or None
+
+    def deadline(self, memory):
+        return min(m[0] for m in memory) + self.machine.within
+
+    def on_time(self, key, memory, at):
+        found, out = [], []
+        left = self.machine.expire(memory, at, found)
+        self._tell(key, found, out)
+        return left or None, out
+
+    def _tell(self, key, found, out):
+        for tag, path in found:
+            steps, ids = zip(*rows_of(path))
+            out.append((*key, tag, list(steps), list(ids)))
+
+
 class StateKinds(StatefulProcessor):
     """Value, list and map state side by side: rows so far, ids of the newest rows, rows per type."""
 

@@ -6,7 +6,7 @@ driver's memory.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -16,6 +16,7 @@ from rillwork.session import configure, shared_folder
 
 # Later than any row; an own row with this time closes all windows of a bounded replay.
 FAR = "9000-01-01 00:00:00"
+CLOSING = "__closing"  # the column that marks this row
 BATCH = "batch_id"
 
 
@@ -66,10 +67,11 @@ def drain(df: DataFrame, name: str, mode: str = "append",
 
 def replay(source: DataFrame, ts: str, plan: Callable[[DataFrame], DataFrame], name: str, mode: str = "append",
            each_batch: Callable[[DataFrame], DataFrame] | None = None,
-           result_schema: T.StructType | None = None) -> DataFrame:
+           result_schema: T.StructType | None = None, feed: Sequence[Callable[[], None]] = ()) -> DataFrame:
     """Process a bounded stream to its end, so that every window closes and every timer fires.
 
-    After all input is through, one more row arrives whose time is ``FAR`` and
+    ``feed`` brings the input part by part: each part is put where ``source`` reads and processed before the next.
+    After all input is through, one more row arrives whose time is ``FAR``, whose column ``CLOSING`` is true and
     whose other columns are null; ``plan`` sets the watermark and its results
     for that row must be dropped by the caller, from the results that come back:
     inside ``plan`` such a filter would be moved below the watermark, which
@@ -77,16 +79,21 @@ def replay(source: DataFrame, ts: str, plan: Callable[[DataFrame], DataFrame], n
     """
     spark = source.sparkSession
     end = new_folder(spark, name + "-end")
+    source = source.withColumn(CLOSING, F.lit(False))
     schema = source.schema
     spark.createDataFrame([], schema).write.parquet(end)
     out = plan(source.unionByName(spark.readStream.schema(schema).parquet(end)))
     path, checkpoint = new_folder(spark, name), new_folder(spark, name + "-checkpoint")
-    start(out, path, checkpoint, mode, {"availableNow": True}, each_batch).awaitTermination()
-    last = spark.range(1).select(*[
-        F.lit(FAR if f.name == ts else None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    last.write.mode("append").parquet(end)
-    # The same query goes on from its checkpoint.
-    start(out, path, checkpoint, mode, {"availableNow": True}, each_batch).awaitTermination()
+    values = {ts: FAR, CLOSING: True}
+    last = spark.range(1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def close() -> None:
+        last.write.mode("append").parquet(end)
+
+    for bring in (*(feed or [lambda: None]), close):
+        bring()
+        # the same query goes on from its checkpoint
+        start(out, path, checkpoint, mode, {"availableNow": True}, each_batch).awaitTermination()
     return read_results(spark, path, result_schema or out.schema, mode != "append")
 
 
