@@ -1,2 +1,2 @@
-from rillwork.plans import analyses, basics, streams  # noqa: F401
+from rillwork.plans import analyses, basics, stateful, streams  # noqa: F401
 from rillwork.plans.registry import REGISTRY  # noqa: F401

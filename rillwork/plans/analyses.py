@@ -210,10 +210,13 @@ def province_ad_clicks(spark, folder):
     return aggregate.counts(ad_clicks(spark, folder), "province", "ad_id")
 
 
-@query("retract_changelog", f"""
+RETRACT_SQL = """
 SELECT event_type, ts, event_id, add, CASE WHEN add THEN n ELSE n - 1 END AS n
 FROM (SELECT *, count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS n FROM events),
-     (VALUES (true), (false)) c(add) WHERE add OR n > 1""")
+     (VALUES (true), (false)) c(add) WHERE add OR n > 1"""
+
+
+@query("retract_changelog", RETRACT_SQL)
 def retract_changelog(spark, folder):
     return aggregate.changelog(events(spark, folder).select("event_type", "ts", "event_id"), ["event_type"], ORDER)
 
@@ -247,8 +250,9 @@ FROM events GROUP BY 1, 2, 3""")
 def window_user_accumulator(spark, folder):
     """A user's own aggregate in a window."""
     @F.pandas_udf("long")
-    def spread(cents: pd.Series) -> int:
-        return int(cents.max() - cents.min())
+    def spread(cents: pd.Series) -> int | None:
+        known = cents.dropna()
+        return int(known.max() - known.min()) if len(known) else None
 
     rows = events(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
     return windows.tumbling(rows, ["event_type"], "ts", "1 hour", spread=spread("cents"))
@@ -309,12 +313,15 @@ def count_window_tumbling(spark, folder):
                                   last_ts=F.max("ts"))
 
 
-@query("count_window_sliding", """
+COUNT_SLIDE_SQL = """
 SELECT user_id, rn AS fired_at_row, n, total FROM (
   SELECT user_id, row_number() OVER w AS rn,
          count(*) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS n,
          CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE) AS total
-  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE rn % 2 = 0""")
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE rn % 2 = 0"""
+
+
+@query("count_window_sliding", COUNT_SLIDE_SQL)
 def count_window_sliding(spark, folder):
     rows = events(spark, folder).select("user_id", "ts", "event_id", "value")
     fired = windows.count_sliding(rows, ["user_id"], ORDER, 3, 2, F.struct(sc.money(F.col("value")).alias("v")))
@@ -560,10 +567,13 @@ def clicks_after_blacklist(spark, folder):
             .select("window_end", *USER_AND_AD, "clicks"))
 
 
-@query("login_fail_state", """
+FIRST_FAILURE_SQL = """
 SELECT user_id, event_id, ts, first_ts FROM (
   SELECT *, first_value(ts) OVER w AS first_ts, row_number() OVER w AS nth FROM events WHERE event_type = 'error'
-  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE nth > 1 AND ts <= first_ts + INTERVAL 2 DAY""")
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE nth > 1 AND ts <= first_ts + INTERVAL 2 DAY"""
+
+
+@query("login_fail_state", FIRST_FAILURE_SQL)
 def login_fail_state(spark, folder):
     fails = roles.logins(events(spark, folder)).filter("failed").select("user_id", "event_id", "ts")
     return guards.repeated_failures(fails, ["user_id"], "ts", ORDER, 2 * DAY)

@@ -502,7 +502,9 @@ class Retract(InOrder):
     """Running count per key as a change log: a row that takes the old count back and one that sets the new. Columns: id."""
 
     memory_schema = "n long"
-    output_schema = "key long, at long, event_id long, added boolean, n long"
+
+    def __init__(self, keys: str):
+        self.output_schema = f"{keys}, at long, event_id long, added boolean, n long"
 
     def on_rows(self, key, memory, rows, out):
         n = memory[0] if memory else 0
@@ -514,6 +516,23 @@ class Retract(InOrder):
         return (n,)
 
 
+class NearFirst(InOrder):
+    """Rows at most ``within`` seconds after the first row of their key. Columns: id."""
+
+    memory_schema = "first long"
+    output_schema = "user_id long, at long, event_id long, first_at long"
+
+    def __init__(self, within: float):
+        self.within = int(within * 1_000_000)
+
+    def on_rows(self, key, memory, rows, out):
+        at = rows.column(0).to_pylist()
+        first, begin = (memory[0], 0) if memory else (at[0], 1)
+        ids = rows.column("event_id").to_pylist()
+        out.extend((*key, t, i, first) for t, i in zip(at[begin:], ids[begin:]) if t - first <= self.within)
+        return (first,)
+
+
 class OnceAfterFirst(InOrder):
     """The first row of a key sets a timer ``wait`` seconds after it, which fires once. Columns: id."""
 
@@ -660,7 +679,7 @@ class PatternWatch(InOrder):
 
 
 class StateKinds(StatefulProcessor):
-    """Value, list and map state side by side: rows so far, ids of the newest rows, rows per type."""
+    """Value, list and map state side by side: rows so far, ids of the newest rows (those that have one), rows per type (null is one)."""
 
     output_schema = "user_id long, event_type string, of_type long, n long, newest string"
 
@@ -678,7 +697,8 @@ class StateKinds(StatefulProcessor):
         seen: dict[str, int] = {}
         for r in rows:
             total += 1
-            ids = sorted([*ids, r["event_id"]])[-self.newest:]
+            if r["event_id"] is not None:
+                ids = sorted([*ids, r["event_id"]])[-self.newest:]
             seen[r["event_type"]] = seen.get(r["event_type"], 0) + 1
         self.n.update((total,))
         self.ids.put([(i,) for i in ids])

@@ -50,6 +50,33 @@ def distinct_counts(df: DataFrame, ts: str, delay: str, size: str, value: str, n
             .select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), name))
 
 
+def distinct_rows(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
+    """The first row of every key; repeats that come within ``delay`` of it are dropped, and then the key is forgotten."""
+    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def sliding_sketch_counts(df: DataFrame, ts: str, delay: str, size: str, slide: str, value: str, name: str = "uv", log2_k: int = 12) -> DataFrame:
+    """Estimated distinct values per overlapping window: the state holds a sketch of fixed size per pane and window, and no values."""
+    pane = f"{gcd(seconds_of(size), seconds_of(slide))} seconds"
+    panes = df.withWatermark(ts, delay).groupBy(F.window(ts, pane).alias("__pane")).agg(F.hll_sketch_agg(value, log2_k).alias("__sketch"))
+    united = panes.groupBy(F.window(F.window_time("__pane"), size, slide).alias("__w")).agg(F.hll_union_agg("__sketch").alias("__sketch"))
+    return united.select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), F.hll_sketch_estimate("__sketch").alias(name))
+
+
+def sliding_bitmap_parts(df: DataFrame, ts: str, delay: str, size: str, slide: str, number: str, name: str = "uv") -> DataFrame:
+    """Distinct whole numbers per overlapping window and bucket of numbers, from bitmaps; the sum over its buckets is a window's count.
+
+    Null numbers come as a null bucket, to be left out of the results: a filter here would be moved before the watermark.
+    """
+    pane, value = f"{gcd(seconds_of(size), seconds_of(slide))} seconds", F.col(number).cast("long")
+    bucket = F.bitmap_bucket_number(value).alias("__bucket")
+    panes = df.withWatermark(ts, delay).groupBy(F.window(ts, pane).alias("__pane"), bucket).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("__bits"))
+    united = panes.groupBy(F.window(F.window_time("__pane"), size, slide).alias("__w"), "__bucket").agg(F.bitmap_or_agg("__bits").alias("__bits"))
+    return united.select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), F.col("__bucket").alias("bucket"),
+                         F.bitmap_count("__bits").alias(name))
+
+
 def refiring_counts(df: DataFrame, keys: Sequence[str], ts: str, size: str, bound: float, lateness: float) -> DataFrame:
     """Counts for update mode: a window reports again for each batch that adds to it, until ``bound + lateness``
     has passed."""
