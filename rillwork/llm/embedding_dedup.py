@@ -1,9 +1,10 @@
 """Near-duplicate embeddings by PCA-ordered tiled comparison.
 
 Unit vectors are turned onto principal axes, so that a dot product gathers most
-of its value in the leading dimensions. Vectors sorted by their first coordinate are
-cut into tiles; two tiles are compared only if their intervals are near enough for the
-threshold. Inside a pair of tiles the products of the leading dimensions
+of its value in the leading dimensions. A tree of medians over the first ``BOXED`` coordinates, fitted on the
+sample the axes come from, puts near vectors into one leaf, and leaves are cut into tiles; two tiles are compared only
+if the boxes of those coordinates are near enough for the threshold. Tiles are numbered in the order of the tree, and what is shuffled
+are the tiles that the pairs of two blocks of ``BLOCK`` tiles need, each once for a pair of blocks. Inside a pair of tiles the products of the leading dimensions
 are taken for all pairs, what the rest can add is bounded by the product of the suffix norms
 (Cauchy-Schwarz), and only pairs that can still reach the threshold go on to
 further dimensions and at last to the exact cosine of the given values in double precision.
@@ -26,14 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.llm.keep import kept
+from rillwork.llm.keep import kept, numbered
 from rillwork.llm.links import components
 
 FIT_ROWS = 20_000
 TILE = 2048  # vectors of one tile
+BOXED = 8  # leading coordinates that a tile has a box of
+BLOCK = 8  # tiles of a block
 STRIP = 256  # rows of a tile compared at once
 STEP = 16  # dimensions added between two looks at the bound
 SLACK = 1e-9  # rounding that a bound may have
@@ -51,6 +55,29 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+class Tree:
+    """Leaves of a complete binary tree of medians, each along the axis in which the points of the node spread most."""
+
+    def __init__(self, points: np.ndarray, depth: int):
+        self.depth = depth
+        self.axis, self.cut = np.zeros(2**depth - 1, dtype=np.int64), np.zeros(2**depth - 1)
+        inside = [np.arange(len(points))]
+        for node in range(2**depth - 1):
+            own = points[inside[node]]
+            self.axis[node] = own.var(axis=0).argmax()
+            along = own[:, self.axis[node]]
+            self.cut[node] = np.median(along)
+            inside += [inside[node][along <= self.cut[node]], inside[node][along > self.cut[node]]]
+            if not len(inside[-1]):  # one point many times over
+                inside[-1] = inside[-2]
+
+    def leaf(self, points: np.ndarray) -> np.ndarray:
+        node, rows = np.zeros(len(points), dtype=np.int64), np.arange(len(points))
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (points[rows, self.axis[node]] > self.cut[node])
+        return node - (2**self.depth - 1)
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1).astype(np.float64)
@@ -135,7 +162,12 @@ def linked_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     for batch in sample.toArrow().to_batches():
         for v in batch.column(0):
             by_length.setdefault(len(v), []).append(v.values.to_numpy())
-    turns = {d: axes(unit(np.array(v, dtype=np.float64))) for d, v in by_length.items()}
+    turns, trees = {}, {}
+    for d, v in by_length.items():
+        points = unit(np.array(v, dtype=np.float64))
+        turns[d] = axes(points)
+        leaves = min(n * len(points) / max(1, sum(map(len, by_length.values()))) / TILE, len(points) / 16)
+        trees[d] = Tree((points @ turns[d])[:, :BOXED], max(0, int(np.log2(max(1.0, leaves)))))
 
     def turned(d: int) -> np.ndarray:
         return turns[d] if d in turns else np.eye(d)
@@ -143,71 +175,91 @@ def linked_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array([len(v) for v in batch.column(2)])
-            first = np.zeros(batch.num_rows)
+            leaf, first = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows)
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
-                first[at] = unit(matrix(batch.column(2).take(pa.array(at)))) @ turned(int(d))[:, 0]
-            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int32()), pa.array(first), *batch.columns[:3]], ["d", "x", "id", "copies", "e"])
+                points = unit(matrix(batch.column(2).take(pa.array(at)))) @ turned(int(d))[:, :BOXED]
+                first[at] = points[:, 0]
+                if int(d) in trees:
+                    leaf[at] = trees[int(d)].leaf(points)
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int32()), pa.array(leaf), pa.array(first), *batch.columns[:3]],
+                                             ["d", "leaf", "x", "id", "copies", "e"])
 
-    placed = kept(distinct.mapInArrow(project, "d int, x double, id long, copies long, e array<double>")
-                  .repartitionByRange("d", "x").sortWithinPartitions("d", "x", "id")
-                  .withColumn("tile", F.floor(F.monotonically_increasing_id() / TILE)))
+    placed = kept(distinct.mapInArrow(project, "d int, leaf long, x double, id long, copies long, e array<double>")
+                  .repartitionByRange("d", "leaf", "x").sortWithinPartitions("d", "leaf", "x", "id"))
+
+    most = TILE
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, number = None, TaskContext.get().partitionId() << 33
         for batch in batches:
             table = pa.Table.from_batches([batch])
             rest = table if rest is None else pa.concat_tables([rest, table])
-            key = rest["tile"].to_numpy() * 2**20 + rest["d"].to_numpy()
+            key = rest["leaf"].to_numpy() * 2**20 + rest["d"].to_numpy()
             edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-            yield from (tile(rest.slice(a, b - a)) for a, b in zip(edges[:-2], edges[1:-1]))
-            rest = rest.slice(edges[-2])
-        if rest is not None:
-            yield tile(rest)
-
-    def tile(t: pa.Table) -> pa.RecordBatch:
-        x = t["x"].to_numpy()
+            for a, b in zip(edges, edges[1:]):
+                while b - a >= most or a < b < len(key):  # a leaf that may go on waits for its other rows
+                    yield tile(rest.slice(a, min(most, b - a)), number)
+                    a, number = min(a + most, b), number + 1
+            rest = rest.slice(a)
+        if rest is not None and len(rest):
+            yield tile(rest, number)
+
+    def tile(t: pa.Table, number: int) -> pa.RecordBatch:
         raw = matrix(t["e"].combine_chunks())
+        points = unit(raw) @ turned(raw.shape[1])[:, :BOXED]
         if (raw.astype(np.float32).astype(np.float64) == raw).all():  # the given values were single precision
             raw = raw.astype(np.float32)
         return pa.RecordBatch.from_arrays([
-            pa.array([t["tile"][0].as_py()], pa.int64()), pa.array([t["d"][0].as_py()], pa.int32()), pa.array([x.min()]), pa.array([x.max()]),
-            pa.array([t["id"].to_numpy().tobytes()], pa.binary()), pa.array([t["copies"].to_numpy().tobytes()], pa.binary()),
-            pa.array([raw.tobytes()], pa.binary())], ["tile", "d", "low", "high", "ids", "weights", "raw"])
+            pa.array([number], pa.int64()), pa.array([t["d"][0].as_py()], pa.int32()), pa.array([points.min(axis=0).tolist()]),
+            pa.array([points.max(axis=0).tolist()]), pa.array([t["id"].to_numpy().tobytes()], pa.binary()),
+            pa.array([t["copies"].to_numpy().tobytes()], pa.binary()), pa.array([raw.tobytes()], pa.binary())],
+            ["tile", "d", "low", "high", "ids", "weights", "raw"])
 
-    tiles = kept(placed.mapInArrow(fill, "tile long, d int, low double, high double, ids binary, weights binary, raw binary"))
-    # unit vectors with this dot product are at most so far apart, and so are their first coordinates
+    tiles = kept(placed.mapInArrow(fill, "tile long, d int, low array<double>, high array<double>, ids binary, weights binary, raw binary"))
+    # unit vectors with this dot product are at most so far apart, and so are any of their coordinates together
     reach = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-6
     cell = F.lit(max(reach, 1e-3))
-    spans = tiles.select("tile", "d", "low", "high")
-    left = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / cell), F.floor((F.col("high") + reach) / cell))))
-    right = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / cell), F.floor(F.col("high") / cell))))
-    pairs = left.join(right.toDF("tile_b", "d", "low_b", "high_b", "cell"), ["d", "cell"]).where(
-        (F.col("tile_b") >= F.col("tile")) & (F.col("low_b") <= F.col("high") + reach) & (F.col("low") <= F.col("high_b") + reach))
-    pairs = pairs.select("d", F.col("tile").alias("tile_a"), "tile_b").distinct()
-    body = tiles.select("tile", "d", "ids", "weights", "raw")
-    loaded = (pairs.join(body.toDF("tile_a", "d", "ids_a", "weights_a", "raw_a"), ["d", "tile_a"])
-              .join(body.toDF("tile_b", "d", "ids_b", "weights_b", "raw_b"), ["d", "tile_b"])
-              .select("d", "tile_a", "tile_b", "ids_a", "raw_a", "weights_a", "ids_b", "raw_b", "weights_b"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                d, a, b, *parts = (c[k].as_py() for c in batch.columns)
-
-                def read(ids, raw, weights):
-                    ids = np.frombuffer(ids, np.int64)
-                    kind = np.float32 if len(raw) == len(ids) * d * 4 else np.float64
-                    return ids, np.frombuffer(raw, kind).reshape(len(ids), d).astype(np.float64), np.frombuffer(weights, np.int64)
-
-                edges, counts = compare(*read(*parts[:3]), *read(*parts[3:]), turned(d), least, a == b)
-                for u, v in edges:
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.nulls(len(u), pa.int64())], ["a", "b", "n"])
-                for u, n in counts:
-                    some = n > 0
-                    yield pa.RecordBatch.from_arrays([pa.array(u[some]), pa.nulls(int(some.sum()), pa.int64()), pa.array(n[some])], ["a", "b", "n"])
-
-    found = kept(loaded.mapInArrow(run, COUNTS))
+    spans = numbered(tiles.select("tile", "d", "low", "high"), "d", "tile")
+    low, high = F.floor(F.col("low")[0] / cell), F.floor(F.col("high")[0] / cell)
+    left = spans.withColumn("cell", F.explode(F.sequence(low, F.floor((F.col("high")[0] + reach) / cell))))
+    right = spans.withColumn("cell", F.explode(F.sequence(low, high))).select(
+        F.col("pos").alias("pos_b"), "d", F.col("low").alias("low_b"), F.col("high").alias("high_b"), "cell")
+
+    def gap(k: int) -> Column:
+        """Square of what lies between two boxes along an axis; vectors of fewer dimensions have no such axis."""
+        between = F.greatest(F.get("low_b", F.lit(k)) - F.get("high", F.lit(k)), F.get("low", F.lit(k)) - F.get("high_b", F.lit(k)), F.lit(0.0))
+        return between * between
+
+    near = sum((gap(k) for k in range(1, BOXED)), gap(0)) <= reach * reach
+    either_way = (F.col("low_b")[0] <= F.col("high")[0] + reach) & (F.col("low")[0] <= F.col("high_b")[0] + reach)
+    # the cells order tiles by their first coordinate, not by their number
+    met = left.join(right, ["d", "cell"]).where(either_way & near)
+    pairs = met.select("d", F.least("pos", "pos_b").alias("a"), F.greatest("pos", "pos_b").alias("b")).distinct()
+    pairs = pairs.withColumn("block_a", F.floor(F.col("a") / BLOCK)).withColumn("block_b", F.floor(F.col("b") / BLOCK))
+    # every tile that the pairs of two blocks need, with the tiles it is compared with
+    asked = pairs.select("block_a", "block_b", F.col("a").alias("pos"), F.col("b").alias("other")).union(
+        pairs.select("block_a", "block_b", F.col("b").alias("pos"), F.lit(None).cast("long").alias("other")))
+    asked = asked.groupBy("block_a", "block_b", "pos").agg(F.collect_list("other").alias("others"))
+    body = tiles.join(spans.select("tile", "pos"), "tile").select("pos", "d", "ids", "weights", "raw")
+    loaded = asked.join(body, "pos").select("block_a", "block_b", "pos", "others", "d", "ids", "weights", "raw")
+
+    def run(table: pa.Table) -> pa.Table:
+        bodies, made = {}, []
+        rows = table.select(["pos", "others", "d", "ids", "weights", "raw"]).to_pylist()
+        for r in rows:
+            ids = np.frombuffer(r["ids"], np.int64)
+            kind = np.float32 if len(r["raw"]) == len(ids) * r["d"] * 4 else np.float64
+            bodies[r["pos"]] = ids, np.frombuffer(r["raw"], kind).reshape(len(ids), r["d"]), np.frombuffer(r["weights"], np.int64), r["d"]
+        for r in rows:
+            for other in r["others"]:
+                (ids_a, raw_a, weight_a, d), (ids_b, raw_b, weight_b, _) = bodies[r["pos"]], bodies[other]
+                edges, counts = compare(ids_a, raw_a.astype(np.float64), weight_a, ids_b, raw_b.astype(np.float64), weight_b, turned(d), least, r["pos"] == other)
+                made += [pa.table([pa.array(u), pa.array(v), pa.nulls(len(u), pa.int64())], ["a", "b", "n"]) for u, v in edges]
+                made += [pa.table([pa.array(u[n > 0]), pa.nulls(int((n > 0).sum()), pa.int64()), pa.array(n[n > 0])], ["a", "b", "n"]) for u, n in counts]
+        return pa.concat_tables(made) if made else pa.table([pa.array([], pa.int64())] * 3, ["a", "b", "n"])
+
+    found = kept(loaded.groupBy("block_a", "block_b").applyInArrow(run, COUNTS))
     # a vec_id with several different vectors joins them
     several = usable.groupBy("vec_id").agg(F.min("e").alias("p"), F.max("e").alias("q")).where("p <> q").select("vec_id")
     groups = distinct.select("e", "id", "copies")

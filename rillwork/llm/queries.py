@@ -62,10 +62,9 @@ WITH sized AS (
     SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size,
         (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS u
     FROM documents),
-ranked AS (SELECT *, CASE WHEN size > 0 THEN (u / (1 - u)) / sqrt(CAST(size AS DOUBLE)) END AS rank FROM sized),
 sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
-    FROM ranked GROUP BY source),
+    FROM sized GROUP BY source),
 ordered AS (
     SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS spare, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS weights
     FROM sources
@@ -74,11 +73,29 @@ open AS (SELECT spare, weights FROM ordered WHERE CAST(spare AS DOUBLE) * w / CA
 goals AS (
     SELECT source, source_size, coalesce(least(CAST((SELECT spare FROM open) AS DOUBLE) * w / CAST((SELECT weights FROM open) AS DOUBLE), CAST(3 * source_size AS DOUBLE)),
         CAST(3 * source_size AS DOUBLE)) AS target FROM sources),
-budgets AS (
-    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM goals)
+copied AS (
+    SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM goals),
+budgets AS (SELECT *, CAST(floor(target - copies * source_size + 0.5) AS BIGINT) AS budget FROM copied),
+histogram AS (
+    SELECT source, size, count(*) AS n, CAST(floor(sqrt(CAST(size AS DOUBLE)) * 1000) AS BIGINT) AS x FROM sized WHERE size > 0 GROUP BY source, size),
+steps AS (
+    SELECT h.source, size, x, sum(CAST(n AS HUGEINT) * size * x) OVER (PARTITION BY h.source ORDER BY size ROWS UNBOUNDED PRECEDING) AS rest,
+        budget - coalesce(sum(n * size) OVER (PARTITION BY h.source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spare
+    FROM histogram h JOIN budgets b ON h.source IS NOT DISTINCT FROM b.source),
+chances AS (
+    SELECT source, max(CASE WHEN spare * x < rest THEN CAST(spare AS DOUBLE) / CAST(rest AS DOUBLE) END) AS c,
+        min(CASE WHEN spare * x >= rest THEN size END) AS certain_from
+    FROM steps GROUP BY source),
+odds AS (
+    SELECT s.*, coalesce(size >= certain_from, false) AS certain, c * CAST(floor(sqrt(CAST(size AS DOUBLE)) * 1000) AS BIGINT) AS chance
+    FROM sized s LEFT JOIN chances c ON s.source IS NOT DISTINCT FROM c.source),
+ranked AS (
+    SELECT *, CASE WHEN size = 0 THEN 2 WHEN certain THEN 0 ELSE 1 END AS turn,
+        CASE WHEN size > 0 AND NOT certain THEN (u / (1 - u)) / (CASE WHEN chance > 0 THEN chance / (1 - chance) ELSE 1.0 END) END AS rank
+    FROM odds)
 SELECT doc_id, size, source_size, target,
-    CAST(copies * size + greatest(0, least(size, CAST(floor(target - copies * source_size + 0.5) AS BIGINT)
-        - coalesce(sum(size) OVER (PARTITION BY r.source ORDER BY rank NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
+    CAST(copies * size + greatest(0, least(size, budget - coalesce(sum(size) OVER (
+        PARTITION BY r.source ORDER BY turn, rank NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
 FROM ranked r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
