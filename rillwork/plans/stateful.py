@@ -188,8 +188,8 @@ def table_slide_stream(spark, folder):
         df.withWatermark("ts", LATEST).createOrReplaceTempView("views_stream")
         return spark.sql("""
             SELECT item_id, window.end AS window_end, sum(n) AS clicks
-            FROM (SELECT item_id, window_time(window) AS pane, count(*) AS n FROM views_stream GROUP BY item_id, window(ts, '5 minutes'))
-            GROUP BY item_id, window(pane, '1 hour', '5 minutes')""")
+            FROM (SELECT item_id, window AS pane, count(*) AS n FROM views_stream GROUP BY item_id, window(ts, '5 minutes'))
+            GROUP BY item_id, window(window_time(pane), '1 hour', '5 minutes')""")
 
     arriving = roles.arriving_events(spark, folder)
     out = runner.replay(roles.views_of_items(arriving.rows).select("ts", "item_id"), "ts", plan, "sql-slide", feed=arriving.parts)
