@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rillwork.functions.scalar import seconds
 from rillwork.operators.ordered import Running, running
+from rillwork.session import keep
 
 ON_TIME, REFIRE, LATE = "on_time", "refire", "late"
 
@@ -42,7 +43,8 @@ def firings(df: DataFrame, arrival: Sequence[str], ts: str, size: str, bound: fl
 
     ``refired_by`` is the last arrival column of the row that made it fire again, null for the first firing.
     """
-    rows = classify(df, arrival, ts, size, bound, lateness, cell).filter(F.col("status") != LATE)
+    # read by both kinds of firings and several times by the second scan
+    rows = keep(classify(df, arrival, ts, size, bound, lateness, cell).filter(F.col("status") != LATE))
     counted = running(rows, ["window_start"], arrival, {"n": Running("count", F.lit(1))}, cell)
     kind = df.schema[arrival[-1]].dataType
     again = (counted.filter(F.col("status") == REFIRE)

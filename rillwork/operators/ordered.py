@@ -78,7 +78,7 @@ def in_parts(rows: DataFrame, part: Sequence[str], order: Sequence[str], cell: f
     inside, place = [*part, SEGMENT], F.struct(*order)
     source = source.select(*inside, *[c for c in order if c not in part])
     full = source.groupBy(*inside).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-    share = F.least(F.lit(float(CUTS)), F.col("__n") / limit) / F.col("__n")
+    share = F.least(F.lit(float(CUTS)), F.col("__n") / max(most, 1)) / F.col("__n")
     chosen = F.pmod(F.xxhash64(*order), F.lit(1 << 52)) < share * float(1 << 52)
     cuts = source.join(F.broadcast(full), inside).filter(chosen).groupBy(*inside).agg(F.sort_array(F.collect_set(place)).alias(_CUTS))
     rows = cells.join(F.broadcast(cuts), inside, "left")

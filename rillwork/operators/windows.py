@@ -122,12 +122,11 @@ def sliding_distinct_counts(df: DataFrame, ts: str, size: str, slide: str, value
     ends = seen.filter(first <= newest).select(F.explode(F.array(
         F.struct(first.alias("at"), F.lit(1).alias("change")),
         F.struct((newest + 1).alias("at"), F.lit(-1).alias("change")))).alias("e")).select("e.*")
-    # One row per pane from here on.
-    balance = ends.groupBy("at").agg(F.sum("change").alias("change"))
-    levels = scan(balance, [], ["at"], {name: Running("sum", F.col("change")), "__next": Near(F.col("at"), 1)},
-                  cell)
+    # One row per pane from here on, so one task folds them: their number follows the span of time and not the rows.
+    balance, along = ends.groupBy("at").agg(F.sum("change").alias("change")), Window.orderBy("at")
+    levels = balance.select("at", F.sum("change").over(along).alias(name), F.lead("at").over(along).alias("__next"))
     starts = (levels.filter(F.col(name) > 0)
-              .select(name, F.explode(F.sequence(F.col("at"), F.get("__next", F.lit(0)) - 1)).alias("__first")))
+              .select(name, F.explode(F.sequence(F.col("at"), F.col("__next") - 1)).alias("__first")))
     kind = df.schema[ts].dataType
     begin = F.col("__first") * step
     return starts.select(_pane_time(begin, length, kind).alias("window_start"),

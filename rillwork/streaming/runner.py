@@ -90,10 +90,13 @@ def replay(source: DataFrame, ts: str, plan: Callable[[DataFrame], DataFrame], n
     def close() -> None:
         last.write.mode("append").parquet(end)
 
-    for bring in (*(feed or [lambda: None]), close):
-        bring()
-        # the same query goes on from its checkpoint
-        start(out, path, checkpoint, mode, {"availableNow": True}, each_batch).awaitTermination()
+    query = start(out, path, checkpoint, mode, each_batch=each_batch)
+    try:
+        for bring in (*(feed or [lambda: None]), close):
+            bring()
+            query.processAllAvailable()  # also what the watermark has closed by then
+    finally:
+        query.stop()
     return read_results(spark, path, result_schema or out.schema, mode != "append")
 
 
