@@ -7,12 +7,14 @@ Rows that come after the watermark has passed their time go to ``on_late``, whic
 drops them unless a subclass says something about them, as ``LateSplit`` does; rows without a time
 have no place in the order and go to ``on_undated``, by the same rule. Null values reach ``on_row`` as None.
 
-Rows travel and wait in packs: a step before the shuffle sorts each Arrow batch and makes one row of all rows of a key
-in one bucket of ``BUCKET`` length, an Arrow message with their least and greatest time. A pack that is neither due nor late
-is put into the state as it came; a firing unpacks the packs of the buckets that are due, sorts them as one
-table and folds it, row by row (``on_row``) or at once (``on_rows``). The state API for rows is used, as the one for
-Pandas builds a DataFrame for every key from single rows in this version of Spark. Null keys are keys like any other; the
-closing row of a replay is told by a column that ``runner.replay`` adds.
+A call of the state API costs more than the work on a row, so none is made per key: keys are put into ``GROUPS`` groups by their
+hash, and Spark's state and timers belong to a group. Rows travel and wait in packs: a step before the shuffle sorts many Arrow batches
+at once and makes one row of all rows of a group, an Arrow message with their least and greatest time. A pack that is not late is put into the
+state as it came, small ones together. A firing brings the packs that are due in order of time, in slices of ``SLICE`` rows, and folds each key of a slice,
+row by row (``on_row``) or at once (``on_rows``); results leave after every slice as Arrow messages, so a key of any number of
+rows needs no more memory for them. What the keys of a group remember is one Arrow table with their next deadlines; only keys that have
+rows or a deadline are unpacked. The Pandas form of the state API is used, as the one for rows holds all results of a task's timers in this version
+of Spark. Null keys are keys like any other; the closing row of a replay is told by a column that ``runner.replay`` adds.
 
 Times inside processors are microseconds since the epoch.
 """
@@ -26,6 +28,7 @@ from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -41,7 +44,12 @@ from rillwork.streaming.runner import CLOSING
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 AT = "at"
-BUCKET = 3_600_000_000
+GROUPS = 1024
+GATHER = 200_000  # rows that are put into packs at once
+PIECE = 4096  # rows of a pack that travels
+MERGED = 131_072  # rows of a pack that waits, if it is put together from smaller ones
+SLICE = 200_000  # rows that are folded at once
+TOLD = 50_000  # results after which some are handed on
 DAY = 86_400_000_000
 Memory = tuple | None
 Out = Iterable[tuple]
@@ -51,24 +59,29 @@ def keyed(df: DataFrame, keys: list[str], ts: str, delay: str, columns: list[str
           processor: "InOrder") -> DataFrame:
     """Run ``processor`` per key over (``at``, columns); the last column must be the row id."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    rows = T.StructType([T.StructField(AT, T.LongType()), *[T.StructField(c, kinds[c]) for c in columns]])
-    processor.packed = to_arrow_schema(rows)
     names = [f"k{i}" for i in range(len(keys))]
+    held = [T.StructField(n, kinds[k]) for n, k in zip(names, keys)]
+    rows = T.StructType([*held, T.StructField(AT, T.LongType()), *[T.StructField(c, kinds[c]) for c in columns]])
+    processor.n_keys, processor.packed = len(keys), to_arrow_schema(rows)
+    known = T._parse_datatype_string(processor.memory_schema).fields
+    known = [T.StructField(f"m{i}", f.dataType) for i, f in enumerate(known)]
+    processor.known = to_arrow_schema(T.StructType([*held, *known, T.StructField("deadline", T.LongType())]))
+    processor.telling = to_arrow_schema(T._parse_datatype_string(processor.output_schema))
+    processor.by_row = type(processor).on_rows is InOrder.on_rows
     # the closing row takes part in nothing but the watermark; it is left out behind it, as a filter would be moved before it
     closing = F.col(CLOSING) if CLOSING in df.columns else F.lit(False)
     plain = df.withWatermark(ts, delay).select(
-        closing.alias("closing"),
+        closing.alias("closing"), F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(GROUPS)).alias("part") if keys else F.lit(0).cast("long").alias("part"),
         *[F.col(k).alias(n) for n, k in zip(names, keys)], epoch_micros(F.col(ts)).alias(AT),
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    packs = T.StructType([*[T.StructField(n, kinds[k]) for n, k in zip(names, keys)], *_PACK])
-    packed = plain.mapInArrow(_pack(len(keys), processor.packed), packs)
-    return (packed.groupBy(*names)
-            .transformWithState(statefulProcessor=processor, outputStructType=processor.output_schema,
-                                outputMode="Append", timeMode="EventTime"))
+    told = (plain.mapInArrow(_pack(processor.packed), _PACK).groupBy("part")
+            .transformWithStateInPandas(statefulProcessor=processor, outputStructType="rows binary",
+                                        outputMode="Append", timeMode="EventTime"))
+    return told.mapInArrow(_unpack(processor.telling), processor.output_schema)
 
 
-_PACK = [T.StructField("bucket", T.LongType()), T.StructField("least", T.LongType()), T.StructField("greatest", T.LongType()),
-         T.StructField("rows", T.BinaryType())]
+# ``least`` and ``greatest`` of rows without a time are 0
+_PACK = "part long, dated boolean, least long, greatest long, n long, rows binary"
 
 
 def _changes(column: pa.Array) -> np.ndarray:
@@ -78,33 +91,74 @@ def _changes(column: pa.Array) -> np.ndarray:
     return pc.or_(differ, pc.xor(pc.is_null(after), pc.is_null(before))).to_numpy(zero_copy_only=False)
 
 
-def _pack(n_keys: int, schema: pa.Schema):
-    """Batches of (closing, keys, at, columns) to one row per key and bucket: (keys, bucket, least, greatest, rows in order)."""
+def _runs(new: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end of the runs of ``n`` rows, of which ``new`` tells where one begins."""
+    first = np.concatenate([[0], np.flatnonzero(new) + 1])
+    return first, np.concatenate([first[1:], [n]])
+
+
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def _ordered(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Rows of several packs in order; a single pack is in order."""
+    if len(batches) == 1:
+        return batches[0]
+    rows = _one(batches)
+    return rows.take(pc.sort_indices(rows, sort_keys=[(AT, "ascending"), (rows.schema.names[-1], "ascending")]))
+
+
+def _pack(schema: pa.Schema):
+    """Batches of (closing, part, keys, at, columns) to packs of the rows of a part, in order of time."""
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        batch = _one(held)
+        names = batch.schema.names
+        batch = batch.take(pc.sort_indices(batch, sort_keys=[(n, "ascending") for n in ("part", AT, names[-1])]))
+        part, at = batch.column(0).to_numpy(), batch.column(names.index(AT))
+        dated, at = at.is_valid().to_numpy(zero_copy_only=False), at.fill_null(0).to_numpy()
+        pieces = [(a, min(a + PIECE, b)) for a, b in zip(*(e.tolist() for e in _runs((np.diff(part) != 0) | (dated[1:] != dated[:-1]), len(batch))))
+                  for a in range(a, b, PIECE)]
+        first, end = np.array(pieces).T
+        rows = pa.RecordBatch.from_arrays(batch.columns[1:], schema=schema)
+        packs = [rows.slice(a, b - a).serialize().to_pybytes() for a, b in pieces]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[first]), pa.array(dated[first]), pa.array(at[first]), pa.array(at[end - 1]), pa.array(end - first), pa.array(packs, pa.binary())],
+            ["part", "dated", "least", "greatest", "n", "rows"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             batch = pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pc.invert(batch.column(0)))
-            if not len(batch):
-                continue
-            names = batch.schema.names
-            order = pc.sort_indices(batch, sort_keys=[(n, "ascending") for n in [*names[:n_keys + 1], names[-1]]])
-            batch = batch.take(order)
-            at = batch.column(n_keys)
-            bucket = pa.array(at.fill_null(0).to_numpy() // BUCKET, pa.int64(), mask=at.is_null().to_numpy(zero_copy_only=False))
-            new = np.zeros(max(len(batch) - 1, 0), dtype=bool)
-            for column in (*batch.columns[:n_keys], bucket):
-                new |= _changes(column)
-            first = np.concatenate([[0], np.flatnonzero(new) + 1])
-            last = np.concatenate([first[1:], [len(batch)]]) - 1
-            rows = pa.RecordBatch.from_arrays(batch.columns[n_keys:], schema=schema)
-            packs = [rows.slice(a, b - a + 1).serialize().to_pybytes() for a, b in zip(first.tolist(), last.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [*(c.take(pa.array(first)) for c in batch.columns[:n_keys]), bucket.take(pa.array(first)), at.take(pa.array(first)),
-                 at.take(pa.array(last)), pa.array(packs, pa.binary())],
-                [*names[:n_keys], *(f.name for f in _PACK)])
+            if len(batch):
+                held.append(batch)
+                n += len(batch)
+            if n >= GATHER:
+                yield packed(held)
+                held, n = [], 0
+        if held:
+            yield packed(held)
 
     return run
 
 
+def _unpack(schema: pa.Schema):
+    """Arrow messages to their rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in batch.column(0):
+                yield pa.ipc.read_record_batch(rows.as_buffer(), schema)
+
+    return run
+
+
+def _key_tuples(columns: list[pa.Array], n: int) -> list[tuple]:
+    """Keys as tuples that are equal if the keys are, NaN too."""
+    if not columns:
+        return [()] * n
+    return list(zip(*([math.nan if v != v else v for v in c.to_pylist()] if pa.types.is_floating(c.type) else c.to_pylist() for c in columns)))
+
+
 def _record(schema: str) -> Row:
     """A row class with the column names of a flat schema text."""
     return Row(*[column.split()[0] for column in schema.split(", ")])
@@ -122,7 +176,11 @@ def flags(column: pa.Array) -> np.ndarray:
 class InOrder(StatefulProcessor):
     """Base of all event-time processors; see ``keyed``."""
 
+    n_keys: int
     packed: pa.Schema
+    known: pa.Schema
+    telling: pa.Schema
+    by_row: bool
     memory_schema: str
     output_schema: str
 
@@ -134,11 +192,7 @@ class InOrder(StatefulProcessor):
 
     def on_rows(self, key: tuple, memory: Memory, rows: pa.RecordBatch, out: list[tuple]) -> Memory:
         """The next rows of the key, in order; a subclass may fold them at once if nothing is due between them."""
-        for row in _dicts(rows):
-            memory = self._fire(key, memory, row[AT], out)
-            memory, made = self.on_row(key, memory, row)
-            out.extend(made)
-        return memory
+        return self._walk(key, memory, rows.to_pylist(), out)
 
     def deadline(self, memory: Memory) -> int | None:
         """When ``on_time`` wants to be called if no row comes first."""
@@ -168,83 +222,189 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.result = _record(self.output_schema)
-        self.waiting = handle.getMapState("waiting", "bucket long, no long", "rows binary, least long")
-        self.memory = handle.getValueState("memory", self.memory_schema)
+        self.waiting = handle.getMapState("waiting", "least long, greatest long, no long", "rows binary")
+        self.memory = handle.getValueState("memory", "rows binary")
         self.alarm = handle.getValueState("alarm", "millis long, packs long")
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        key, out = tuple(key), []
+        out, small, n_small = [], [], 0
         self._open_alarm()
-        for pack in rows:
-            if pack["bucket"] is None:
-                for row in _dicts(self._table(pack["rows"])):
-                    out.extend(self.on_undated(key, row))
-            elif passed > 0 and pack["least"] <= passed:
-                table = self._table(pack["rows"])
-                late = int(np.searchsorted(table.column(0).to_numpy(), passed, side="right"))
-                for row in _dicts(table.slice(0, late)):
-                    out.extend(self.on_late(key, row))
-                self._keep(pack["bucket"], table.slice(late))
-            else:
-                self._put(pack["bucket"], bytes(pack["rows"]), pack["least"])
+        for packs in rows:
+            for dated, least, greatest, n, pack in zip(*(packs[c].tolist() for c in ("dated", "least", "greatest", "n", "rows"))):
+                if not dated:
+                    for row_key, row in self._each(self._table(pack)):
+                        out.extend(self.on_undated(row_key, row))
+                elif passed > 0 and least <= passed:
+                    table = self._table(pack)
+                    late = int(np.searchsorted(self._times(table), passed, side="right"))
+                    for row_key, row in self._each(table.slice(0, late)):
+                        out.extend(self.on_late(row_key, row))
+                    if late < n:
+                        small.append(table.slice(late))
+                        n_small += n - late
+                elif 2 * n >= PIECE:
+                    self._put(pack, least, greatest)
+                else:
+                    small.append(self._table(pack))
+                    n_small += n
+                if n_small >= MERGED:
+                    self._keep(_ordered(small))
+                    small, n_small = [], 0
+                if len(out) >= TOLD:
+                    yield self._told(out)
+        if small:
+            self._keep(_ordered(small))
         self._close_alarm()
-        return iter([self.result(*o) for o in out])
+        if out:
+            yield self._told(out)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        key, out = tuple(key), []
+        out: list[tuple] = []
         self._open_alarm()
         self.armed = None
-        memory = self.unpack(tuple(self.memory.get())) if self.memory.exists() else None
-        due, later = [], []
-        for bucket, no in sorted(tuple(k) for k in self.waiting.keys()):
-            if bucket * BUCKET <= passed:
-                due.append((bucket, no))
-            else:
-                later.append(bucket)
-        for bucket in sorted({b for b, _ in due}):
-            packs = [k for k in due if k[0] == bucket]
-            tables = [self._table(self.waiting.getValue(k)[0]) for k in packs]
-            for k in packs:
-                self.waiting.removeKey(k)
-            table = tables[0]
-            if len(tables) > 1:
-                table = pa.Table.from_batches(tables).combine_chunks().to_batches()[0]
-                table = table.take(pc.sort_indices(table, sort_keys=[(AT, "ascending"), (table.schema.names[-1], "ascending")]))
-            ready = int(np.searchsorted(table.column(0).to_numpy(), passed, side="right"))
-            if ready:
-                memory = self.on_rows(key, memory, table.slice(0, ready), out)
-            self._keep(bucket, table.slice(ready))
-        if later:
-            self._wake_at(later[0] * BUCKET)
-        memory = self._fire(key, memory, passed + 1, out)
-        if memory is None:
-            self.memory.clear()
-        else:
-            self.memory.update(self.pack(memory))
-            at = self.deadline(memory)
-            if at is not None:
-                self._wake_at(at)
+        self._open_memory()
+        for rows in self._due(passed):
+            for key, memory in self._fold(rows, out):
+                self.live[key] = memory
+                if len(out) >= TOLD:
+                    yield self._told(out)
+        deadlines = self.table.column("deadline")
+        self._load([self.keys[i] for i in pc.indices_nonzero(pc.less_equal(deadlines, passed)).to_pylist()])
+        for key, memory in self.live.items():
+            if memory is not None:
+                self.live[key] = self._fire(key, memory, passed + 1, out)
+                if len(out) >= TOLD:
+                    yield self._told(out)
+        self._close_memory()
         self._close_alarm()
-        return iter([self.result(*o) for o in out])
+        if out:
+            yield self._told(out)
 
     def close(self) -> None:
         pass
 
+    # Rows: packs in the state, slices in order of time, keys of a slice.
+
     def _table(self, rows: bytes) -> pa.RecordBatch:
         return pa.ipc.read_record_batch(pa.py_buffer(bytes(rows)), self.packed)
 
-    def _keep(self, bucket: int, table: pa.RecordBatch) -> None:
-        if len(table):
-            self._put(bucket, table.serialize().to_pybytes(), table.column(0)[0].as_py())
+    def _times(self, table: pa.RecordBatch) -> np.ndarray:
+        return table.column(self.n_keys).to_numpy()
 
-    def _put(self, bucket: int, rows: bytes, least: int) -> None:
+    def _plain(self, table: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows without their keys."""
+        return table.select(list(range(self.n_keys, table.num_columns)))
+
+    def _each(self, table: pa.RecordBatch) -> Iterable[tuple[tuple, dict]]:
+        return zip(_key_tuples(table.columns[:self.n_keys], len(table)), self._plain(table).to_pylist())
+
+    def _keep(self, table: pa.RecordBatch) -> None:
+        for begin in range(0, len(table), MERGED):
+            rows = table.slice(begin, MERGED)
+            at = self._times(rows)
+            self._put(rows.serialize().to_pybytes(), int(at[0]), int(at[-1]))
+
+    def _put(self, rows: bytes, least: int, greatest: int) -> None:
         self.packs += 1
-        self.waiting.updateValue((bucket, self.packs), (rows, least))
+        self.waiting.updateValue((least, greatest, self.packs), (rows,))
         self._wake_at(least)
 
+    def _due(self, passed: int) -> Iterator[pa.RecordBatch]:
+        """Rows up to the watermark, in order and no more than ``SLICE`` at once; the state keeps the others.
+
+        Packs are brought by their least time. What is before the least time of the next one is complete, so only packs that overlap are
+        held together.
+        """
+        due = sorted(tuple(int(v) for v in k) for k in self.waiting.keys())
+        for least, _, _ in due:
+            if least > passed:
+                self._wake_at(least)
+                break
+        due = [k for k in due if k[0] <= passed]
+        held, n, enough = [], 0, SLICE
+        for i, pack in enumerate(due):
+            held.append(self._table(self.waiting.getValue(pack)[0]))
+            self.waiting.removeKey(pack)
+            n += len(held[-1])
+            last = i + 1 == len(due)
+            if n < enough and not last:
+                continue
+            rows = _ordered(held)
+            until = passed if last else due[i + 1][0] - 1
+            ready = int(np.searchsorted(self._times(rows), until, side="right"))
+            for begin in range(0, ready, SLICE):
+                yield rows.slice(begin, min(SLICE, ready - begin))
+            n = len(rows) - ready
+            held, enough = [rows.slice(ready)] if n else [], max(SLICE, 2 * n)
+        if held:
+            self._keep(held[0])
+
+    def _fold(self, rows: pa.RecordBatch, out: list[tuple]) -> Iterator[tuple[tuple, Memory]]:
+        """The keys of a slice with what they remember after it."""
+        names = rows.schema.names[:self.n_keys]
+        if names:  # a stable sort, so the rows of a key stay in order
+            rows = rows.take(pc.sort_indices(rows, sort_keys=[(n, "ascending") for n in names]))
+        new = np.zeros(len(rows) - 1, dtype=bool)
+        for column in rows.columns[:self.n_keys]:
+            new |= _changes(column)
+        first, end = _runs(new, len(rows))
+        keys = _key_tuples([c.take(pa.array(first)) for c in rows.columns[:self.n_keys]], len(first))
+        self._load(keys)
+        rows = self._plain(rows)
+        dicts = rows.to_pylist() if self.by_row else []
+        for key, a, b in zip(keys, first.tolist(), end.tolist()):
+            memory = self.live.get(key)
+            yield key, self._walk(key, memory, dicts[a:b], out) if self.by_row else self.on_rows(key, memory, rows.slice(a, b - a), out)
+
+    def _walk(self, key: tuple, memory: Memory, rows: list[dict], out: list[tuple]) -> Memory:
+        for row in rows:
+            memory = self._fire(key, memory, row[AT], out)
+            memory, made = self.on_row(key, memory, row)
+            out.extend(made)
+        return memory
+
+    def _told(self, out: list[tuple]) -> pd.DataFrame:
+        rows = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), self.telling)], schema=self.telling)
+        out.clear()
+        return pd.DataFrame({"rows": [rows.slice(a, TOLD).serialize().to_pybytes() for a in range(0, len(rows), TOLD)]})
+
+    # What keys remember: ``table`` as the state holds it, ``live`` the keys that a firing touches.
+
+    def _open_memory(self) -> None:
+        held = [pa.ipc.read_record_batch(pa.py_buffer(bytes(self.memory.get()[0])), self.known)] if self.memory.exists() else []
+        self.table = held[0] if held else pa.RecordBatch.from_pylist([], schema=self.known)
+        self.keys = _key_tuples(self.table.columns[:self.n_keys], len(self.table))
+        self.place = {k: i for i, k in enumerate(self.keys)}
+        self.live: dict[tuple, Memory] = {}
+
+    def _load(self, keys: list[tuple]) -> None:
+        wanted = [k for k in keys if k not in self.live and k in self.place]
+        if wanted:
+            at = pa.array([self.place[k] for k in wanted], pa.int64())
+            columns = [c.take(at).to_pylist() for c in self.table.columns[self.n_keys:-1]]
+            self.live.update((k, self.unpack(m)) for k, m in zip(wanted, zip(*columns)))
+
+    def _close_memory(self) -> None:
+        table = self.table
+        if self.live:
+            rest = np.ones(len(table), dtype=bool)
+            rest[[self.place[k] for k in self.live if k in self.place]] = False
+            made = [(*k, *self.pack(m), self.deadline(m)) for k, m in self.live.items() if m is not None]
+            columns = list(zip(*made)) or [()] * len(self.known)
+            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, self.known)], schema=self.known)
+            table = pa.Table.from_batches([table.filter(pa.array(rest)), made]).combine_chunks().to_batches()
+            table = table[0] if table else made
+            if len(table):
+                self.memory.update((table.serialize().to_pybytes(),))
+            else:
+                self.memory.clear()
+        first = pc.min(table.column("deadline")).as_py()
+        if first is not None:
+            self._wake_at(first)
+        self.live, self.table, self.keys, self.place = {}, None, [], {}
+
     def _fire(self, key: tuple, memory: Memory, before: int, out: list[tuple]) -> Memory:
         """Let all deadlines before a time pass."""
         while memory is not None:
@@ -255,7 +415,7 @@ class InOrder(StatefulProcessor):
             out.extend(made)
         return memory
 
-    # One timer per key, at the earliest time anything can happen.
+    # One timer per group, at the earliest time anything can happen.
 
     def _open_alarm(self) -> None:
         self.told = tuple(self.alarm.get()) if self.alarm.exists() else (None, 0)
@@ -279,10 +439,6 @@ class InOrder(StatefulProcessor):
             self.alarm.clear()
 
 
-def _dicts(rows: pa.RecordBatch) -> list[dict]:
-    return rows.to_pylist()
-
-
 class DailyLimit(InOrder):
     """First ``limit`` rows of a UTC day pass; the next one raises the day's only alarm. Columns: id.
 
@@ -427,7 +583,7 @@ class FollowedBy(InOrder):
         self.within = int(within * 1_000_000)
 
     def unpack(self, memory):
-        return deque(tuple(f) for f in memory[0])
+        return deque((f["at"], f["id"]) for f in memory[0])
 
     def pack(self, memory):
         return (list(memory),)
@@ -632,10 +788,10 @@ class PatternWatch(InOrder):
 
     def unpack(self, memory):
         nodes: list[tuple] = []
-        for before, step, row in memory[0]:
+        for before, step, row in (n.values() for n in memory[0]):
             nodes.append((nodes[before] if before >= 0 else None, step, row))
         edges = self.machine.edges
-        return [(start, nodes[node], state, tuple(edges[state][e] for e in on)) for start, node, state, on in memory[1]]
+        return [(start, nodes[node], state, tuple(edges[state][e] for e in on)) for start, node, state, on in (m.values() for m in memory[1])]
 
     def pack(self, memory):
         nodes, place = [], {}
