@@ -98,9 +98,9 @@ WHERE word <> '' GROUP BY word"""
 
 
 def document_lines(spark: SparkSession, folder: str) -> str:
-    """A folder of text files with the lines of all documents."""
+    """A folder of text files with the lines of all documents; the files grow in number with the lines and not in size."""
     target = f"{shared_folder(spark)}/lines-{uuid4().hex}"
-    roles.table(spark, folder, "documents").select("text").filter("text IS NOT NULL").repartition(4).write.text(target)
+    roles.table(spark, folder, "documents").select("text").filter("text IS NOT NULL").hint("rebalance").write.text(target)
     return target
 
 
