@@ -246,17 +246,23 @@ def uv_sketch_stream(spark, folder):
 SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id FROM (SELECT * FROM events WHERE event_type = 'signup') s
 LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON p.user_id = s.user_id AND p.ts BETWEEN s.ts AND s.ts + INTERVAL 6 HOUR""")
 def left_join_stream(spark, folder):
-    """Signups with the purchases of six hours, or alone once no purchase can come in time any more."""
+    """Signups with the purchases of six hours, or alone once no purchase can come in time any more.
+
+    The join's key has a cell of six hours beside the user: a signup is in its own cell, a purchase in its own and the one before, so
+    a row meets rows near it in time and not all that the state holds of its user.
+    """
     def plan(df: DataFrame) -> DataFrame:
         def side(event_type: str) -> DataFrame:  # the closing row moves both watermarks
             return df.filter(is_type(event_type) | F.col(runner.CLOSING))
 
-        signups = side("signup").select("user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts")).withWatermark("signup_ts", LATEST)
+        cell = sc.floor_div(sc.epoch_micros(F.col("ts")), 6 * HOUR * 1_000_000)
+        signups = side("signup").select("user_id", cell.alias("cell"), F.col("event_id").alias("signup_id"),
+                                        F.col("ts").alias("signup_ts")).withWatermark("signup_ts", LATEST)
         # the join asks for a key here, which the closing row must have to get to the watermark
         key = F.when(F.col(runner.CLOSING), -1).otherwise(F.col("user_id"))
-        purchases = side("purchase").select(key.alias("right_user_id"), F.col("event_id").alias("purchase_id"),
-                                            F.col("ts").alias("purchase_ts")).withWatermark("purchase_ts", LATEST)
-        return signups.join(purchases, F.expr("user_id = right_user_id AND purchase_ts >= signup_ts AND purchase_ts <= signup_ts + interval 6 hours"),
+        purchases = side("purchase").select(key.alias("right_user_id"), F.explode(F.array(cell, cell - 1)).alias("right_cell"),
+                                            F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts")).withWatermark("purchase_ts", LATEST)
+        return signups.join(purchases, F.expr("user_id = right_user_id AND cell = right_cell AND purchase_ts >= signup_ts AND purchase_ts <= signup_ts + interval 6 hours"),
                             "left").select("user_id", "signup_id", "purchase_id", "signup_ts")
 
     arriving = roles.arriving_events(spark, folder)

@@ -145,3 +145,14 @@ def test_memories_of_a_group_are_kept_by_key(spark, monkeypatch):
     second, _ = told(processor, processor.handleExpiredTimer((0,), Passed(20_000_000), None))
     assert sorted(r[1:] for r in second) == [(1, None, "timeout"), (3, None, "timeout"), (5, None, "timeout")]
     assert not processor.memory.exists() and not processor.waiting
+
+
+def test_an_outer_join_meets_rows_near_in_time(spark, monkeypatch):
+    """The key of the join has a cell of time beside the user, so a user's rows are not all paired."""
+    from rillwork.plans import stateful
+
+    seen = []
+    monkeypatch.setattr(stateful.runner, "replay", lambda source, ts, plan, *_, **__: seen.append(plan(source.withColumn(runner.CLOSING, F.lit(False)))) or seen[0])
+    stateful.left_join_stream(spark, "/root/testdata/sf0.001")
+    plan = seen[0]._jdf.queryExecution().analyzed().toString()
+    assert any("Join LeftOuter" in line and "cell" in line and "right_cell" in line for line in plan.splitlines())
