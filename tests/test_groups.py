@@ -129,6 +129,19 @@ def test_a_hot_key_is_folded_in_slices(spark, monkeypatch):
     assert max(sizes) <= 100 and not processor.waiting
 
 
+def test_values_are_read_as_rows_have_them():
+    """Whole columns come out as ``to_pylist`` gives them, with the same Python types."""
+    columns = [pa.array([1, 2, -3]), pa.array([1, None, 3], pa.int32()), pa.array([2**53 + 1, None, -(2**62)]), pa.array([True, False, True]), pa.array([True, None, False]),
+               pa.array([0.5, -0.0, 7.25]), pa.array([0.5, None, 7.0]), pa.array([1.5, 2.5, 0.1], pa.float32()), pa.array(["a", None, "\u00e4\0"]), pa.array([[1], None, []]),
+               pa.array([None, None, None])]
+    columns = [c for column in columns for c in (column, column.slice(1), column.slice(0, 0))]
+    for column in columns:
+        got, want = p.values(column), column.to_pylist()
+        assert got == want and [type(v) for v in got] == [type(v) for v in want], column.type
+    rows = pa.RecordBatch.from_arrays(columns[::3], [f"c{i}" for i in range(len(columns) // 3)])
+    assert p._dicts(rows) == rows.to_pylist()
+
+
 def test_memories_of_a_group_are_kept_by_key(spark, monkeypatch):
     """Untouched keys stay as they are, deadlines fire without rows, nested memory comes back."""
     monkeypatch.setattr(p, "SLICE", 2)
