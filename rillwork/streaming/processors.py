@@ -152,7 +152,7 @@ def _unpack(schema: pa.Schema):
     return run
 
 
-def values(column: pa.Array) -> list:
+def listed(column: pa.Array) -> list:
     """What ``to_pylist`` gives, by way of NumPy where that is the same and several times as fast."""
     kind = column.type
     if pa.types.is_string(kind) or not column.null_count and (pa.types.is_integer(kind) or pa.types.is_boolean(kind) or pa.types.is_floating(kind)):
@@ -162,14 +162,14 @@ def values(column: pa.Array) -> list:
 
 def _dicts(rows: pa.RecordBatch) -> list[dict]:
     names = rows.schema.names
-    return [dict(zip(names, row)) for row in zip(*map(values, rows.columns))]
+    return [dict(zip(names, row)) for row in zip(*map(listed, rows.columns))]
 
 
 def _key_tuples(columns: list[pa.Array], n: int) -> list[tuple]:
     """Keys as tuples that are equal if the keys are, NaN too."""
     if not columns:
         return [()] * n
-    return list(zip(*([math.nan if v != v else v for v in values(c)] if pa.types.is_floating(c.type) else values(c) for c in columns)))
+    return list(zip(*([math.nan if v != v else v for v in listed(c)] if pa.types.is_floating(c.type) else listed(c) for c in columns)))
 
 
 def _record(schema: str) -> Row:
@@ -396,7 +396,7 @@ class InOrder(StatefulProcessor):
         wanted = [k for k in keys if k not in self.live and k in self.place]
         if wanted:
             at = pa.array([self.place[k] for k in wanted], pa.int64())
-            columns = [values(c.take(at)) for c in self.table.columns[self.n_keys:-1]]
+            columns = [listed(c.take(at)) for c in self.table.columns[self.n_keys:-1]]
             self.live.update((k, self.unpack(m)) for k, m in zip(wanted, zip(*columns)))
 
     def _close_memory(self) -> None:
@@ -484,7 +484,7 @@ class DailyLimit(InOrder):
         before = np.where(days == memory[0], memory[1], 0) if memory else np.zeros(len(days), dtype=int)
         nth = np.arange(1, len(at) + 1) - np.repeat(first, n) + np.repeat(before, n)
         told = np.flatnonzero(nth <= self.limit + 1)
-        ids = values(rows.column(1).take(pa.array(told)))
+        ids = listed(rows.column(1).take(pa.array(told)))
         out.extend((*key, t, i, "pass" if k <= self.limit else "alarm") for t, i, k in zip(at[told].tolist(), ids, nth[told].tolist()))
         return int(days[-1]), int(before[-1] + n[-1])
 
@@ -576,7 +576,7 @@ class NextRow(InOrder):
         return (row[AT], row["event_id"], row["is_first"]), out
 
     def on_rows(self, key, memory, rows, out):
-        at, ids = rows.column(0).to_numpy(), values(rows.column("event_id"))
+        at, ids = rows.column(0).to_numpy(), listed(rows.column("event_id"))
         first, second = flags(rows.column("is_first")), flags(rows.column("is_second"))
         if memory:
             at, ids = np.concatenate([[memory[0]], at]), [memory[1], *ids]
@@ -660,7 +660,7 @@ class CountSlide(InOrder):
 
     def on_rows(self, key, memory, rows, out):
         seen, ring = memory or (0, [])
-        values = [*ring, *values(rows.column("cents"))]
+        values = [*ring, *listed(rows.column("cents"))]
         for nth in range(seen + self.slide - seen % self.slide, seen + len(rows) + 1, self.slide):
             end = len(ring) + nth - seen
             out.append((*key, nth, values[max(0, end - self.size):end][::-1]))
@@ -677,7 +677,7 @@ class Retract(InOrder):
 
     def on_rows(self, key, memory, rows, out):
         n = memory[0] if memory else 0
-        for at, event_id in zip(values(rows.column(0)), values(rows.column("event_id"))):
+        for at, event_id in zip(listed(rows.column(0)), listed(rows.column("event_id"))):
             if n:
                 out.append((*key, at, event_id, False, n))
             n += 1
@@ -695,9 +695,9 @@ class NearFirst(InOrder):
         self.within = int(within * 1_000_000)
 
     def on_rows(self, key, memory, rows, out):
-        at = values(rows.column(0))
+        at = listed(rows.column(0))
         first, begin = (memory[0], 0) if memory else (at[0], 1)
-        ids = values(rows.column("event_id"))
+        ids = listed(rows.column("event_id"))
         out.extend((*key, t, i, first) for t, i in zip(at[begin:], ids[begin:]) if t - first <= self.within)
         return (first,)
 
@@ -739,7 +739,7 @@ class LateSplit(InOrder):
     output_schema = "user_id long, at long, event_id long, tag string"
 
     def on_rows(self, key, memory, rows, out):
-        out.extend((*key, at, event_id, "on_time") for at, event_id in zip(values(rows.column(0)), values(rows.column("event_id"))))
+        out.extend((*key, at, event_id, "on_time") for at, event_id in zip(listed(rows.column(0)), listed(rows.column("event_id"))))
         return None
 
     def on_late(self, key, row):
@@ -826,7 +826,7 @@ class PatternWatch(InOrder):
 
     def on_rows(self, key, memory, rows, out):
         opened, found = memory or [], []
-        for at, hits, row in zip(*(values(rows.column(i)) for i in range(3))):
+        for at, hits, row in zip(*(listed(rows.column(i)) for i in range(3))):
             if opened or hits & 1:
                 opened = self.machine.feed(opened, at, hits, row, True, found)
         self._tell(key, found, out)

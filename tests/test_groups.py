@@ -136,7 +136,7 @@ def test_values_are_read_as_rows_have_them():
                pa.array([None, None, None])]
     columns = [c for column in columns for c in (column, column.slice(1), column.slice(0, 0))]
     for column in columns:
-        got, want = p.values(column), column.to_pylist()
+        got, want = p.listed(column), column.to_pylist()
         assert got == want and [type(v) for v in got] == [type(v) for v in want], column.type
     rows = pa.RecordBatch.from_arrays(columns[::3], [f"c{i}" for i in range(len(columns) // 3)])
     assert p._dicts(rows) == rows.to_pylist()
@@ -169,3 +169,10 @@ def test_an_outer_join_meets_rows_near_in_time(spark, monkeypatch):
     stateful.left_join_stream(spark, "/root/testdata/sf0.001")
     plan = seen[0]._jdf.queryExecution().analyzed().toString()
     assert any("Join LeftOuter" in line and "cell" in line and "right_cell" in line for line in plan.splitlines())
+
+
+def test_ring_of_values_goes_on_from_its_memory():
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([10, None, 30]), pa.array([1, 2, 3])], [p.AT, "cents", "event_id"])
+    out = []
+    assert p.CountSlide(3, 2).on_rows(("u",), (1, [5]), rows, out) == (4, [10, None, 30])
+    assert out == [("u", 2, [10, 5]), ("u", 4, [30, None, 10])]
