@@ -142,11 +142,15 @@ def retract_stream(spark, folder):
 
 @query("retract_counts_stream", "SELECT n, count(*) AS users FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1) GROUP BY 1")
 def retract_counts_stream(spark, folder):
-    """The change log of one stream under a second aggregate: how many users have how many rows, as rows are taken back and set."""
+    """The change log of one stream under a second aggregate: how many users have how many rows, as rows are taken back and set.
+
+    A quarter of the log's files is a micro-batch, as every one reads and writes all of the state's partitions.
+    """
     target = runner.new_folder(spark, "changes")
     changes = replay_keyed(roles.stream_events(spark, folder), ["user_id"], ["event_id"], p.Retract("user_id long"), "changes")
     changes.select("n", "added").write.parquet(target)
-    rows = spark.readStream.schema("n long, added boolean").option("maxFilesPerTrigger", 2).parquet(target)
+    files = len(spark.read.parquet(target).inputFiles())
+    rows = spark.readStream.schema("n long, added boolean").option("maxFilesPerTrigger", max(1, -(-files // 4))).parquet(target)
     users = rows.groupBy("n").agg(F.sum(F.when(F.col("added"), 1).otherwise(-1)).alias("users"))
     return runner.last_update(runner.drain(users, "users", "update"), ["n"]).filter("users > 0")
 
