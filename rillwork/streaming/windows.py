@@ -11,6 +11,8 @@ from rillwork.functions.scalar import seconds_of
 from rillwork.operators import windows
 from rillwork.streaming.runner import before_end
 
+CELL = 16  # windows that share a row of the state
+
 
 def tumbling(df: DataFrame, keys: Sequence[str], ts: str, delay: str, size: str, **aggs: Column) -> DataFrame:
     return windows.tumbling(df.withWatermark(ts, delay), keys, ts, size, **aggs)
@@ -25,14 +27,24 @@ def sliding_counts(df: DataFrame, keys: Sequence[str], ts: str, delay: str, size
                    count: str = "n") -> DataFrame:
     """Rows per key and overlapping window: disjoint panes are counted first, and pane counts are spread over windows.
 
-    A row costs one pane; a pane of a key costs as many windows as overlap it.
+    The state has a row for each cell of up to ``CELL`` windows that begin one after the other, with a sum for each of them. A row costs
+    one pane; a pane of a key costs as many cells as overlap it, two if ``CELL`` windows or fewer do. A cell's windows are told together,
+    when the last one closes.
     """
-    pane = f"{gcd(seconds_of(size), seconds_of(slide))} seconds"
-    panes = (df.withWatermark(ts, delay).groupBy(*keys, F.window(ts, pane).alias("__pane"))
+    length, step = seconds_of(size), seconds_of(slide)
+    n = min(-(-length // step), CELL)
+    panes = (df.withWatermark(ts, delay).groupBy(*keys, F.window(ts, f"{gcd(length, step)} seconds").alias("__pane"))
              .agg(F.count(F.lit(1)).alias("__n")))
-    counts = (panes.groupBy(*keys, F.window(F.window_time("__pane"), size, slide).alias("__w"))
-              .agg(F.sum("__n").alias(count)))
-    return counts.select(*keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), count)
+    cell = F.window(F.window_time("__pane"), f"{(n - 1) * step + length} seconds", f"{n * step} seconds")
+    spread = panes.select(*keys, "__pane", "__n", cell.alias("__cell"))
+    begin = F.unix_micros("__cell.start")
+    after = F.unix_micros("__pane.start") - begin
+    inside = [(after >= i * step * 1_000_000) & (after < (i * step + length) * 1_000_000) for i in range(n)]
+    cells = spread.groupBy(*keys, "__cell").agg(*[F.sum(F.when(c, F.col("__n"))).alias(f"__{i}") for i, c in enumerate(inside)])
+    counts = cells.select(*keys, begin.alias("__begin"), F.posexplode(F.array(*[f"__{i}" for i in range(n)])).alias("__i", count))
+    start = F.col("__begin") + F.col("__i").cast("long") * step * 1_000_000
+    return counts.filter(F.col(count).isNotNull()).select(
+        *keys, F.timestamp_micros(start).alias("window_start"), F.timestamp_micros(start + length * 1_000_000).alias("window_end"), count)
 
 
 def session(df: DataFrame, keys: Sequence[str], ts: str, delay: str, gap: str, **aggs: Column) -> DataFrame:

@@ -3,12 +3,15 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
+from rillwork.operators import windows as batch_windows
 from rillwork.plans import stateful
 from rillwork.schemas import EVENT
-from rillwork.streaming import runner
+from rillwork.streaming import runner, windows
 
 BEGIN = datetime(2024, 1, 1)
+KINDS = "event_id long, user_id long, ts timestamp"
 
 
 @pytest.fixture
@@ -24,6 +27,22 @@ def started(monkeypatch):
     return held
 
 
+@pytest.mark.parametrize("size, slide", [("1 hour", "5 minutes"), ("50 minutes", "20 minutes"), ("2 hours", "4 minutes"), ("1 hour", "1 hour")])
+def test_sliding_counts_of_cells(spark, tmp_path, started, size, slide):
+    """The rows of the batch form, with two rows of state a pane or, beyond ``CELL`` windows, few."""
+    rows = [(i, [1, 2, None][i % 3], BEGIN + timedelta(minutes=(i * i * 7) % 600, seconds=i % 60)) for i in range(60)]
+    df = spark.createDataFrame(rows, KINDS)
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(KINDS).parquet(str(tmp_path / "in"))
+    out = runner.replay(stream, "ts", lambda d: windows.sliding_counts(d, ["user_id"], "ts", "20 hours", size, slide), "cells")
+    got = out.filter(runner.before_end("window_end"))
+    expected = batch_windows.sliding(df, ["user_id"], "ts", size, slide, n=F.count(F.lit(1)))
+    columns = ["user_id", "window_start", "window_end", "n"]
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, expected.select(columns).collect()))
+    updated = sum(b["stateOperators"][0]["numRowsUpdated"] for b in started[0].recentProgress if b["stateOperators"])
+    assert updated <= 60 * (4 if size == "2 hours" else 2)
+
+
 def test_batches_of_a_change_log_do_not_grow_with_its_files(spark, tmp_path, started):
     """The log of 32 users in up to 8 files, each a task of its own."""
     rows = [(i, BEGIN + timedelta(minutes=i), i % 32, "view", 1.0, "{}") for i in range(70)]
