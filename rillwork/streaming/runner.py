@@ -6,7 +6,8 @@ driver's memory.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -18,12 +19,29 @@ from rillwork.session import configure, shared_folder
 FAR = "9000-01-01 00:00:00"
 CLOSING = "__closing"  # the column that marks this row
 BATCH = "batch_id"
+TASKS = 2  # partitions of the state for each core of the cluster
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/rillwork-{name}-{uuid4().hex}"
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """A stream that starts in here has ``TASKS`` partitions a core at most, whatever its input.
+
+    Every micro-batch opens and commits each partition of the state, so their number is a cost of its own. A stream keeps the
+    settings it was started with; those of the session come back.
+    """
+    name = "spark.sql.shuffle.partitions"
+    asked = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(asked), TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, asked)
+
+
 def start(df: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None,
           each_batch: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Start a query that writes parquet under ``path``.
@@ -37,13 +55,15 @@ def start(df: DataFrame, path: str, checkpoint: str, mode: str = "append", trigg
     if trigger:
         writer = writer.trigger(**trigger)
     if mode == "append" and each_batch is None:
-        return writer.format("parquet").option("path", path).start()
+        with state_partitions(df.sparkSession):
+            return writer.format("parquet").option("path", path).start()
 
     def write(batch: DataFrame, number: int) -> None:
         out = each_batch(batch) if each_batch else batch
         out.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
 
-    return writer.foreachBatch(write).start()
+    with state_partitions(df.sparkSession):
+        return writer.foreachBatch(write).start()
 
 
 def read_results(spark: SparkSession, path: str, schema: T.StructType, with_batch: bool = False) -> DataFrame:
@@ -70,7 +90,8 @@ def replay(source: DataFrame, ts: str, plan: Callable[[DataFrame], DataFrame], n
            result_schema: T.StructType | None = None, feed: Sequence[Callable[[], None]] = ()) -> DataFrame:
     """Process a bounded stream to its end, so that every window closes and every timer fires.
 
-    ``feed`` brings the input part by part: each part is put where ``source`` reads and processed before the next.
+    ``feed`` brings the input part by part: each part is put where ``source`` reads and processed before the next. The query rests
+    meanwhile, as the files of a part do not come at once: a batch of some of them would move the watermark past rows of the others.
     After all input is through, one more row arrives whose time is ``FAR``, whose column ``CLOSING`` is true and
     whose other columns are null; ``plan`` sets the watermark and its results
     for that row must be dropped by the caller, from the results that come back:
@@ -90,13 +111,19 @@ def replay(source: DataFrame, ts: str, plan: Callable[[DataFrame], DataFrame], n
     def close() -> None:
         last.write.mode("append").parquet(end)
 
-    query = start(out, path, checkpoint, mode, each_batch=each_batch)
+    query = None
     try:
-        for bring in (*(feed or [lambda: None]), close):
+        for bring in feed or [lambda: None]:
+            if query:
+                query.stop()
             bring()
+            query = start(out, path, checkpoint, mode, each_batch=each_batch)
             query.processAllAvailable()  # also what the watermark has closed by then
+        close()
+        query.processAllAvailable()
     finally:
-        query.stop()
+        if query:
+            query.stop()
     return read_results(spark, path, result_schema or out.schema, mode != "append")
 
 
